@@ -25,7 +25,6 @@ from pyspark.sql import functions as F
 from ..functions.columns import month_start, null_as_empty, null_if_equal
 from ..functions.constants import WHOLE_MARKET
 from .horizon import apply_horizon
-from .joins import broadcast_if_bounded
 
 # Column order of the enriched relation (also the order the windows see).
 JOINED_COLUMNS = (
@@ -45,12 +44,12 @@ MONEY_COLUMNS = ("int_salary_tc5", "target_salary_amt",
 def lookup_position(base: DataFrame, dim: DataFrame) -> DataFrame:
     """Base LEFT JOIN dim on id; ``position_name`` = HR title, else dim name.
 
-    The dimension is broadcast only after its row count is proven small.
-    Duplicate ids in the dimension fan out (kept, as in the original).
+    No hint here: the source proves the dimension small before marking it for
+    broadcast (see the sources); otherwise Spark's size estimate and AQE pick
+    the strategy.  Duplicate ids in the dimension fan out (kept, as in the
+    original).
     """
-    d = broadcast_if_bounded(
-        dim.select(F.col("id").alias("_dim_id"), F.col("name").alias("dim_name"))
-    )
+    d = dim.select(F.col("id").alias("_dim_id"), F.col("name").alias("dim_name"))
     joined = base.join(d, F.col("position_type_id") == F.col("_dim_id"), "left").drop("_dim_id")
     return joined.withColumn(
         "position_name", F.coalesce(F.col("hrm_job_title_nm"), F.col("dim_name")))

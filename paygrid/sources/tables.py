@@ -11,6 +11,8 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.joins import DEFAULT_BROADCAST_ROWS, broadcast_if_bounded
+
 BASE_COLUMNS = (
     "month_dt", "position_type_id", "location_rk", "location_nm", "hrm_job_title_nm",
     "agglomeration_name", "work_schedule_type", "fact_salary_fte_amt", "target_salary",
@@ -26,6 +28,22 @@ EXT_COLUMNS = (
 VAC_COLUMNS = ("month_dt", "position_type_id", "agglomeration_name")
 DIM_COLUMNS = ("id", "name")
 
+# Types of the source columns (inferred from how the job uses them).
+SOURCE_SCHEMAS = {
+    "base": ("month_dt date, position_type_id int, location_rk string, location_nm string, "
+             "hrm_job_title_nm string, agglomeration_name string, work_schedule_type string, "
+             "fact_salary_fte_amt decimal(18,5), target_salary decimal(18,5), cnt_emp_dist int, "
+             "perc_25 decimal(18,5), perc_50 decimal(18,5), perc_75 decimal(18,5), "
+             "cnt_vacancy_site int, company_competitor string"),
+    "dim": "id int, name string",
+    "ext": ("month_dt date, position_type_id int, agglomeration_name string, "
+            "perc_25 decimal(18,5), perc_50 decimal(18,5), perc_75 decimal(18,5), "
+            "perc_25_3month decimal(18,5), perc_50_3month decimal(18,5), perc_75_3month decimal(18,5), "
+            "perc_25_6month decimal(18,5), perc_50_6month decimal(18,5), perc_75_6month decimal(18,5), "
+            "cnt_vacancy_site int, type_agg string"),
+    "vac": "month_dt date, position_type_id int, agglomeration_name string",
+}
+
 
 class TableSources:
     """``base``/``dim``/``ext``/``vac`` read from tables or parquet paths.
@@ -34,8 +52,10 @@ class TableSources:
     else is looked up in the catalog.  Only the used columns are selected.
     """
 
-    def __init__(self, spark: SparkSession, base: str, dim: str, ext: str, vac: str):
+    def __init__(self, spark: SparkSession, base: str, dim: str, ext: str, vac: str,
+                 dim_max_rows: int = DEFAULT_BROADCAST_ROWS):
         self.spark = spark
+        self.dim_max_rows = dim_max_rows
         self.names = {"base": base, "dim": dim, "ext": ext, "vac": vac}
 
     def _read(self, which: str, columns) -> DataFrame:
@@ -51,7 +71,8 @@ class TableSources:
         return self._since(self._read("base", BASE_COLUMNS), since)
 
     def dim(self) -> DataFrame:
-        return self._read("dim", DIM_COLUMNS)
+        """The dimension, broadcast only after its row count is proven small."""
+        return broadcast_if_bounded(self._read("dim", DIM_COLUMNS), self.dim_max_rows)
 
     def ext(self, since: dt.date | None = None) -> DataFrame:
         return self._since(self._read("ext", EXT_COLUMNS), since)

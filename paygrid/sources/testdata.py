@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import month_start
 from ..functions.constants import COMPETITOR_UNKNOWN, WHOLE_MARKET
-from ..operators.joins import broadcast_if_bounded, fixed_size
+from ..operators.joins import fixed_size
 
 # FIXED VALUES of the adapters (test scaffolding, not job semantics).
 PRICE_GRID = 1000.0
@@ -77,12 +77,28 @@ class TestDataSources:
         self.sf_dir = sf_dir.rstrip("/")
         self.grain = grain
         self.with_copies = with_copies
+        self._memo: dict = {}
+
+    def _once(self, key, build):
+        # Reuse DataFrames within one source object: each parquet read lists
+        # files and reads footers on the driver, so re-reading the same table
+        # for every branch of the plan only costs planning time.
+        if key not in self._memo:
+            self._memo[key] = build()
+        return self._memo[key]
+
+    def _read(self, name: str) -> DataFrame:
+        return self._once(("table", name),
+                          lambda: self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet"))
 
     def _table(self, name: str, *cols: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet").select(*cols)
+        return self._read(name).select(*cols)
 
     # -- shared geography -------------------------------------------------
     def _customer_location(self) -> DataFrame:
+        return self._once("customer_location", self._build_customer_location)
+
+    def _build_customer_location(self) -> DataFrame:
         region = self._table("region", "r_regionkey", "r_name")
         nation = self._table("nation", "n_nationkey", "n_name", "n_regionkey")
         geo = fixed_size(
@@ -100,6 +116,9 @@ class TestDataSources:
         )
 
     def _orders(self, since: dt.date | None) -> DataFrame:
+        return self._once(("orders", since), lambda: self._build_orders(since))
+
+    def _build_orders(self, since: dt.date | None) -> DataFrame:
         orders = self._table(
             "orders", "o_orderkey", "o_custkey", "o_orderdate", "o_totalprice", "o_orderpriority"
         )
@@ -114,6 +133,9 @@ class TestDataSources:
         )
 
     def _lines(self, since: dt.date | None) -> DataFrame:
+        return self._once(("lines", since), lambda: self._build_lines(since))
+
+    def _build_lines(self, since: dt.date | None) -> DataFrame:
         lines = self._table("lineitem", "l_orderkey", "l_linenumber", "l_extendedprice", "l_shipdate")
         if since is not None:
             lines = lines.where(F.col("l_shipdate") >= F.lit(since))
@@ -122,9 +144,13 @@ class TestDataSources:
 
     # -- the four sources -------------------------------------------------
     def dim(self) -> DataFrame:
-        """Position dimension: ids 0-4 vs priorities 1-5, so priority 5 misses."""
+        """Position dimension: ids 0-4 vs priorities 1-5, so priority 5 misses.
+
+        Built from ``region``, whose 5 rows are fixed by the data spec, so
+        it is broadcast without a counting job.
+        """
         region = self._table("region", "r_regionkey", "r_name")
-        return broadcast_if_bounded(
+        return fixed_size(
             region.select(F.col("r_regionkey").alias("id"), F.col("r_name").alias("name"))
         )
 
