@@ -130,6 +130,10 @@ def compress_runs(df: DataFrame, order: list[str], lookback: int = LOOKBACK) ->
     """
     run_keys = [*SERIES_KEYS, TIME_COL]
     rest = [c for c in order if c != TIME_COL]
+    # Both halves read the input; a round-robin rebalance gives them one
+    # shared (reused) shuffle, so the upstream plan runs once.  Round-robin
+    # spreads a hot run evenly, and AQE may coalesce or split its partitions.
+    df = df.hint("rebalance")
     newest_first = Window.partitionBy(*run_keys).orderBy(*[F.col(c).desc_nulls_last() for c in rest])
     tail = (df.withColumn("_rn_desc", F.row_number().over(newest_first))
               .where(F.col("_rn_desc") <= lookback)

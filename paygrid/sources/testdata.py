@@ -49,8 +49,9 @@ MONEY = "decimal(18,5)"
 GRAINS = ("region", "segment")
 
 
-def _percentile(p: float, column: str) -> Column:
-    return F.expr(f"percentile_disc({p}) WITHIN GROUP (ORDER BY {column})")
+def _quartiles(column: str) -> Column:
+    """p25, p50, p75 (percentile_disc) from one value->count buffer."""
+    return F.expr(f"percentile_disc(array(0.25, 0.5, 0.75)) WITHIN GROUP (ORDER BY {column})")
 
 
 def _grid(c: str) -> Column:
@@ -163,10 +164,9 @@ class TestDataSources:
                 F.count(F.lit(1)).alias("n"),
                 F.max("o_totalprice").alias("pmax"),
                 F.min("o_totalprice").alias("pmin"),
-                _percentile(0.25, "_price_grid").alias("q25"),
-                _percentile(0.5, "_price_grid").alias("q50"),
-                _percentile(0.75, "_price_grid").alias("q75"),
+                _quartiles("_price_grid").alias("q"),
             )
+            .select("*", *[F.col("q")[i].alias(f"q{p}") for i, p in enumerate((25, 50, 75))])
         )
         n, prio, reg = F.col("n"), F.col("prio"), F.col("reg")
         odd = (n % 2) != 0
@@ -206,10 +206,9 @@ class TestDataSources:
             .groupBy(month_start("l_shipdate").alias("month_dt"), "prio", "reg", "agg")
             .agg(
                 F.count(F.lit(1)).alias("n"),
-                _percentile(0.25, "_price_grid").alias("q25"),
-                _percentile(0.5, "_price_grid").alias("q50"),
-                _percentile(0.75, "_price_grid").alias("q75"),
+                _quartiles("_price_grid").alias("q"),
             )
+            .select("*", *[F.col("q")[i].alias(f"q{p}") for i, p in enumerate((25, 50, 75))])
         )
         mon = F.month("month_dt")
         cols = [
