@@ -5,7 +5,7 @@ import pytest
 
 import __spark_entry__ as entry
 from conftest import SF_SMALL
-from tools.check_oracle import TABLES, compare
+from tools.check_oracle import TABLES, compare, type_mismatches
 
 QUERIES = entry.queries()
 ORACLE = entry.oracle_sql()
@@ -31,6 +31,7 @@ def test_query_matches_oracle(spark, duck, name):
     res = duck.execute(ORACLE[name])
     problem = compare(rows, df.columns, res.fetchall(), [d[0] for d in res.description])
     assert problem is None, problem
+    assert type_mismatches(df.schema, res.description) == {}
     assert len(rows) > 0
 
 
