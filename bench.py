@@ -5,7 +5,7 @@ Prints ONE JSON line:
  "queries": {"q": sec, ...}, "sf": <scale factor>}
 
 Each query is run once to warm the JVM and file caches, then timed
-(best of ``BENCH_REPEAT`` runs, default 2) with a full collect of its rows.
+(best of ``BENCH_REPEAT`` runs, default 3) with a full collect of its rows.
 """
 
 from __future__ import annotations
@@ -37,7 +37,7 @@ HEADLINE = (
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", os.cpu_count() or 4))
-    repeat = int(os.environ.get("BENCH_REPEAT", "2"))
+    repeat = int(os.environ.get("BENCH_REPEAT", "3"))
     spark = build_session(f"local[{cpus}]", app_name="paygrid-bench",
                           shuffle_partitions=max(cpus, 4))
     timings: dict[str, float] = {}

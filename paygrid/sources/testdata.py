@@ -48,6 +48,19 @@ MONEY = "decimal(18,5)"
 
 GRAINS = ("region", "segment")
 
+# Types of the test-table columns the adapters read.  Passing them to the
+# reader skips schema inference (a footer-reading job per table) and limits
+# the read to these columns.
+TABLE_SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_nationkey int, c_mktsegment string",
+    "orders": ("o_orderkey bigint, o_custkey bigint, o_totalprice double, "
+               "o_orderdate timestamp_ntz, o_orderpriority string"),
+    "lineitem": ("l_orderkey bigint, l_linenumber int, l_extendedprice double, "
+                 "l_shipdate timestamp_ntz"),
+}
+
 
 def _quartiles(column: str) -> Column:
     """p25, p50, p75 (percentile_disc) from one value->count buffer."""
@@ -89,8 +102,8 @@ class TestDataSources:
         return self._memo[key]
 
     def _read(self, name: str) -> DataFrame:
-        return self._once(("table", name),
-                          lambda: self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet"))
+        return self._once(("table", name), lambda: self.spark.read.schema(TABLE_SCHEMAS[name])
+                          .parquet(f"{self.sf_dir}/{name}.parquet"))
 
     def _table(self, name: str, *cols: str) -> DataFrame:
         return self._read(name).select(*cols)
