@@ -48,6 +48,25 @@ def build_session(
     return spark
 
 
+def cluster_conf(expected_shuffle_bytes: int, cores: int,
+                 partition_bytes: int = 128 * 1024 ** 2) -> dict[str, str]:
+    """Settings for a large cluster run, sized from the expected largest shuffle.
+
+    AQE starts from enough partitions that none exceeds ``partition_bytes``
+    (at least 3 per core) and coalesces the rest at runtime; the same size is
+    the split size for file scans and the target for skew-join splitting.
+    """
+    initial = max(3 * cores, -(-expected_shuffle_bytes // partition_bytes))
+    size = str(partition_bytes)
+    return {
+        "spark.sql.shuffle.partitions": str(initial),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(initial),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": size,
+        "spark.sql.files.maxPartitionBytes": size,
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * partition_bytes),
+    }
+
+
 def scratch_root(spark: SparkSession) -> str:
     """Shared folder for staged tables and checkpoints.
 

@@ -34,10 +34,12 @@ LOG_SCHEMA = "prc_name string, description_step string, logged_at timestamp"
 
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared scratch folder and read it back."""
-    spark = df.sparkSession
-    path = scratch_path(spark, name)
+    return stage_at(df, scratch_path(df.sparkSession, name))
+
+
+def stage_at(df: DataFrame, path: str) -> DataFrame:
     df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    return df.sparkSession.read.parquet(path)
 
 
 def merge_by_key(target: DataFrame, batch: DataFrame, keys) -> DataFrame:
@@ -46,11 +48,20 @@ def merge_by_key(target: DataFrame, batch: DataFrame, keys) -> DataFrame:
     return kept.unionByName(batch.select(*target.columns))
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
+def _fs_path(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
     hadoop_path = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return fs.exists(hadoop_path)
+    return hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hadoop_path
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    fs, p = _fs_path(spark, path)
+    return fs.exists(p)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    fs, p = _fs_path(spark, path)
+    fs.delete(p, True)
 
 
 def upsert_partitioned(batch: DataFrame, path: str, keys, partition_col: str = "week_dt",
@@ -62,19 +73,26 @@ def upsert_partitioned(batch: DataFrame, path: str, keys, partition_col: str = "
     """
     spark = batch.sparkSession
     staged = batch if batch_is_staged else stage(batch, "upsert-batch")
+    merged_path = None
     if _exists(spark, path):
         target = spark.read.parquet(path)
         months = staged.select(partition_col).distinct()
         touched = target.join(months, partition_col, "left_semi")
-        merged = stage(merge_by_key(touched, staged, keys), "upsert-merged")
+        merged_path = scratch_path(spark, "upsert-merged")
+        merged = stage_at(merge_by_key(touched, staged, keys), merged_path)
     else:
         merged = staged
-    (merged.repartition(partition_col)
+    # REBALANCE by month: rows of a month go to the same writers (few files
+    # per partition), while AQE splits an oversized month across several
+    # tasks and merges small ones, so a hot month is no straggler.
+    (merged.hint("rebalance", partition_col)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .option("maxRecordsPerFile", max_records_per_file)
         .partitionBy(partition_col)
         .parquet(path))
+    if merged_path:
+        _delete(spark, merged_path)   # committed; the staged copy is no longer read
     return staged
 
 

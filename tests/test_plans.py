@@ -39,3 +39,21 @@ def test_bounded_plan_limits_runs_before_the_shuffle(spark):
     text = plan_text(build_mart(TestDataSources(spark, SF_SMALL), MartOptions(as_of=AS_OF)))
     assert "WindowGroupLimit" in text and "Partial" in text
     assert "SortAggregate" in text  # min_by head: partial then final aggregate
+
+
+def test_partitioned_sources_are_pruned_by_the_horizon(spark):
+    from paygrid.plans.mart import joined_relation as joined
+    from paygrid.session import scratch_path
+    from paygrid.sources.tables import TableSources
+
+    src = TestDataSources(spark, SF_SMALL)
+    paths = {n: scratch_path(spark, f"p-{n}") for n in ("base", "dim", "ext", "vac")}
+    src.base().write.partitionBy("month_dt").parquet(paths["base"])
+    src.dim().write.parquet(paths["dim"])
+    src.ext().write.partitionBy("month_dt").parquet(paths["ext"])
+    src.vac().write.parquet(paths["vac"])
+    tables = TableSources(spark, **paths)
+    text = plan_text(joined(tables, cutoff_month(AS_OF)))
+    assert text.count("PartitionFilters: [isnotnull(month_dt") >= 2
+    rows = joined(tables, cutoff_month(AS_OF)).count()
+    assert rows == joined(TestDataSources(spark, SF_SMALL), cutoff_month(AS_OF)).count()
