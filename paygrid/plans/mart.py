@@ -19,10 +19,14 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.constants import HORIZON_MONTHS
 from ..operators import enrich as E
 from ..operators import metrics as M
+from ..operators.dedupe import first_per_key
 from ..operators.horizon import cutoff_month
-from ..operators.temporal import TEMPORAL_OPERATORS, add_series_features
+from ..operators.temporal import (
+    SERIES_KEYS, TEMPORAL_OPERATORS, TIME_COL, add_series_features, series_order,
+)
 
 MONEY_NULL = "decimal(18,5)"
 
@@ -65,6 +69,9 @@ class MartOptions:
     as_of: dt.date | str | None = None
     count_ratio: str = "auto"     # 'auto' | 'integer' | 'exact'  (vacancy yoy)
     bounded: bool = True          # skew-safe run compression before the windows
+    # Opt-ins (default off = the original's behaviour):
+    warmup_months: int = 0        # read this much extra history; output still starts at the horizon
+    dedupe: str = "after"         # 'after': window then keep one row per key; 'before': the reverse
 
 
 def joined_relation(sources, cutoff: dt.date | None) -> DataFrame:
@@ -76,9 +83,19 @@ def joined_relation(sources, cutoff: dt.date | None) -> DataFrame:
 
 
 def series_relation(joined: DataFrame, bounded: bool = True,
-                    operators=tuple(TEMPORAL_OPERATORS)) -> DataFrame:
-    """Gaps, then every window feature, one row per (month, position, location)."""
-    return add_series_features(M.add_market_gaps(joined), operators, bounded=bounded)
+                    operators=tuple(TEMPORAL_OPERATORS), dedupe: str = "after") -> DataFrame:
+    """Gaps, then every window feature, one row per (month, position, location).
+
+    ``dedupe='before'`` keeps one row per key first (the same survivor), so
+    duplicates no longer take row slots in the lags and frames.
+    """
+    if dedupe not in ("after", "before"):
+        raise ValueError("dedupe must be 'after' or 'before'")
+    gapped = M.add_market_gaps(joined)
+    if dedupe == "before":
+        gapped = first_per_key(gapped, [*SERIES_KEYS, TIME_COL], series_order(gapped))
+        bounded = False  # one row per run already: nothing left to bound
+    return add_series_features(gapped, operators, bounded=bounded)
 
 
 def final_columns(count_ratio: str) -> dict[str, Column]:
@@ -113,5 +130,9 @@ def finish(windowed: DataFrame, count_ratio: str) -> DataFrame:
 def build_mart(sources, options: MartOptions = MartOptions()) -> DataFrame:
     """The whole feature computation: 51 columns, one row per key."""
     cutoff = cutoff_month(options.as_of)
-    joined = joined_relation(sources, cutoff)
-    return finish(series_relation(joined, options.bounded), options.count_ratio)
+    read_from = cutoff_month(options.as_of, HORIZON_MONTHS + options.warmup_months)
+    joined = joined_relation(sources, read_from)
+    windowed = series_relation(joined, options.bounded, dedupe=options.dedupe)
+    if options.warmup_months:
+        windowed = windowed.where(F.col(TIME_COL) >= F.lit(cutoff))
+    return finish(windowed, options.count_ratio)

@@ -195,3 +195,23 @@ def test_fx17_count_ratio_modes(spark):
     assert integer["vacancy_cnt_yoy_diff"] == 0.0
     assert exact["vacancy_cnt_yoy_diff"] == 0.5
     assert auto["vacancy_cnt_yoy_diff"] == 0.0
+
+
+def test_warmup_fills_early_lags_without_writing_history(spark):
+    ms = months(26, start=(1999, 1))
+    src = sources(spark, [base_row(m, perc_50=100 + i) for i, m in enumerate(ms)])
+    plain = by_month(mart(src))
+    warm = by_month(mart(src, warmup_months=12))
+    assert sorted(plain) == sorted(warm) and min(warm) == "2000-02-01"
+    assert plain["2000-02-01"]["lag52_ext_salary_p50"] is None
+    assert warm["2000-02-01"]["lag52_ext_salary_p50"] == 100.0 + 1     # 1999-02
+
+
+def test_dedupe_before_windows(spark):
+    base = [base_row("2001-01-01", work_schedule_type="full", cnt_vacancy_site=1),
+            base_row("2001-01-01", work_schedule_type="part", cnt_vacancy_site=3),
+            base_row("2001-02-01", work_schedule_type="full", cnt_vacancy_site=5)]
+    rows = by_month(mart(sources(spark, base), dedupe="before"))
+    feb = rows["2001-02-01"]
+    assert feb["n_weeks_12w"] == 2 and feb["lag1_post_cnt"] == 1   # the 'part' copy is gone
+    assert rows["2001-01-01"]["ext_vacancy_cnt"] == 1

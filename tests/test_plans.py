@@ -57,3 +57,12 @@ def test_partitioned_sources_are_pruned_by_the_horizon(spark):
     assert text.count("PartitionFilters: [isnotnull(month_dt") >= 2
     rows = joined(tables, cutoff_month(AS_OF)).count()
     assert rows == joined(TestDataSources(spark, SF_SMALL), cutoff_month(AS_OF)).count()
+
+
+def test_first_per_key_limits_before_the_shuffle(spark):
+    from paygrid.operators.dedupe import first_per_key
+    df = spark.read.parquet(f"{SF_SMALL}/lineitem.parquet")
+    one = first_per_key(df, ["l_orderkey"], ["l_linenumber"])
+    text = plan_text(one)
+    assert "WindowGroupLimit" in text and "Partial" in text
+    assert one.count() == df.select("l_orderkey").distinct().count()
