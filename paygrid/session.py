@@ -75,13 +75,16 @@ def scratch_root(spark: SparkSession) -> str:
     create a private folder and register it, so ``DataFrame.checkpoint`` and
     staged writes land in the same place.
     """
+    sc = spark.sparkContext
     configured = spark.conf.get(CHECKPOINT_CONF, None)
-    if not configured:
-        configured = spark.sparkContext.getCheckpointDir()
     if not configured:
         configured = tempfile.mkdtemp(prefix="paygrid-scratch-")
-        spark.conf.set(CHECKPOINT_CONF, configured)
-    spark.sparkContext.setCheckpointDir(configured)
+        try:
+            spark.conf.set(CHECKPOINT_CONF, configured)
+        except Exception:  # a session may refuse runtime changes of core settings
+            pass
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(configured)
     return configured
 
 
