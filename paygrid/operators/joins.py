@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 # Largest dimension we are willing to ship to every executor.
-DEFAULT_BROADCAST_ROWS = 1_000_000
+DEFAULT_BROADCAST_ROWS = 100_000
 
 
 def broadcast_if_bounded(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
