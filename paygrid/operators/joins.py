@@ -1,4 +1,4 @@
-"""Join helpers: size-checked broadcast and the null-as-empty key match."""
+"""Join helpers: broadcast only behind a proven size bound."""
 
 from __future__ import annotations
 
@@ -12,9 +12,9 @@ DEFAULT_BROADCAST_ROWS = 100_000
 def broadcast_if_bounded(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """Hint a broadcast only after proving the side has at most ``max_rows`` rows.
 
-    The proof is a ``LIMIT max_rows+1`` count: it stops reading as soon as the
-    bound is exceeded, so checking a huge table costs one partial scan, not a
-    full one.  Beyond the bound no hint is given and Spark (with AQE) picks a
+    The proof is a ``LIMIT max_rows+1`` count: every scan task stops after
+    ``max_rows+1`` rows, so checking a huge table reads a bounded prefix of
+    each split, never the whole table.  Beyond the bound no hint is given and Spark (with AQE) picks a
     shuffle join, or a runtime broadcast if the filtered side turns out small.
     """
     if df.limit(max_rows + 1).count() <= max_rows:
