@@ -34,11 +34,9 @@ JOINED_COLUMNS = (
     "cnt_vacancy_site", "vacancy_cnt", "company_competitor",
 )
 
-# Measures are carried as DOUBLE from the join on: fast fixed-width
-# arithmetic inside codegen (decimal(38,x) falls back to BigDecimal); the
-# sink rounds them into the contract's NUMERIC types.
-MONEY_COLUMNS = ("int_salary_tc5", "target_salary_amt",
-                 "market_perc_25", "market_perc_50", "market_perc_75")
+# Measures are carried as DOUBLE from the join on (see ``enrich``): fast
+# fixed-width arithmetic inside codegen, where decimal(38,x) would fall back
+# to BigDecimal; the sink rounds them into the contract's NUMERIC types.
 
 
 def lookup_position(base: DataFrame, dim: DataFrame) -> DataFrame:

@@ -7,7 +7,6 @@ partition coalescing, skew-join splitting) instead of hand-scheduling.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -93,7 +92,3 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     root = scratch_root(spark)
     sep = "" if root.endswith("/") else "/"
     return f"{root}{sep}{name}-{uuid.uuid4().hex[:12]}"
-
-
-def local_cpus() -> int:
-    return int(os.environ.get("BENCH_CPUS", os.cpu_count() or 4))

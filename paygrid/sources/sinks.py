@@ -24,7 +24,6 @@ from __future__ import annotations
 import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from ..functions.constants import JOB_NAME
 from ..session import scratch_path
@@ -106,7 +105,3 @@ def append_log(spark: SparkSession, path: str, step: str, job: str = JOB_NAME,
 
 def read_log(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(LOG_SCHEMA).parquet(path)
-
-
-def now_literal() -> F.Column:
-    return F.lit(dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)).cast("timestamp")

@@ -76,3 +76,10 @@ def test_key_and_not_null_violations(spark):
     assert rules["not_null:position_id"] == 3
     with pytest.raises(ContractViolation):
         enforce(nulls, spec)
+
+
+def test_cluster_conf_sizes_partitions():
+    from paygrid.session import cluster_conf
+    conf = cluster_conf(expected_shuffle_bytes=100 * 1024 ** 4, cores=8000)
+    assert int(conf["spark.sql.shuffle.partitions"]) == 819200      # 100 TiB / 128 MiB
+    assert cluster_conf(10, cores=8)["spark.sql.shuffle.partitions"] == "24"
