@@ -16,10 +16,10 @@ in window order, and every frame here ends at the current row and reaches at
 most ``LOOKBACK`` (51) rows back.  So for the first row of a run the only rows
 that matter are itself and the 51 rows before it, and each of those is among
 the last 51 rows of its own run.  :func:`compress_runs` therefore keeps, per
-run, the last ``LOOKBACK`` rows (``row_number`` with a partial group limit
-applied before the shuffle) plus the first row (a ``min_by`` aggregate, also
-partially aggregated) — at most 52 rows per run, whatever the skew — and the
-window values at every first row are exactly those of the full series.
+run, the last ``LOOKBACK`` rows plus the first row — both picked by one
+``row_number`` whose group limit Spark applies before the shuffle — so at most
+52 rows per run reach the series window, whatever the skew, and the window
+values at every first row are exactly those of the full series.
 """
 
 from __future__ import annotations
@@ -125,26 +125,33 @@ ALIASES = {
 def compress_runs(df: DataFrame, order: list[str], lookback: int = LOOKBACK) -> DataFrame:
     """Per (series, month): the first row plus the last ``lookback`` rows.
 
-    Both halves are bounded before the shuffle (partial WindowGroupLimit and
-    partial aggregation), so no task ever receives a whole hot run.
+    One window does both ends.  Every row is emitted twice: on the *head*
+    side the run is ordered ascending, on the *tail* side descending (the
+    other side's sort keys are masked to NULL, so each side sees only its own
+    order).  ``row_number() <= lookback`` over (run, side) is executed as a
+    partial WindowGroupLimit *before* the shuffle, so no task ever receives
+    more than ``lookback`` rows of a run per input split, however hot it is.
+    The head side keeps only its first row; if the tail side already holds
+    that row (runs of at most ``lookback`` rows) the head copy is dropped.
+    That check and the series window below share one exchange on the series
+    key, whose run-level groups now hold at most ``lookback + 1`` rows.
     """
     run_keys = [*SERIES_KEYS, TIME_COL]
     rest = [c for c in order if c != TIME_COL]
-    # Both halves read the input; a round-robin rebalance gives them one
-    # shared (reused) shuffle, so the upstream plan runs once.  Round-robin
-    # spreads a hot run evenly, and AQE may coalesce or split its partitions.
-    df = df.hint("rebalance")
-    newest_first = Window.partitionBy(*run_keys).orderBy(*[F.col(c).desc_nulls_last() for c in rest])
-    tail = (df.withColumn("_rn_desc", F.row_number().over(newest_first))
-              .where(F.col("_rn_desc") <= lookback)
-              .drop("_rn_desc"))
-    payload = [c for c in df.columns if c not in run_keys]
-    head = (df.groupBy(*run_keys)
-              .agg(F.min_by(F.struct(*payload), F.struct(*rest)).alias("_first"),
-                   F.count(F.lit(1)).alias("_run_rows"))
-              .where(F.col("_run_rows") > lookback)
-              .select(*run_keys, "_first.*"))
-    return tail.unionByName(head.select(*df.columns))
+    sided = df.select("*", F.explode(F.array(F.lit(0), F.lit(1))).alias("_side"))
+    head = F.col("_side") == 0
+    masked = ([F.when(head, F.col(c)).asc_nulls_first() for c in rest]
+              + [F.when(~head, F.col(c)).desc_nulls_last() for c in rest])
+    ends = Window.partitionBy(*run_keys, "_side").orderBy(*masked)
+    kept = (sided.withColumn("_rn", F.row_number().over(ends))
+                 .where(F.col("_rn") <= lookback)
+                 .where(~head | (F.col("_rn") == 1))
+                 .repartition(*SERIES_KEYS))
+    row_order = F.struct(*rest)
+    tail_first = F.min(F.when(~head, row_order)).over(Window.partitionBy(*run_keys))
+    return (kept.withColumn("_tail_first", tail_first)
+                .where(~(head & row_order.eqNullSafe(F.col("_tail_first"))))
+                .drop("_side", "_rn", "_tail_first"))
 
 
 def add_series_features(
