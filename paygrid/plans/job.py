@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from ..functions.constants import JOB_NAME, STEP_DONE, STEP_STARTED
 from ..operators.validate import enforce
 from ..sources.sinks import append_log, stage, upsert_partitioned
+from .catalog import ensure_tables, table_contract, upsert_table
 from .contracts import conform, contract
 from .mart import MartOptions, build_mart
 
@@ -28,18 +29,31 @@ class RunResult:
     inserted_at: dt.datetime
 
 
-def run(spark: SparkSession, sources, target_path: str, log_path: str | None = None,
-        options: MartOptions = MartOptions(), variant: str = "wide",
-        run_ts: dt.datetime | None = None) -> RunResult:
-    spec = contract("features", variant)
+def run(spark: SparkSession, sources, target_path: str | None = None,
+        log_path: str | None = None, options: MartOptions = MartOptions(),
+        variant: str = "wide", run_ts: dt.datetime | None = None,
+        target_table: str | None = None) -> RunResult:
+    """Compute the mart and merge it into ``target_path`` (a month-partitioned
+    parquet folder) or ``target_table`` (a catalog table, created from the
+    ``variant`` contract if missing; an existing table keeps its own types)."""
+    if (target_path is None) == (target_table is None):
+        raise ValueError("give exactly one of target_path and target_table")
     run_ts = run_ts or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
     if log_path:
         append_log(spark, log_path, STEP_STARTED, JOB_NAME)
     try:
+        if target_table:
+            ensure_tables(spark, {"features": target_table}, variant)
+            spec = table_contract(spark, target_table)
+        else:
+            spec = contract("features", variant)
         mart = build_mart(sources, options)
         table = stage(conform(mart, spec, now=F.lit(run_ts).cast("timestamp")), "features-batch")
         enforce(table, spec)
-        batch = upsert_partitioned(table, target_path, spec.keys, batch_is_staged=True)
+        if target_table:
+            batch = upsert_table(table, target_table, spec, batch_is_staged=True)
+        else:
+            batch = upsert_partitioned(table, target_path, spec.keys, batch_is_staged=True)
     except Exception as exc:
         if log_path:
             append_log(spark, log_path, f"{STEP_FAILED}: {type(exc).__name__}", JOB_NAME)
