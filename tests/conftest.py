@@ -23,7 +23,8 @@ SF_MID = "/root/testdata/sf0.01"
 def spark():
     scratch = tempfile.mkdtemp(prefix="paygrid-tests-")
     session = build_session("local[*]", app_name="paygrid-tests", shuffle_partitions=8,
-                            extra={CHECKPOINT_CONF: scratch})
+                            extra={CHECKPOINT_CONF: scratch,
+                                   "spark.sql.warehouse.dir": os.path.join(scratch, "warehouse")})
     yield session
     session.stop()
 
