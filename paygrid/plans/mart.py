@@ -7,8 +7,9 @@ horizon -> prepared sources -> enrichment joins -> one per-series Window pass
 Physical shape: the source scans (filters pushed down), partial+final
 aggregation of vacancies, two left joins (broadcast at runtime when AQE finds
 the aggregated sides small), then one hash exchange on the series key for the
-windows.  In the bounded plan the run compression adds two exchanges on the
-(series, month) key that carry at most 52 rows per run each.
+windows.  The bounded plan adds one exchange before it, on the (series,
+month) run key, fed by a pre-shuffle group limit: at most 51 rows per run
+and input split cross it, and at most 52 rows per run reach the windows.
 """
 
 from __future__ import annotations

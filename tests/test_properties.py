@@ -70,3 +70,19 @@ def test_input_order_does_not_matter(spark):
     a = build_mart(sources(spark, base), MartOptions(as_of=AS_OF))
     b = build_mart(sources(spark, list(reversed(base))), MartOptions(as_of=AS_OF))
     assert rows_of(a) == rows_of(b)
+
+
+def test_hot_run_of_identical_rows(spark):
+    """A run made of many identical rows (ties in every column) compresses exactly."""
+    ms = months(14)
+    base = []
+    for i, m in enumerate(ms):
+        copies = 3 * LOOKBACK if i == 6 else 1
+        base += [base_row(m, cnt_vacancy_site=i % 5, perc_50=100 + i)] * copies
+    base += [base_row(ms[6], work_schedule_type="zz", cnt_vacancy_site=9)] * 2
+    src = sources(spark, base)
+    bounded = build_mart(src, MartOptions(as_of=AS_OF, bounded=True))
+    plain = build_mart(src, MartOptions(as_of=AS_OF, bounded=False))
+    assert rows_of(bounded) == rows_of(plain)
+    later = [r for r in bounded.collect() if str(r["week_dt"]) == ms[8]][0]
+    assert later["n_weeks_12w"] == 12 and later["lag1_post_cnt"] == 7 % 5
