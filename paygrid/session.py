@@ -77,6 +77,10 @@ def scratch_root(spark: SparkSession) -> str:
     sc = spark.sparkContext
     configured = spark.conf.get(CHECKPOINT_CONF, None)
     if not configured:
+        if not sc.master.startswith("local"):
+            # A driver-local folder is invisible to executors on a cluster.
+            raise RuntimeError(f"set {CHECKPOINT_CONF} to a shared folder (HDFS/S3/...) "
+                               "for staged tables and checkpoints")
         configured = tempfile.mkdtemp(prefix="paygrid-scratch-")
         try:
             spark.conf.set(CHECKPOINT_CONF, configured)
