@@ -158,7 +158,7 @@ def vacancy_column():
 def enrich(base: DataFrame, market: DataFrame, counts: DataFrame) -> DataFrame:
     """The ``joined`` relation: base with market and vacancy data, fallbacks applied."""
     j = join_vacancies(join_market(base, market), counts)
-    out = j.select(
+    return j.select(   # in JOINED_COLUMNS order
         "week_dt", "position_id", "location_rk", "location_nm", "position_name",
         "agglomeration_nm", "work_schedule_type",
         F.col("int_salary_tc5").cast("double").alias("int_salary_tc5"),
@@ -168,4 +168,3 @@ def enrich(base: DataFrame, market: DataFrame, counts: DataFrame) -> DataFrame:
         vacancy_column(),
         "company_competitor",
     )
-    return out.select(*JOINED_COLUMNS)

@@ -143,15 +143,15 @@ def compress_runs(df: DataFrame, order: list[str], lookback: int = LOOKBACK) ->
     masked = ([F.when(head, F.col(c)).asc_nulls_first() for c in rest]
               + [F.when(~head, F.col(c)).desc_nulls_last() for c in rest])
     ends = Window.partitionBy(*run_keys, "_side").orderBy(*masked)
-    kept = (sided.withColumn("_rn", F.row_number().over(ends))
-                 .where(F.col("_rn") <= lookback)
-                 .where(~head | (F.col("_rn") == 1))
+    rn = F.col("_rn")
+    kept = (sided.select("*", F.row_number().over(ends).alias("_rn"))
+                 .where((rn <= lookback) & (~head | (rn == 1)))
                  .repartition(*SERIES_KEYS))
     row_order = F.struct(*rest)
     tail_first = F.min(F.when(~head, row_order)).over(Window.partitionBy(*run_keys))
-    return (kept.withColumn("_tail_first", tail_first)
+    return (kept.select("*", tail_first.alias("_tail_first"))
                 .where(~(head & row_order.eqNullSafe(F.col("_tail_first"))))
-                .drop("_side", "_rn", "_tail_first"))
+                .select(*df.columns))
 
 
 def add_series_features(
@@ -176,12 +176,17 @@ def add_series_features(
     for name in operators:
         cols.update(TEMPORAL_OPERATORS[name](w))
     out = df.select("*", *[c.alias(n) for n, c in cols.items()])
-    for src, names in ALIASES.items():
-        if src in out.columns:
-            out = out.select("*", *[F.col(src).alias(n) for n in names]).drop(src)
     if first_rows_only:
         out = out.where(first_of_run())
-    return out.drop(PREV_TIME)
+    # Final projection: window columns computed once, published under each
+    # of their names; helper columns dropped.
+    published = []
+    for name in cols:
+        if name in ALIASES:
+            published += [F.col(name).alias(alias) for alias in ALIASES[name]]
+        elif name != PREV_TIME:
+            published.append(F.col(name))
+    return out.select(*df.columns, *published)
 
 
 def first_of_run() -> Column:
