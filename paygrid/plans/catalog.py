@@ -18,11 +18,23 @@ TABLES = ("features", "flags", "recommendations")
 PARTITION_COLUMN = "week_dt"
 
 
+def _default_sql(value) -> str:
+    if value == "now":
+        return "current_timestamp()"
+    if isinstance(value, str):
+        return "'" + value.replace("'", "''") + "'"
+    return str(value)
+
+
 def create_table_sql(spec: Contract, name: str, location: str | None = None) -> str:
-    cols = ",\n  ".join(
-        f"`{f.name}` {f.dataType.simpleString()}{'' if f.nullable else ' NOT NULL'}"
-        for f in spec.schema.fields
-    )
+    def column(f: T.StructField) -> str:
+        sql = f"`{f.name}` {f.dataType.simpleString()}"
+        if not f.nullable:
+            sql += " NOT NULL"
+        if f.name in spec.defaults:
+            sql += f" DEFAULT {_default_sql(spec.defaults[f.name])}"
+        return sql
+    cols = ",\n  ".join(column(f) for f in spec.schema.fields)
     where = f"\nLOCATION '{location}'" if location else ""
     return (f"CREATE TABLE IF NOT EXISTS {name} (\n  {cols}\n) USING parquet\n"
             f"PARTITIONED BY ({PARTITION_COLUMN}){where}")

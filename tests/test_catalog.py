@@ -45,3 +45,12 @@ def test_job_into_catalog_table_keeps_existing_types(spark):
     assert t.schema["ext_salary_p50"].dataType == T.DecimalType(14, 2)   # compact kept
     assert t.schema["avg_vacancy_12w"].dataType == T.IntegerType()
     assert {r[0] for r in t.select("avg_vacancy_12w").collect()} >= {1, 2}
+
+
+def test_column_defaults_apply_to_sql_inserts(spark):
+    root = scratch_path(spark, "cat3")
+    ensure_tables(spark, {"recommendations": "cat_recs_defaults"}, "wide", location_root=root)
+    spark.sql("INSERT INTO cat_recs_defaults (week_dt, position_id, problem_type) "
+              "VALUES (DATE'2001-01-01', 1, 'gap')")
+    row = spark.table("cat_recs_defaults").first()
+    assert row["severity"] == 1 and row["location_rk"] == "" and row["created_at"] is not None
