@@ -70,3 +70,15 @@ def test_first_per_key_limits_before_the_shuffle(spark):
     text = plan_text(one)
     assert "WindowGroupLimit" in text and "Partial" in text
     assert one.count() == df.select("l_orderkey").distinct().count()
+
+
+def test_no_cross_joins_and_no_python_in_any_query(spark):
+    from paygrid.plans.queries import QUERIES
+    banned = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython",
+              "ArrowEvalPython", "PythonUDF", "FlatMapGroupsInPandas", "MapInPandas")
+    for name, fn in QUERIES.items():
+        if name == "run_log":
+            continue
+        text = plan_text(fn(spark, SF_SMALL))
+        found = [b for b in banned if b in text]
+        assert not found, (name, found)
