@@ -29,7 +29,7 @@ def _num(x):
     return None if x is None else float(decimal.Decimal(str(x)))
 
 
-def model_mart(base, dim, ext, vac):
+def model_mart(base, dim, ext, vac, exact=False, dedupe_before=False):
     names = {}
     for d in dim:
         names.setdefault(d["id"], []).append(d["name"])
@@ -90,6 +90,8 @@ def model_mart(base, dim, ext, vac):
     out = {}
     for rows in series.values():
         rows.sort(key=sort_key)
+        if dedupe_before:
+            rows[:] = [r for k, r in enumerate(rows) if k == 0 or rows[k - 1]["week_dt"] != r["week_dt"]]
         for i, r in enumerate(rows):
             if i > 0 and rows[i - 1]["week_dt"] == r["week_dt"]:
                 continue
@@ -116,7 +118,8 @@ def model_mart(base, dim, ext, vac):
                 n_weeks_12w=min(i + 1, 12), avg_vacancy_12w=avg(-11, 0), rolling_mean_post_4w=avg(-3, -1),
                 avg_post_cnt_52w=avg(-51, 0), lag52_ext_salary_p50=l12,
                 salary_p50_yoy_diff=p50 / l12 - 1 if l12 is not None and l12 != 0 and p50 is not None else None,
-                vacancy_cnt_yoy_diff=(float(c // c12 - 1) if c12 is not None and c12 != 0 and c is not None else None),
+                vacancy_cnt_yoy_diff=((c / c12 - 1 if exact else float(c // c12 - 1))
+                                      if c12 is not None and c12 != 0 and c is not None else None),
                 lag52_gap_to_market_p50=g12,
                 gap_yoy_diff=g / g12 - 1 if g12 is not None and g12 != 0 and g is not None else None,
                 nulls_ratio=missing / 3.0, data_insufficient=missing / 3.0 > 0.3)
@@ -154,15 +157,22 @@ def _close(a, b):
     return a == b
 
 
-@pytest.mark.parametrize("bounded", [True, False])
-@settings(max_examples=12, deadline=None, suppress_health_check=list(HealthCheck))
+MODES = [
+    dict(bounded=True), dict(bounded=False),
+    dict(bounded=True, count_ratio="exact"), dict(bounded=True, dedupe="before"),
+]
+
+
+@pytest.mark.parametrize("mode", MODES, ids=lambda m: ",".join(f"{k}={v}" for k, v in m.items()))
+@settings(max_examples=10, deadline=None, suppress_health_check=list(HealthCheck))
 @given(base=base_rows, ext=ext_rows, vac=vac_rows)
-def test_spark_matches_brute_force_model(spark, bounded, base, ext, vac):
+def test_spark_matches_brute_force_model(spark, mode, base, ext, vac):
     dim = [{"id": 1, "name": "Cook"}]
     src = sources(spark, base, ext=ext, vac=vac, dim=dim)
     got = {(r["week_dt"], r["position_id"], r["location_rk"]): r.asDict()
-           for r in build_mart(src, MartOptions(as_of=AS_OF, bounded=bounded)).collect()}
-    want = model_mart(base, dim, ext, vac)
+           for r in build_mart(src, MartOptions(as_of=AS_OF, **mode)).collect()}
+    want = model_mart(base, dim, ext, vac, exact=mode.get("count_ratio") == "exact",
+                      dedupe_before=mode.get("dedupe") == "before")
     assert set(got) == set(want)
     for key, expected in want.items():
         for col, value in expected.items():
