@@ -1,8 +1,12 @@
-"""The whole job: log start -> compute -> check -> upsert -> log success.
+"""The whole job: compute -> check -> upsert, with a start and an outcome log row.
 
-One ``inserted_at`` value is taken per run and shared by every row (the
-original runs in one transaction, so ``now()`` is constant).  Unlike the
-original, a failure row is logged too before the error is re-raised.
+The original runs in one transaction: its start and success log rows commit
+together with the data, and a failed run leaves no log row at all.  Here the
+start row (stamped with the real start time) and the outcome row are written
+in one append after the upsert, so the log never shows a start without an
+outcome.  One ``inserted_at`` value is shared by every row of a run (``now()``
+is constant within a transaction).  Addition: with ``log_failures`` (default)
+a failed run writes its start row and a failure row before re-raising.
 """
 
 from __future__ import annotations
@@ -13,9 +17,9 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.constants import JOB_NAME, STEP_DONE, STEP_STARTED
+from ..functions.constants import STEP_DONE, STEP_STARTED
 from ..operators.validate import enforce
-from ..sources.sinks import append_log, stage, upsert_partitioned
+from ..sources.sinks import append_log_rows, stage, upsert_partitioned
 from .catalog import ensure_tables, table_contract, upsert_table
 from .contracts import conform, contract
 from .mart import MartOptions, build_mart
@@ -29,18 +33,21 @@ class RunResult:
     inserted_at: dt.datetime
 
 
+def _utc_now() -> dt.datetime:
+    return dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+
+
 def run(spark: SparkSession, sources, target_path: str | None = None,
         log_path: str | None = None, options: MartOptions = MartOptions(),
         variant: str = "wide", run_ts: dt.datetime | None = None,
-        target_table: str | None = None) -> RunResult:
+        target_table: str | None = None, log_failures: bool = True) -> RunResult:
     """Compute the mart and merge it into ``target_path`` (a month-partitioned
     parquet folder) or ``target_table`` (a catalog table, created from the
     ``variant`` contract if missing; an existing table keeps its own types)."""
     if (target_path is None) == (target_table is None):
         raise ValueError("give exactly one of target_path and target_table")
-    run_ts = run_ts or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
-    if log_path:
-        append_log(spark, log_path, STEP_STARTED, JOB_NAME)
+    started = _utc_now()
+    run_ts = run_ts or started
     try:
         if target_table:
             ensure_tables(spark, {"features": target_table}, variant)
@@ -55,9 +62,10 @@ def run(spark: SparkSession, sources, target_path: str | None = None,
         else:
             batch = upsert_partitioned(table, target_path, spec.keys, batch_is_staged=True)
     except Exception as exc:
-        if log_path:
-            append_log(spark, log_path, f"{STEP_FAILED}: {type(exc).__name__}", JOB_NAME)
+        if log_path and log_failures:
+            append_log_rows(spark, log_path, [(STEP_STARTED, started),
+                                              (f"{STEP_FAILED}: {type(exc).__name__}", None)])
         raise
     if log_path:
-        append_log(spark, log_path, STEP_DONE, JOB_NAME)
+        append_log_rows(spark, log_path, [(STEP_STARTED, started), (STEP_DONE, None)])
     return RunResult(batch=batch, inserted_at=run_ts)

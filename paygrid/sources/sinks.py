@@ -98,9 +98,14 @@ def upsert_partitioned(batch: DataFrame, path: str, keys, partition_col: str = "
 def append_log(spark: SparkSession, path: str, step: str, job: str = JOB_NAME,
                at: dt.datetime | None = None) -> None:
     """Append one (job, step, time) row to the run log table."""
-    at = at or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
-    row = spark.createDataFrame([(job, step, at)], LOG_SCHEMA)
-    row.coalesce(1).write.mode("append").parquet(path)
+    append_log_rows(spark, path, [(step, at)], job)
+
+
+def append_log_rows(spark: SparkSession, path: str, steps, job: str = JOB_NAME) -> None:
+    """Append several (step, time) rows in one write: they appear together or not at all."""
+    now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+    rows = [(job, step, at or now) for step, at in steps]
+    spark.createDataFrame(rows, LOG_SCHEMA).coalesce(1).write.mode("append").parquet(path)
 
 
 def read_log(spark: SparkSession, path: str) -> DataFrame:

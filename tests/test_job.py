@@ -70,3 +70,16 @@ def test_failed_run_logs_failure(spark):
         pass
     steps = [r["description_step"] for r in read_log(spark, log).orderBy("logged_at").collect()]
     assert steps[0] == STEP_STARTED and steps[-1].startswith("failed")
+
+
+def test_failed_run_without_failure_logging_leaves_no_rows(spark):
+    bad = make_sources(spark, [base_row(m) for m in months(2)])
+    bad._base = bad._base.withColumn("position_type_id", F.lit(None).cast("int"))
+    log = scratch_path(spark, "t-nolog")
+    try:
+        run(spark, bad, scratch_path(spark, "t-fail2"), log, MartOptions(as_of="2001-08-15"),
+            log_failures=False)
+    except ValueError:
+        pass
+    from paygrid.sources.sinks import _exists
+    assert not _exists(spark, log)
