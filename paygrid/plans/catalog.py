@@ -9,9 +9,10 @@ for — an insert into an existing table casts to that table's columns.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..sources.sinks import merge_by_key, stage
+from ..sources.sinks import batch_partitions, merge_by_key, stage
 from .contracts import Contract, conform, contract
 
 TABLES = ("features", "flags", "recommendations")
@@ -68,8 +69,10 @@ def upsert_table(batch: DataFrame, name: str, spec: Contract,
     :func:`paygrid.sources.sinks.upsert_partitioned`)."""
     spark = batch.sparkSession
     staged = batch if batch_is_staged else stage(conform(batch, spec), "table-batch")
-    months = staged.select(PARTITION_COLUMN).distinct()
-    touched = spark.table(name).join(months, PARTITION_COLUMN, "left_semi")
+    months = batch_partitions(staged, PARTITION_COLUMN)
+    if not months:
+        return staged
+    touched = spark.table(name).where(F.col(PARTITION_COLUMN).isin(months))
     merged = stage(merge_by_key(touched, staged, spec.keys), "table-merged")
     mode_key = "spark.sql.sources.partitionOverwriteMode"
     previous = spark.conf.get(mode_key)

@@ -5,9 +5,9 @@ from the batch are kept, never deleted):
 
 1. the batch is staged to the shared scratch folder (cuts its lineage: a
    lost executor re-reads the staged files instead of re-running the job);
-2. only the target partitions the batch touches are read — a semi-join with
-   the batch's months, which dynamic partition pruning turns into a file
-   listing filter;
+2. only the target partitions the batch touches are read — an IN-list of
+   the batch's months (a calendar-bounded handful of values), which prunes
+   partitions at file-listing time;
 3. kept rows = those partitions anti-joined with the batch keys, unioned
    with the batch, staged again;
 4. the staged result replaces exactly those partitions
@@ -24,6 +24,7 @@ from __future__ import annotations
 import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..functions.constants import JOB_NAME
 from ..session import scratch_path
@@ -41,6 +42,17 @@ def stage_at(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
+def batch_partitions(batch: DataFrame, partition_col: str) -> list:
+    """The distinct partition values of a batch, on the driver.
+
+    Bounded by the calendar: one value per month the batch covers (the
+    horizon plus any future months), never by the data volume.  A literal
+    IN-list lets the target scan prune partitions statically; a semi-join
+    with the batch would read every partition of the ever-growing target.
+    """
+    return [r[0] for r in batch.select(partition_col).distinct().collect()]
+
+
 def merge_by_key(target: DataFrame, batch: DataFrame, keys) -> DataFrame:
     """Rows of ``target`` whose key is not in ``batch``, plus all of ``batch``."""
     kept = target.join(batch.select(*keys), list(keys), "left_anti")
@@ -72,11 +84,13 @@ def upsert_partitioned(batch: DataFrame, path: str, keys, partition_col: str = "
     """
     spark = batch.sparkSession
     staged = batch if batch_is_staged else stage(batch, "upsert-batch")
+    months = batch_partitions(staged, partition_col)
+    if not months:
+        return staged   # empty batch: nothing to insert or replace
     merged_path = None
     if _exists(spark, path):
         target = spark.read.parquet(path)
-        months = staged.select(partition_col).distinct()
-        touched = target.join(months, partition_col, "left_semi")
+        touched = target.where(F.col(partition_col).isin(months))   # static partition pruning
         merged_path = scratch_path(spark, "upsert-merged")
         merged = stage_at(merge_by_key(touched, staged, keys), merged_path)
     else:

@@ -83,3 +83,15 @@ def test_failed_run_without_failure_logging_leaves_no_rows(spark):
         pass
     from paygrid.sources.sinks import _exists
     assert not _exists(spark, log)
+
+
+def test_upsert_reads_only_the_touched_months(spark):
+    from paygrid.sources.sinks import batch_partitions
+    src = make_sources(spark, [base_row(m) for m in months(3)])
+    target = scratch_path(spark, "t-prune")
+    run(spark, src, target, None, MartOptions(as_of="2001-08-15"))
+    batch = spark.createDataFrame([(dt.date(2000, 4, 1),)], "week_dt date")
+    pruned = spark.read.parquet(target).where(F.col("week_dt").isin(batch_partitions(batch, "week_dt")))
+    text = pruned._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(week_dt" in text and "2000-04-01" in text
+    assert pruned.count() == 1
