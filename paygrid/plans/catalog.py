@@ -12,7 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..sources.sinks import batch_partitions, merge_by_key, stage
+from ..session import scratch_path
+from ..sources.sinks import batch_partitions, delete_path, merge_by_key, stage, stage_at
 from .contracts import Contract, conform, contract
 
 TABLES = ("features", "flags", "recommendations")
@@ -73,7 +74,8 @@ def upsert_table(batch: DataFrame, name: str, spec: Contract,
     if not months:
         return staged
     touched = spark.table(name).where(F.col(PARTITION_COLUMN).isin(months))
-    merged = stage(merge_by_key(touched, staged, spec.keys), "table-merged")
+    merged_path = scratch_path(spark, "table-merged")
+    merged = stage_at(merge_by_key(touched, staged, spec.keys), merged_path)
     mode_key = "spark.sql.sources.partitionOverwriteMode"
     previous = spark.conf.get(mode_key)
     spark.conf.set(mode_key, "dynamic")   # insertInto takes the mode from the session
@@ -82,4 +84,5 @@ def upsert_table(batch: DataFrame, name: str, spec: Contract,
             .write.mode("overwrite").insertInto(name))
     finally:
         spark.conf.set(mode_key, previous)
+    delete_path(spark, merged_path)   # committed; the staged copy is no longer read
     return staged

@@ -19,7 +19,8 @@ from pyspark.sql import functions as F
 
 from ..functions.constants import STEP_DONE, STEP_STARTED
 from ..operators.validate import enforce
-from ..sources.sinks import append_log_rows, stage, upsert_partitioned
+from ..session import scratch_path
+from ..sources.sinks import append_log_rows, delete_path, stage_at, upsert_partitioned
 from .catalog import ensure_tables, table_contract, upsert_table
 from .contracts import conform, contract
 from .mart import MartOptions, build_mart
@@ -29,8 +30,9 @@ STEP_FAILED = "failed"  # addition: the original logs no failure row
 
 @dataclass
 class RunResult:
-    batch: DataFrame          # the staged, conformed batch that was merged
+    batch: DataFrame | None   # the staged, conformed batch (kept only on request)
     inserted_at: dt.datetime
+    rows: int                 # rows in the batch
 
 
 def _utc_now() -> dt.datetime:
@@ -40,7 +42,8 @@ def _utc_now() -> dt.datetime:
 def run(spark: SparkSession, sources, target_path: str | None = None,
         log_path: str | None = None, options: MartOptions = MartOptions(),
         variant: str = "wide", run_ts: dt.datetime | None = None,
-        target_table: str | None = None, log_failures: bool = True) -> RunResult:
+        target_table: str | None = None, log_failures: bool = True,
+        keep_batch: bool = False) -> RunResult:
     """Compute the mart and merge it into ``target_path`` (a month-partitioned
     parquet folder) or ``target_table`` (a catalog table, created from the
     ``variant`` contract if missing; an existing table keeps its own types)."""
@@ -55,7 +58,8 @@ def run(spark: SparkSession, sources, target_path: str | None = None,
         else:
             spec = contract("features", variant)
         mart = build_mart(sources, options)
-        table = stage(conform(mart, spec, now=F.lit(run_ts).cast("timestamp")), "features-batch")
+        batch_path = scratch_path(spark, "features-batch")
+        table = stage_at(conform(mart, spec, now=F.lit(run_ts).cast("timestamp")), batch_path)
         enforce(table, spec)
         if target_table:
             batch = upsert_table(table, target_table, spec, batch_is_staged=True)
@@ -68,4 +72,8 @@ def run(spark: SparkSession, sources, target_path: str | None = None,
         raise
     if log_path:
         append_log_rows(spark, log_path, [(STEP_STARTED, started), (STEP_DONE, None)])
-    return RunResult(batch=batch, inserted_at=run_ts)
+    rows = batch.count()
+    if not keep_batch:
+        delete_path(spark, batch_path)
+        batch = None
+    return RunResult(batch=batch, inserted_at=run_ts, rows=rows)

@@ -70,7 +70,8 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
-def _delete(spark: SparkSession, path: str) -> None:
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Remove a staged folder (recursively) once nothing reads it any more."""
     fs, p = _fs_path(spark, path)
     fs.delete(p, True)
 
@@ -105,7 +106,7 @@ def upsert_partitioned(batch: DataFrame, path: str, keys, partition_col: str = "
         .partitionBy(partition_col)
         .parquet(path))
     if merged_path:
-        _delete(spark, merged_path)   # committed; the staged copy is no longer read
+        delete_path(spark, merged_path)   # committed; the staged copy is no longer read
     return staged
 
 
