@@ -46,8 +46,9 @@ def refresh_on_arrival(
     def on_batch(batch: DataFrame, epoch_id: int) -> None:
         opts = options() if callable(options) else options
         cutoff = cutoff_month(opts.as_of)
-        # One bounded probe: does any new row touch the horizon?
-        relevant = batch.where(F.col(month_column) >= F.lit(cutoff)).limit(1).count() > 0
+        # One bounded probe (incremental take of one row): does any new row
+        # touch the horizon?
+        relevant = len(batch.where(F.col(month_column) >= F.lit(cutoff)).select(F.lit(1)).take(1)) > 0
         if relevant:
             run(spark, make_sources(), target_path, log_path, opts, variant)
 

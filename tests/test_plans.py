@@ -82,3 +82,12 @@ def test_no_cross_joins_and_no_python_in_any_query(spark):
         text = plan_text(fn(spark, SF_SMALL))
         found = [b for b in banned if b in text]
         assert not found, (name, found)
+
+
+def test_broadcast_proof_respects_the_bound(spark):
+    from paygrid.operators.joins import broadcast_if_bounded
+    small = spark.range(10)
+    big = spark.range(1000)
+    hinted = lambda df: "broadcast" in df._jdf.queryExecution().analyzed().toString().lower()
+    assert hinted(broadcast_if_bounded(small, max_rows=10))
+    assert not hinted(broadcast_if_bounded(big, max_rows=10))
