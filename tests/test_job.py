@@ -95,3 +95,22 @@ def test_upsert_reads_only_the_touched_months(spark):
     text = pruned._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(week_dt" in text and "2000-04-01" in text
     assert pruned.count() == 1
+
+
+def test_command_line_run(spark):
+    import json
+    import os
+    import subprocess
+    import sys
+    from conftest import SF_SMALL
+    target, log = scratch_path(spark, "t-cli"), scratch_path(spark, "t-cli-log")
+    repo = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    env = dict(os.environ, PYTHONPATH=repo)
+    out = subprocess.run(
+        [sys.executable, "-m", "paygrid", "--testdata", SF_SMALL, "--target", target, "--log", log,
+         "--as-of", "2001-08-15", "--master", "local[2]"],
+        capture_output=True, text=True, env=env, timeout=600, cwd=repo)
+    assert out.returncode == 0, out.stderr[-2000:]
+    report = json.loads(out.stdout.strip().splitlines()[-1])
+    assert report["status"] == "ok" and report["rows"] == 232
+    assert spark.read.parquet(target).count() == 232
