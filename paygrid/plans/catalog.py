@@ -16,7 +16,6 @@ from ..session import scratch_path
 from ..sources.sinks import batch_partitions, delete_path, merge_by_key, stage, stage_at
 from .contracts import Contract, conform, contract
 
-TABLES = ("features", "flags", "recommendations")
 PARTITION_COLUMN = "week_dt"
 
 
@@ -50,17 +49,28 @@ def ensure_tables(spark: SparkSession, names: dict[str, str], variant: str = "wi
         spark.sql(create_table_sql(contract(kind, variant), name, location))
 
 
+def created_variant(schema: T.StructType, kind: str = "features") -> str | None:
+    """Which contract variant a table's column types come from (None: neither)."""
+    types = {f.name: f.dataType for f in schema.fields}
+    for variant in ("compact", "wide"):
+        declared = {f.name: f.dataType for f in contract(kind, variant).schema.fields}
+        if types == declared:
+            return variant
+    return None
+
+
 def table_contract(spark: SparkSession, name: str, kind: str = "features") -> Contract:
-    """The contract of an existing table: its own column types, the kind's keys,
-    checks and defaults."""
-    base = contract(kind, "wide")
+    """The contract of an existing table: its own column types, the keys and
+    defaults of its kind, and the CHECKs of the variant that created it."""
     schema = spark.table(name).schema
+    variant = created_variant(schema, kind)
+    declared = contract(kind, variant or "wide")
     # Catalog schemas report every column nullable; keep the declared NOT NULLs.
-    required = {f.name for f in base.schema.fields if not f.nullable}
+    required = {f.name for f in declared.schema.fields if not f.nullable}
     fields = [T.StructField(f.name, f.dataType, f.name not in required) for f in schema.fields]
-    checks = {c: v for c, v in contract(kind, "compact").checks.items()
-              if isinstance(schema[c].dataType, T.StringType)} if kind == "features" else {}
-    return Contract(base.name, T.StructType(fields), base.keys, checks, base.defaults)
+    checks = declared.checks if variant else {}
+    defaults = {c: v for c, v in declared.defaults.items() if c in schema.names}
+    return Contract(declared.name, T.StructType(fields), declared.keys, checks, defaults)
 
 
 def upsert_table(batch: DataFrame, name: str, spec: Contract,

@@ -73,3 +73,15 @@ def test_sources_from_catalog_tables_give_the_same_mart(spark):
     a = sorted((tuple(r) for r in build_mart(tables, opts).collect()), key=repr)
     b = sorted((tuple(r) for r in build_mart(src, opts).collect()), key=repr)
     assert a == b and len(a) == 232
+
+
+def test_checks_follow_the_variant_that_created_the_table(spark):
+    from paygrid.plans.catalog import created_variant, table_contract
+    root = scratch_path(spark, "cat5")
+    ensure_tables(spark, {"features": "chk_compact"}, "compact", location_root=f"{root}/c")
+    ensure_tables(spark, {"features": "chk_wide"}, "wide", location_root=f"{root}/w")
+    assert created_variant(spark.table("chk_compact").schema) == "compact"
+    assert created_variant(spark.table("chk_wide").schema) == "wide"
+    assert "competitor_food_cat" in table_contract(spark, "chk_compact").checks
+    assert table_contract(spark, "chk_wide").checks == {}
+    assert table_contract(spark, "chk_wide").defaults["location_rk"] == ""
