@@ -60,9 +60,13 @@ def created_variant(schema: T.StructType, kind: str = "features") -> str | None:
 
 
 def table_contract(spark: SparkSession, name: str, kind: str = "features") -> Contract:
+    """The contract of an existing catalog table (see :func:`contract_for_schema`)."""
+    return contract_for_schema(spark.table(name).schema, kind)
+
+
+def contract_for_schema(schema: T.StructType, kind: str = "features") -> Contract:
     """The contract of an existing table: its own column types, the keys and
     defaults of its kind, and the CHECKs of the variant that created it."""
-    schema = spark.table(name).schema
     variant = created_variant(schema, kind)
     declared = contract(kind, variant or "wide")
     # Catalog schemas report every column nullable; keep the declared NOT NULLs.

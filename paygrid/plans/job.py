@@ -20,8 +20,8 @@ from pyspark.sql import functions as F
 from ..functions.constants import STEP_DONE, STEP_STARTED
 from ..operators.validate import enforce
 from ..session import scratch_path
-from ..sources.sinks import append_log_rows, delete_path, stage_at, upsert_partitioned
-from .catalog import ensure_tables, table_contract, upsert_table
+from ..sources.sinks import append_log_rows, delete_path, path_exists, stage_at, upsert_partitioned
+from .catalog import contract_for_schema, ensure_tables, table_contract, upsert_table
 from .contracts import conform, contract
 from .mart import MartOptions, build_mart
 
@@ -55,6 +55,8 @@ def run(spark: SparkSession, sources, target_path: str | None = None,
         if target_table:
             ensure_tables(spark, {"features": target_table}, variant)
             spec = table_contract(spark, target_table)
+        elif path_exists(spark, target_path):   # an existing table keeps its types
+            spec = contract_for_schema(spark.read.parquet(target_path).schema)
         else:
             spec = contract("features", variant)
         mart = build_mart(sources, options)

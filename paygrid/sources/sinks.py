@@ -65,7 +65,7 @@ def _fs_path(spark: SparkSession, path: str):
     return hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hadoop_path
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
+def path_exists(spark: SparkSession, path: str) -> bool:
     fs, p = _fs_path(spark, path)
     return fs.exists(p)
 
@@ -89,7 +89,7 @@ def upsert_partitioned(batch: DataFrame, path: str, keys, partition_col: str = "
     if not months:
         return staged   # empty batch: nothing to insert or replace
     merged_path = None
-    if _exists(spark, path):
+    if path_exists(spark, path):
         target = spark.read.parquet(path)
         touched = target.where(F.col(partition_col).isin(months))   # static partition pruning
         merged_path = scratch_path(spark, "upsert-merged")

@@ -81,7 +81,7 @@ def test_failed_run_without_failure_logging_leaves_no_rows(spark):
             log_failures=False)
     except ValueError:
         pass
-    from paygrid.sources.sinks import _exists
+    from paygrid.sources.sinks import path_exists as _exists
     assert not _exists(spark, log)
 
 
@@ -114,3 +114,15 @@ def test_command_line_run(spark):
     report = json.loads(out.stdout.strip().splitlines()[-1])
     assert report["status"] == "ok" and report["rows"] == 232
     assert spark.read.parquet(target).count() == 232
+
+
+def test_existing_parquet_target_keeps_its_types(spark):
+    from pyspark.sql import types as T
+    src = make_sources(spark, [base_row(m, cnt_vacancy_site=i + 1) for i, m in enumerate(months(3))])
+    target = scratch_path(spark, "t-types")
+    run(spark, src, target, None, MartOptions(as_of="2001-08-15"), variant="compact")
+    run(spark, src, target, None, MartOptions(as_of="2001-08-15"), variant="wide")
+    schema = spark.read.parquet(target).schema
+    assert schema["ext_salary_p50"].dataType == T.DecimalType(14, 2)
+    assert schema["avg_vacancy_12w"].dataType == T.IntegerType()
+    assert spark.read.parquet(target).count() == 3
