@@ -30,16 +30,19 @@ def refresh_on_arrival(
     watch_path: str,
     watch_schema: str,
     make_sources: Callable[[], object],
-    target_path: str,
+    target_path: str | None,
     checkpoint_path: str,
     log_path: str | None = None,
     options: MartOptions | Callable[[], MartOptions] = MartOptions(),
     variant: str = "wide",
     available_now: bool = True,
     month_column: str = "month_dt",
+    target_table: str | None = None,
 ) -> StreamingQuery:
     """Start a file stream on ``watch_path`` that refreshes the mart.
 
+    The mart is merged into ``target_path`` (parquet folder) or, with
+    ``target_path=None``, into catalog table ``target_table``.
     ``make_sources`` is called per run so each run sees the current files;
     ``options`` may be a callable to take a fresh as-of date per run.
     """
@@ -50,7 +53,8 @@ def refresh_on_arrival(
         # touch the horizon?
         relevant = len(batch.where(F.col(month_column) >= F.lit(cutoff)).select(F.lit(1)).take(1)) > 0
         if relevant:
-            run(spark, make_sources(), target_path, log_path, opts, variant)
+            run(spark, make_sources(), target_path=target_path, log_path=log_path,
+                options=opts, variant=variant, target_table=target_table)
 
     stream = spark.readStream.schema(watch_schema).parquet(watch_path)
     writer = (stream.writeStream
