@@ -45,3 +45,12 @@ def test_guarded_arithmetic_never_divides_by_zero(spark):
     assert [r["r"] for r in rows] == [None, 0.5, -4.5, None]
     assert [r["g"] for r in rows] == [None, -0.2, None, None]
     assert [r["s"] for r in rows] == [5.0, -1.0, None, None]
+
+
+def test_as_of_defaults_to_the_current_date():
+    from paygrid.operators.horizon import cutoff_month, resolve_as_of
+    today = dt.date.today()
+    assert resolve_as_of(None) == today
+    assert cutoff_month(None) == horizon_start(today)
+    assert resolve_as_of("2001-08-15") == dt.date(2001, 8, 15)
+    assert resolve_as_of(dt.datetime(2001, 8, 15, 23, 0)) == dt.date(2001, 8, 15)
