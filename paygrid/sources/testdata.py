@@ -13,13 +13,13 @@ Scale notes
   scale factor, so they are broadcast; ``customer`` is joined without a hint
   (Spark broadcasts it only while its estimated size is under the threshold,
   otherwise it is a shuffle join).
-* ``orders`` is joined to customer geography once and feeds both ``base``
-  and ``vac`` (one vacancy per order), so that scan and join are shared;
-  only ``ext`` joins ``lineitem``, to the narrow (orderkey, priority,
-  location) relation, so the big fact table is shuffled once, with only the
-  columns it needs.
+* ``orders`` is joined to customer geography once per source; ``ext`` and
+  ``vac`` each join ``lineitem`` (3 of its 11 columns, shipped-since filter
+  pushed into the scan) to that narrow (orderkey, priority, location)
+  relation.  They stand for two independent upstream tables, so each pays
+  its own join: at scale one ``lineitem`` shuffle per source.
 * All grouped measures are partial-aggregated before the shuffle.  The
-  percentiles are exact ``percentile_disc`` over prices rounded down to a
+  percentiles are exact ``percentile_disc`` over prices rounded up to a
   1,000 grid: the aggregation buffer is a value->count map, so its size is
   bounded by the price range / 1,000 (hundreds of entries) no matter how many
   rows a hot group holds.
@@ -41,7 +41,7 @@ from ..operators.joins import fixed_size
 
 # FIXED VALUES of the adapters (test scaffolding, not job semantics).
 PRICE_GRID = 1000.0
-NO_AGGLOMERATION_REGION = "AFRICA"        # agglomeration NULL (vac: '' or NULL by order key)
+NO_AGGLOMERATION_REGION = "AFRICA"        # agglomeration NULL (vac: '' or NULL by price parity)
 NO_LOCATION_REGION = "MIDDLE EAST"        # location_rk NULL -> '' in the job
 SECOND_MARKET_TYPE = "Food"               # extra ext copy the job must ignore
 COMPETITOR_CAPITALISED = "Не определено"  # must be kept (sentinel is lower case)
@@ -69,7 +69,8 @@ def _quartiles(column: str) -> Column:
 
 
 def _grid(c: str) -> Column:
-    return (F.floor(F.col(c) / F.lit(PRICE_GRID)) * F.lit(PRICE_GRID)).cast("double")
+    """Price rounded up to the grid (never 0, so non-NULL percentiles stay positive)."""
+    return (F.ceil(F.col(c) / F.lit(PRICE_GRID)) * F.lit(PRICE_GRID)).cast("double")
 
 
 class TestDataSources:
@@ -244,17 +245,17 @@ class TestDataSources:
         return g.select(*cols)
 
     def vac(self, since: dt.date | None = None) -> DataFrame:
-        """One single vacancy per order, on its order date.
+        """One single vacancy per line item, on its ship date.
 
-        Built from the same (orders x customer geography) relation as
-        ``base``, so the two sources share one scan and join (Spark reuses
-        the exchange); only ``ext`` reads ``lineitem``.
+        AFRICA rows get '' or NULL as agglomeration by the parity of the whole
+        price, so most months hold both groups and the null-as-empty join
+        fans out (both match the NULL agglomeration of the in-house rows).
         """
-        orders = self._orders(since)
+        lines = self._lines(since)
         africa = F.col("reg") == NO_AGGLOMERATION_REGION
-        even = (F.col("o_orderkey") % 2) == 0
-        return orders.select(
-            F.to_date("o_orderdate").alias("month_dt"),
+        even = (F.floor("l_extendedprice") % 2) == 0
+        return lines.select(
+            F.to_date("l_shipdate").alias("month_dt"),
             F.col("prio").alias("position_type_id"),
             F.when(africa & even, F.lit("")).when(africa, F.lit(None).cast("string"))
             .otherwise(F.col("agg")).alias("agglomeration_name"),
