@@ -19,9 +19,8 @@ def duck():
     return con
 
 
-def test_every_query_has_an_oracle_or_is_rows_only():
-    assert set(ORACLE) <= set(QUERIES)
-    assert set(QUERIES) - set(ORACLE) == {"run_log"}
+def test_every_query_has_an_oracle():
+    assert set(ORACLE) == set(QUERIES)
 
 
 @pytest.mark.parametrize("name", sorted(ORACLE))
