@@ -63,6 +63,9 @@ def cluster_conf(expected_shuffle_bytes: int, cores: int,
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": size,
         "spark.sql.files.maxPartitionBytes": size,
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * partition_bytes),
+        # Coalesce to the target size rather than to maximum parallelism:
+        # fewer, fuller tasks on a busy cluster (Spark's own recommendation).
+        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
     }
 
 
