@@ -48,9 +48,10 @@ def lookup_position(base: DataFrame, dim: DataFrame) -> DataFrame:
     original).
     """
     d = dim.select(F.col("id").alias("_dim_id"), F.col("name").alias("dim_name"))
-    joined = base.join(d, F.col("position_type_id") == F.col("_dim_id"), "left").drop("_dim_id")
-    return joined.withColumn(
-        "position_name", F.coalesce(F.col("hrm_job_title_nm"), F.col("dim_name")))
+    joined = base.join(d, F.col("position_type_id") == F.col("_dim_id"), "left")
+    return joined.select(
+        *base.columns, "dim_name",
+        F.coalesce(F.col("hrm_job_title_nm"), F.col("dim_name")).alias("position_name"))
 
 
 def prepare_base(base: DataFrame, dim: DataFrame | None, cutoff: dt.date | None) -> DataFrame:
