@@ -126,3 +126,13 @@ def test_existing_parquet_target_keeps_its_types(spark):
     assert schema["ext_salary_p50"].dataType == T.DecimalType(14, 2)
     assert schema["avg_vacancy_12w"].dataType == T.IntegerType()
     assert spark.read.parquet(target).count() == 3
+
+
+def test_run_with_nothing_in_the_horizon(spark):
+    src = make_sources(spark, [base_row("1999-01-01")])      # older than the horizon
+    target, log = scratch_path(spark, "t-empty"), scratch_path(spark, "t-empty-log")
+    result = run(spark, src, target, log, MartOptions(as_of="2001-08-15"))
+    from paygrid.sources.sinks import path_exists
+    assert result.rows == 0 and not path_exists(spark, target)
+    assert [r["description_step"] for r in read_log(spark, log).orderBy("logged_at").collect()] == [
+        STEP_STARTED, STEP_DONE]
