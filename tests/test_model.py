@@ -29,13 +29,19 @@ def _num(x):
     return None if x is None else float(decimal.Decimal(str(x)))
 
 
-def model_mart(base, dim, ext, vac, exact=False, dedupe_before=False):
+def _months_before(day: dt.date, months: int) -> dt.date:
+    total = day.year * 12 + day.month - 1 - months
+    return dt.date(total // 12, total % 12 + 1, 1)
+
+
+def model_mart(base, dim, ext, vac, exact=False, dedupe_before=False, warmup=0):
+    read_from = _months_before(CUTOFF, warmup)
     names = {}
     for d in dim:
         names.setdefault(d["id"], []).append(d["name"])
     pay = []
     for r in base:
-        if r["month_dt"] is None or r["month_dt"] < CUTOFF:
+        if r["month_dt"] is None or r["month_dt"] < read_from:
             continue
         for name in names.get(r["position_type_id"], [None]):
             pay.append(dict(
@@ -51,7 +57,7 @@ def model_mart(base, dim, ext, vac, exact=False, dedupe_before=False):
                 company_competitor=r["company_competitor"]))
     market = []
     for e in ext:
-        if e["month_dt"] < CUTOFF or e["type_agg"] != WHOLE_MARKET:
+        if e["month_dt"] < read_from or e["type_agg"] != WHOLE_MARKET:
             continue
         pick = lambda p: next((_num(e[k]) for k in (p, p + "_3month", p + "_6month") if e[k] is not None), None)
         market.append(dict(key=(e["month_dt"].replace(day=1), e["position_type_id"], e["agglomeration_name"] or ""),
@@ -59,7 +65,7 @@ def model_mart(base, dim, ext, vac, exact=False, dedupe_before=False):
                            cnt=e["cnt_vacancy_site"]))
     counts = {}
     for v in vac:
-        if v["month_dt"] >= CUTOFF:
+        if v["month_dt"] >= read_from:
             k = (v["month_dt"].replace(day=1), v["position_type_id"], v["agglomeration_name"])
             counts[k] = counts.get(k, 0) + 1
     joined = []
@@ -95,6 +101,8 @@ def model_mart(base, dim, ext, vac, exact=False, dedupe_before=False):
         for i, r in enumerate(rows):
             if i > 0 and rows[i - 1]["week_dt"] == r["week_dt"]:
                 continue
+            if r["week_dt"] < CUTOFF:      # read as warm-up history only
+                continue
             back = lambda n, c: rows[i - n][c] if i - n >= 0 else None
             def avg(lo, hi):
                 vals = [rows[k]["cnt_vacancy_site"] for k in range(max(0, i + lo), i + hi + 1)
@@ -160,6 +168,7 @@ def _close(a, b):
 MODES = [
     dict(bounded=True), dict(bounded=False),
     dict(bounded=True, count_ratio="exact"), dict(bounded=True, dedupe="before"),
+    dict(bounded=True, warmup_months=2),
 ]
 
 
@@ -172,7 +181,8 @@ def test_spark_matches_brute_force_model(spark, mode, base, ext, vac):
     got = {(r["week_dt"], r["position_id"], r["location_rk"]): r.asDict()
            for r in build_mart(src, MartOptions(as_of=AS_OF, **mode)).collect()}
     want = model_mart(base, dim, ext, vac, exact=mode.get("count_ratio") == "exact",
-                      dedupe_before=mode.get("dedupe") == "before")
+                      dedupe_before=mode.get("dedupe") == "before",
+                      warmup=mode.get("warmup_months", 0))
     assert set(got) == set(want)
     for key, expected in want.items():
         for col, value in expected.items():
