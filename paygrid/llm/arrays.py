@@ -12,7 +12,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 NULL_ID = -(2 ** 63)   # a null doc_id sorts before every other id
 BASE = 0x9E3779B97F4A7C15
 INVERSE = pow(BASE, -1, 2 ** 64)
@@ -114,7 +114,8 @@ class Rolling:
 
     def _grow(self, n: int) -> None:
         if len(self.up) <= n:
-            self.up, self.down = powers(2 * n, BASE), powers(2 * n, INVERSE)
+            n += n // 8
+            self.up, self.down = powers(n, BASE), powers(n, INVERSE)
 
     def prefix(self, codes: np.ndarray) -> np.ndarray:
         self._grow(len(codes))
@@ -127,14 +128,9 @@ class Rolling:
         h *= self.down[starts]
         return mix(h)
 
-    def windows(self, prefix: np.ndarray, size: int) -> np.ndarray:
-        """Hash of every range of ``size``, by its start."""
-        n = len(prefix) - 1
-        if n < size:
-            return np.zeros(0, np.uint64)
-        h = prefix[size:] - prefix[:n - size + 1]
-        h *= self.down[:n - size + 1]
-        return mix(h)
+    def at(self, prefix: np.ndarray, starts: np.ndarray, size: int) -> np.ndarray:
+        """Hash of the ranges of ``size`` at ``starts``."""
+        return self.ranges(prefix, starts, starts + size)
 
 
 def word_codes(roll: Rolling, table: np.ndarray, data, starts, ends) -> np.ndarray:

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-CHUNK_ENTRIES = 3_000_000
+CHUNK_ENTRIES = 2_000_000
 REQUEST = "bucket int, pack binary"
 REPLY = "id long, base int, lows binary"
 
@@ -82,7 +82,7 @@ class Requests:
         self.count = 0
 
     def add(self, ids: np.ndarray, row: np.ndarray, pos: np.ndarray, key: np.ndarray):
-        self.held.append((ids[row] if len(row) else np.zeros(0, np.int64), pos, key))
+        self.held.append((ids[row] if len(row) else np.zeros(0, np.int64), pos.astype(np.uint32), key))
         self.count += len(row)
         if self.count >= CHUNK_ENTRIES:
             yield from self.flush()
@@ -90,8 +90,9 @@ class Requests:
     def flush(self):
         if not self.count:
             return
-        ids, pos, key = (np.concatenate(x) for x in zip(*self.held, strict=True))
+        columns = [list(x) for x in zip(*self.held, strict=True)]
         self.held, self.count = [], 0
+        ids, pos, key = (np.concatenate(columns.pop(0)) for _ in range(3))
         if len(ids) > 1 and (ids[1:] < ids[:-1]).any():
             order = np.argsort(ids, kind="stable")
             ids, pos, key = ids[order], pos[order], key[order]
@@ -113,8 +114,9 @@ class Requests:
             at = np.repeat(least, size)
             own = code[np.repeat(most != least, size) & ((code != at) if self.earliest else True)]
             # no key, so any bucket will do: spread by the smallest id
-            rows_b.append(int(docs[own[0] >> 32] % self.n) if len(own) else 0)
-            rows_p.append(_pack(docs, np.unique(own), None))
+            rows_b.append(int(docs[own[0] >> 32] % self.n))
+            own.sort()
+            rows_p.append(_pack(docs, own[np.concatenate([[True], own[1:] != own[:-1]])], None))
         if self.prefer is not None and len(many):
             good = np.where(self.prefer(code & 0xFFFFFFFF), code, np.int64(2 ** 62))
             best = np.minimum.reduceat(good, start)
@@ -151,49 +153,37 @@ def answers(requests: DataFrame, earliest: bool, needs=None) -> DataFrame:
     """
 
     def reduce(table: pa.Table) -> pa.Table:
-        done_i, done_p, ids, pos, keys = [], [], [], [], []
-        for pack in table.column("pack").to_pylist():
-            i, doc, p, k = _unpack(pack)
-            if k is None:
-                done_i.append(i[doc])
-                done_p.append(p)
+        packs = [_unpack(x.as_buffer()) for x in table.column("pack").combine_chunks()]
+        every = np.unique(np.concatenate([x[0] for x in packs]))
+        done, code, key = [], [], []
+        for ids, doc, pos, keys in packs:
+            own = (np.searchsorted(every, ids)[doc] << 32) | pos
+            if keys is None:
+                done.append(own)
             else:
-                ids.append(i[doc])
-                pos.append(p)
-                keys.append(k)
-        if keys:
-            i, p, k = np.concatenate(ids), np.concatenate(pos), np.concatenate(keys)
-            del ids, pos, keys
-            order = np.argsort(k)
-            i, p, k = i[order], p[order], k[order]
-            start = np.flatnonzero(np.concatenate([[True], k[1:] != k[:-1]]))
-            size = np.diff(start, append=len(k))
-            many = size > 1
+                code.append(own)
+                key.append(keys)
+        del packs
+        if key:
+            key, code = np.concatenate(key), np.concatenate(code)
+            order = np.argsort(key)
+            key, code = key[order], code[order]
+            del order
+            start = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+            size = np.diff(start, append=len(key))
+            least = np.minimum.reduceat(code, start)
+            # a row given twice is in one place, not in two
+            many = np.maximum.reduceat(code, start) != least
             if needs is not None:
-                many &= np.logical_or.reduceat(needs(p), start)
-            keep = np.repeat(many, size)
-            group = np.repeat(np.arange(len(start)), size)[keep]
-            i, p = i[keep], p[keep]
-            if earliest and len(i):
-                order = np.lexsort((p, i, group))
-                i, p, group = i[order], p[order], group[order]
-                lead = np.concatenate([[True], group[1:] != group[:-1]])
-                head = np.flatnonzero(lead)
-                many = np.diff(head, append=len(i))
-                # a row given twice is in one place, not in an earlier one
-                later = (i != np.repeat(i[head], many)) | (p != np.repeat(p[head], many))
-                i, p = i[later], p[later]
-            done_i.append(i)
-            done_p.append(p)
-        if not done_i:
-            return _rows(np.zeros(0, np.int64), np.zeros(0, np.int64))
-        i, p = np.concatenate(done_i), np.concatenate(done_p).astype(np.int64)
-        order = np.lexsort((p, i))
-        i, p = i[order], p[order]
-        if len(i):
-            keep = np.concatenate([[True], (i[1:] != i[:-1]) | (p[1:] != p[:-1])])
-            i, p = i[keep], p[keep]
-        return _rows(i, p)
+                many &= np.logical_or.reduceat(needs(code & 0xFFFFFFFF), start)
+            hit = np.repeat(many, size)
+            if earliest:
+                hit &= code != np.repeat(least, size)
+            done.append(code[hit])
+        code = np.sort(np.concatenate(done))
+        if len(code):
+            code = code[np.concatenate([[True], code[1:] != code[:-1]])]
+        return _rows(every[code >> 32], code & 0xFFFFFFFF)
 
     return requests.groupBy("bucket").applyInArrow(reduce, REPLY)
 
@@ -205,6 +195,14 @@ def keyed(docs: DataFrame) -> DataFrame:
     return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)).alias("id"), "text")
 
 
+def copies(docs: DataFrame) -> DataFrame:
+    """Ids of the rows whose whole text an earlier id has too."""
+    own = docs.select("id", F.md5(F.coalesce("text", F.lit(""))).alias("digest"))
+    first = own.groupBy("digest").agg(F.min("id").alias("first"), F.max("id").alias("last"))
+    first = first.filter("first < last").select("digest", "first")
+    return own.join(first, "digest").filter("id > first").select("id").distinct().withColumn("copy", F.lit(True))
+
+
 def with_hits(docs: DataFrame, replies: DataFrame) -> DataFrame:
     """docs (id, text) with ``hits``: an array of (base, lows), null without any."""
     per = replies.groupBy("id").agg(F.collect_list(F.struct("base", "lows")).alias("hits"))
@@ -234,3 +232,10 @@ def hit_flags(column: pa.Array, starts: np.ndarray, total: int) -> np.ndarray:
     each = np.diff(offs) // 2
     flags[np.repeat(starts[row] + (base << 16), each) + data] = True
     return flags
+
+
+def whole_rows(batch, first: np.ndarray, size: int) -> np.ndarray:
+    """Flags over all positions of the rows that are copies and hold a window of ``size``."""
+    copy = batch.column(batch.schema.get_field_index("copy")).fill_null(False).to_numpy(zero_copy_only=False)
+    counts = np.diff(first)
+    return np.repeat(copy.astype(bool) & (counts >= size), counts)

@@ -3,6 +3,8 @@
 A repeat of ``window`` words holds a whole block of ``window // 2`` words that
 starts at a multiple of the block's size in its document.  So:
 
+0. of texts that are equal as a whole only the first takes part: all windows of
+   its copies start earlier;
 1. every document indexes its non-overlapping blocks and probes them with
    every rolling window of the block's size (``exchange``); positions whose key
    meets a block elsewhere are anchors;
@@ -73,6 +75,8 @@ def remove_repeats(docs: DataFrame, window: int = 20) -> DataFrame:
     n_buckets = X.buckets(docs)
     codes = A.byte_codes()
     own = X.keyed(docs)
+    copies = X.copies(own)
+    single = own.join(copies, "id", "left_anti")
 
     def keyed_words(roll, batch, offs, data):
         starts, ends, first = A.words(data, offs, A.SPACE)
@@ -83,7 +87,7 @@ def remove_repeats(docs: DataFrame, window: int = 20) -> DataFrame:
         for batch, offs, data in A.text_slices(batches):
             prefix, _, _, first = keyed_words(roll, batch, offs, data)
             index, row = _rows(first[:-1], np.maximum(np.diff(first) - block + 1, 0))
-            yield from out.add(A.ids(batch, "id"), row, index - first[row], roll.windows(prefix, block)[index])
+            yield from out.add(A.ids(batch, "id"), row, index - first[row], roll.at(prefix, index, block))
         yield from out.flush()
 
     def extend(batches):
@@ -94,14 +98,14 @@ def remove_repeats(docs: DataFrame, window: int = 20) -> DataFrame:
             total = np.concatenate([[0], np.cumsum(anchors)])
             near = total[np.minimum(np.arange(len(anchors)) + window - block + 1, len(anchors))] > total[:-1]
             index, row = _rows(first[:-1], np.maximum(np.diff(first) - window + 1, 0), near)
-            yield from out.add(A.ids(batch, "id"), row, index - first[row], roll.windows(prefix, window)[index])
+            yield from out.add(A.ids(batch, "id"), row, index - first[row], roll.at(prefix, index, window))
         yield from out.flush()
 
     def finish(batches):
         for batch, offs, data in A.text_slices(batches):
             starts, ends, first = A.words(data, offs, A.SPACE)
             hits = X.hit_flags(batch.column(batch.schema.get_field_index("hits")), first[:-1], int(first[-1]))
-            gone = A.covered(hits, window)
+            gone = A.covered(hits, window) | X.whole_rows(batch, first, window)
             total = np.concatenate([[0], np.cumsum(gone)])[first]
             ids = A.ids(batch, "id")
             yield pa.RecordBatch.from_arrays([
@@ -111,10 +115,10 @@ def remove_repeats(docs: DataFrame, window: int = 20) -> DataFrame:
                 runs(gone, first),
             ], ["doc_id", "n_words", "n_removed", "kept_text", "removed"])
 
-    anchors = X.answers(own.mapInArrow(probe, X.REQUEST), False, lambda p: p % block == 0)
-    near = X.with_hits(own, anchors).filter(F.col("hits").isNotNull())
+    anchors = X.answers(single.mapInArrow(probe, X.REQUEST), False, lambda p: p % block == 0)
+    near = X.with_hits(single, anchors).filter(F.col("hits").isNotNull())
     repeats = X.answers(near.mapInArrow(extend, X.REQUEST), True)
-    return X.with_hits(own, repeats).mapInArrow(finish, SCHEMA)
+    return X.with_hits(own, repeats).join(copies, "id", "left").mapInArrow(finish, SCHEMA)
 
 
 def op3_substring_dedup(spark, sf_dir):

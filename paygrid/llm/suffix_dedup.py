@@ -4,6 +4,8 @@ Texts are UTF-8 bytes; a repeat is a string of ``length`` bytes that starts
 earlier too.  A difference cover D modulo v has, for any two positions i and
 j, a shift s < v with (i + s) mod v and (j + s) mod v both in D.  So:
 
+0. Of texts that are equal as a whole only the first takes part: all strings of
+   its copies start earlier.
 1. *Cover sample.*  Only positions in D are keyed, by their next
    ``length - v + 1`` bytes, and sorted bucket by bucket (``exchange``): equal
    keys have equal ranks.  Two suffixes that agree on ``length`` bytes have a
@@ -47,19 +49,23 @@ def remove_repeats(docs: DataFrame, length: int = 100) -> DataFrame:
     depth = length - COVER_MODULUS + 1
     n_buckets = X.buckets(docs)
     codes = A.byte_codes()
-    in_cover = np.isin(np.arange(COVER_MODULUS), COVER)
+    cover = np.array(COVER)
     own = X.keyed(docs)
+    copies = X.copies(own)
+    single = own.join(copies, "id", "left_anti")
 
     def sample(batches):
         roll, out = A.Rolling(), X.Requests(n_buckets, False)
         for batch, offs, data in A.text_slices(batches):
-            keys = roll.windows(roll.prefix(codes[data]), depth)
             counts = np.maximum(np.diff(offs) - depth + 1, 0)
-            index, row = _rows(offs[:-1], counts)
-            pos = index - offs[row]
-            keep = in_cover[pos % COVER_MODULUS]
-            index, row, pos = index[keep], row[keep], pos[keep]
-            yield from out.add(A.ids(batch, "id"), row, pos, keys[index])
+            cycles = -(-counts // COVER_MODULUS)
+            row = np.repeat(np.arange(len(counts)), cycles)
+            pos = (A.ranges_to_index(np.zeros(len(counts), np.int64), cycles) * COVER_MODULUS)[:, None] + cover
+            row, pos = np.repeat(row, len(cover)), pos.ravel()
+            keep = pos < counts[row]
+            row, pos = row[keep], pos[keep]
+            keys = roll.at(roll.prefix(codes[data]), pos + offs[row], depth)
+            yield from out.add(A.ids(batch, "id"), row, pos, keys)
         yield from out.flush()
 
     def suffixes(batches):
@@ -68,15 +74,15 @@ def remove_repeats(docs: DataFrame, length: int = 100) -> DataFrame:
             tied = X.hit_flags(batch.column(batch.schema.get_field_index("hits")), offs[:-1], len(data))
             total = np.concatenate([[0], np.cumsum(tied)])
             near = total[np.minimum(np.arange(len(tied)) + COVER_MODULUS, len(tied))] > total[:-1]
-            keys = roll.windows(roll.prefix(codes[data]), length)
             index, row = _rows(offs[:-1], np.maximum(np.diff(offs) - length + 1, 0), near)
-            yield from out.add(A.ids(batch, "id"), row, index - offs[row], keys[index])
+            keys = roll.at(roll.prefix(codes[data]), index, length)
+            yield from out.add(A.ids(batch, "id"), row, index - offs[row], keys)
         yield from out.flush()
 
     def finish(batches):
         for batch, offs, data in A.text_slices(batches):
             hits = X.hit_flags(batch.column(batch.schema.get_field_index("hits")), offs[:-1], len(data))
-            gone = A.covered(hits, length)
+            gone = A.covered(hits, length) | X.whole_rows(batch, offs, length)
             total = np.concatenate([[0], np.cumsum(gone)])[offs]
             at = (offs - total).astype(np.int32)
             kept = data[~gone].tobytes()
@@ -88,10 +94,10 @@ def remove_repeats(docs: DataFrame, length: int = 100) -> DataFrame:
                 runs(gone, offs),
             ], ["doc_id", "n_bytes", "n_removed", "kept", "removed"])
 
-    ties = X.answers(own.mapInArrow(sample, X.REQUEST), False)
-    near = X.with_hits(own, ties).filter(F.col("hits").isNotNull())
+    ties = X.answers(single.mapInArrow(sample, X.REQUEST), False)
+    near = X.with_hits(single, ties).filter(F.col("hits").isNotNull())
     repeats = X.answers(near.mapInArrow(suffixes, X.REQUEST), True)
-    return X.with_hits(own, repeats).mapInArrow(finish, SCHEMA)
+    return X.with_hits(own, repeats).join(copies, "id", "left").mapInArrow(finish, SCHEMA)
 
 
 def op4_suffix_array_dedup(spark, sf_dir):
