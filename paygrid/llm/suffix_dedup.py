@@ -39,6 +39,8 @@ from paygrid.llm.substring_dedup import _rows, runs
 #: A perfect difference set: its differences modulo 57 are 1 to 56, once each.
 COVER_MODULUS = 57
 COVER = (0, 1, 3, 13, 32, 36, 43, 52)
+#: Share of tied samples from which on a document is dealt to a task by its least key (a matter of cost only).
+DENSE = 0.25
 SCHEMA = "doc_id long, n_bytes long, n_removed long, kept binary, removed array<struct<start:int,end:int>>"
 
 
@@ -50,6 +52,8 @@ def remove_repeats(docs: DataFrame, length: int = 100) -> DataFrame:
     n_buckets = X.buckets(docs)
     codes = A.byte_codes()
     cover = np.array(COVER)
+    rank = np.zeros(COVER_MODULUS, np.int64)
+    rank[cover] = np.arange(len(cover))
     own = X.keyed(docs)
     copies = X.copies(own)
     single = own.join(copies, "id", "left_anti")
@@ -65,13 +69,33 @@ def remove_repeats(docs: DataFrame, length: int = 100) -> DataFrame:
             keep = pos < counts[row]
             row, pos = row[keep], pos[keep]
             keys = roll.at(roll.prefix(codes[data]), pos + offs[row], depth)
-            yield from out.add(A.ids(batch, "id"), row, pos, keys)
+            ordinal = pos // COVER_MODULUS * len(cover) + rank[pos % COVER_MODULUS]
+            yield from out.add(A.ids(batch, "id"), row, ordinal, keys)
         yield from out.flush()
 
+    def tied_flags(batch, offs):
+        """Flags over the bytes of the tied sample positions."""
+        per = (np.diff(offs) // COVER_MODULUS + 1) * len(cover)
+        first = np.concatenate([[0], np.cumsum(per)])
+        hits = np.flatnonzero(X.hit_flags(batch.column(batch.schema.get_field_index("hits")), first[:-1], int(first[-1])))
+        row = np.searchsorted(first, hits, "right") - 1
+        hits -= first[row]
+        flags = np.zeros(int(offs[-1]), bool)
+        flags[offs[row] + hits // len(cover) * COVER_MODULUS + cover[hits % len(cover)]] = True
+        return flags
+
+    def cluster(batches):
+        roll = A.Rolling()
+        for batch, offs, data in A.text_slices(batches):
+            keys = roll.at(roll.prefix(codes[data]), np.arange(max(len(data) - depth + 1, 0)), depth)
+            keys = np.concatenate([keys, np.full(len(data) + 1 - len(keys), 2 ** 64 - 1, np.uint64)])
+            least = np.minimum.reduceat(keys, offs[:-1]).view(np.int64)
+            yield pa.RecordBatch.from_arrays([batch.column(batch.schema.get_field_index(n)) for n in ("id", "text", "hits")] + [pa.array(least)], ["id", "text", "hits", "cluster"])
+
     def suffixes(batches):
         roll, out = A.Rolling(), X.Requests(n_buckets, True)
         for batch, offs, data in A.text_slices(batches):
-            tied = X.hit_flags(batch.column(batch.schema.get_field_index("hits")), offs[:-1], len(data))
+            tied = tied_flags(batch, offs)
             total = np.concatenate([[0], np.cumsum(tied)])
             near = total[np.minimum(np.arange(len(tied)) + COVER_MODULUS, len(tied))] > total[:-1]
             index, row = _rows(offs[:-1], np.maximum(np.diff(offs) - length + 1, 0), near)
@@ -96,7 +120,12 @@ def remove_repeats(docs: DataFrame, length: int = 100) -> DataFrame:
 
     ties = X.answers(single.mapInArrow(sample, X.REQUEST), False)
     near = X.with_hits(single, ties).filter(F.col("hits").isNotNull())
-    repeats = X.answers(near.mapInArrow(suffixes, X.REQUEST), True)
+    # Mostly tied documents are near copies: side by side, a task sends one suffix for all of them.
+    share = F.expr(f"aggregate(hits, 0L, (n, h) -> n + length(h.lows)) / 2 * {COVER_MODULUS} / {len(COVER)} / octet_length(text)")
+    dense = near.filter(share >= DENSE).mapInArrow(cluster, near.schema.add("cluster", "long"))
+    dense = dense.hint("rebalance", "cluster").drop("cluster")
+    suffix = near.filter(share < DENSE).mapInArrow(suffixes, X.REQUEST).union(dense.mapInArrow(suffixes, X.REQUEST))
+    repeats = X.answers(suffix, True)
     return X.with_hits(own, repeats).join(copies, "id", "left").mapInArrow(finish, SCHEMA)
 
 
