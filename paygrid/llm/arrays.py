@@ -19,9 +19,14 @@ INVERSE = pow(BASE, -1, 2 ** 64)
 
 
 def text_slices(batches, size: int = SLICE_BYTES) -> Iterator[tuple]:
-    """(batch rows, offsets, bytes) of runs of rows; columns ``text`` first needed, null is empty."""
+    """(batch rows, offsets, bytes) of runs of rows; a null ``text`` is empty, a binary one a zstd frame."""
+    import zstandard
+
+    unpress = zstandard.ZstdDecompressor().decompress
     for batch in batches:
         col = batch.column(batch.schema.get_field_index("text"))
+        if pa.types.is_binary(col.type):
+            col = pa.array([unpress(x) for x in col.to_pylist()], pa.large_binary())
         col = col.cast(pa.large_binary()).fill_null(b"")
         bufs = col.buffers()
         n = len(col)

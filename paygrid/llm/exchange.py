@@ -25,8 +25,8 @@ REPLY = "id long, base int, lows binary"
 
 
 def buckets(df: DataFrame) -> int:
-    """Key buckets: twice the session's shuffle partitions, so they grow with the cluster's setting."""
-    return 2 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    """Key buckets: twice the session's shuffle partitions, so they grow with the cluster's setting; 128 at least."""
+    return max(128, 2 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
 
 def _planes(a: np.ndarray) -> bytes:
@@ -195,6 +195,25 @@ def keyed(docs: DataFrame) -> DataFrame:
     return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)).alias("id"), "text")
 
 
+def compact(docs: DataFrame) -> DataFrame:
+    """(id, size, text): the text as a zstd frame, half of what a shuffle's own compression leaves."""
+    from paygrid.llm import arrays as A
+
+    def pack(batches):
+        import zstandard
+
+        press = zstandard.ZstdCompressor(level=3).compress
+        for batch, offs, data in A.text_slices(batches):
+            raw = data.tobytes()
+            at = offs.tolist()
+            yield pa.RecordBatch.from_arrays([
+                batch.column(batch.schema.get_field_index("id")), pa.array(np.diff(offs), pa.int64()),
+                pa.array([press(raw[a:b]) for a, b in zip(at[:-1], at[1:], strict=True)], pa.binary()),
+            ], ["id", "size", "text"])
+
+    return docs.mapInArrow(pack, "id long, size long, text binary")
+
+
 def copies(docs: DataFrame) -> DataFrame:
     """Ids of the rows whose whole text an earlier id has too."""
     own = docs.select("id", F.md5(F.coalesce("text", F.lit(""))).alias("digest"))

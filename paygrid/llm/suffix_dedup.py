@@ -41,6 +41,8 @@ COVER_MODULUS = 57
 COVER = (0, 1, 3, 13, 32, 36, 43, 52)
 #: Share of tied samples from which on a document is dealt to a task by its least key (a matter of cost only).
 DENSE = 0.25
+#: That key is of so many bytes.
+CLUSTER = 24
 SCHEMA = "doc_id long, n_bytes long, n_removed long, kept binary, removed array<struct<start:int,end:int>>"
 
 
@@ -54,8 +56,8 @@ def remove_repeats(docs: DataFrame, length: int = 100) -> DataFrame:
     cover = np.array(COVER)
     rank = np.zeros(COVER_MODULUS, np.int64)
     rank[cover] = np.arange(len(cover))
-    own = X.keyed(docs)
-    copies = X.copies(own)
+    copies = X.copies(X.keyed(docs))
+    own = X.compact(X.keyed(docs))
     single = own.join(copies, "id", "left_anti")
 
     def sample(batches):
@@ -85,12 +87,13 @@ def remove_repeats(docs: DataFrame, length: int = 100) -> DataFrame:
         return flags
 
     def cluster(batches):
+        names = ("id", "size", "text", "hits")
         roll = A.Rolling()
         for batch, offs, data in A.text_slices(batches):
-            keys = roll.at(roll.prefix(codes[data]), np.arange(max(len(data) - depth + 1, 0)), depth)
+            keys = roll.at(roll.prefix(codes[data]), np.arange(max(len(data) - CLUSTER + 1, 0)), CLUSTER)
             keys = np.concatenate([keys, np.full(len(data) + 1 - len(keys), 2 ** 64 - 1, np.uint64)])
             least = np.minimum.reduceat(keys, offs[:-1]).view(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column(batch.schema.get_field_index(n)) for n in ("id", "text", "hits")] + [pa.array(least)], ["id", "text", "hits", "cluster"])
+            yield pa.RecordBatch.from_arrays([batch.column(batch.schema.get_field_index(n)) for n in names] + [pa.array(least)], [*names, "cluster"])
 
     def suffixes(batches):
         roll, out = A.Rolling(), X.Requests(n_buckets, True)
@@ -121,7 +124,7 @@ def remove_repeats(docs: DataFrame, length: int = 100) -> DataFrame:
     ties = X.answers(single.mapInArrow(sample, X.REQUEST), False)
     near = X.with_hits(single, ties).filter(F.col("hits").isNotNull())
     # Mostly tied documents are near copies: side by side, a task sends one suffix for all of them.
-    share = F.expr(f"aggregate(hits, 0L, (n, h) -> n + length(h.lows)) / 2 * {COVER_MODULUS} / {len(COVER)} / octet_length(text)")
+    share = F.expr(f"aggregate(hits, 0L, (n, h) -> n + length(h.lows)) / 2 * {COVER_MODULUS} / {len(COVER)} / size")
     dense = near.filter(share >= DENSE).mapInArrow(cluster, near.schema.add("cluster", "long"))
     dense = dense.hint("rebalance", "cluster").drop("cluster")
     suffix = near.filter(share < DENSE).mapInArrow(suffixes, X.REQUEST).union(dense.mapInArrow(suffixes, X.REQUEST))
