@@ -18,8 +18,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 CHUNK_ENTRIES = 2_000_000
+SALTS = 32
 REQUEST = "bucket int, pack binary"
 REPLY = "id long, base int, lows binary"
 
@@ -211,15 +213,19 @@ def compact(docs: DataFrame) -> DataFrame:
                 pa.array([press(raw[a:b]) for a, b in zip(at[:-1], at[1:], strict=True)], pa.binary()),
             ], ["id", "size", "text"])
 
-    return docs.mapInArrow(pack, "id long, size long, text binary")
+    # not null: else an inner join filters before its exchange, and the outer join cannot reuse that
+    kinds = {"id": T.LongType(), "size": T.LongType(), "text": T.BinaryType()}
+    return docs.mapInArrow(pack, T.StructType([T.StructField(n, k, False) for n, k in kinds.items()]))
 
 
 def copies(docs: DataFrame) -> DataFrame:
     """Ids of the rows whose whole text an earlier id has too."""
     own = docs.select("id", F.md5(F.coalesce("text", F.lit(""))).alias("digest"))
     first = own.groupBy("digest").agg(F.min("id").alias("first"), F.max("id").alias("last"))
-    first = first.filter("first < last").select("digest", "first")
-    return own.join(first, "digest").filter("id > first").select("id").distinct().withColumn("copy", F.lit(True))
+    # a third of all rows may share a text: its rows are dealt over SALTS tasks
+    first = first.filter("first < last").select("digest", "first", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
+    own = own.withColumn("salt", F.pmod("id", F.lit(SALTS)).cast("int"))
+    return own.join(first, ["digest", "salt"]).filter("id > first").select("id").distinct().withColumn("copy", F.lit(True))
 
 
 def with_hits(docs: DataFrame, replies: DataFrame) -> DataFrame:

@@ -126,7 +126,7 @@ def remove_repeats(docs: DataFrame, length: int = 100) -> DataFrame:
     # Mostly tied documents are near copies: side by side, a task sends one suffix for all of them.
     share = F.expr(f"aggregate(hits, 0L, (n, h) -> n + length(h.lows)) / 2 * {COVER_MODULUS} / {len(COVER)} / size")
     dense = near.filter(share >= DENSE).mapInArrow(cluster, near.schema.add("cluster", "long"))
-    dense = dense.hint("rebalance", "cluster").drop("cluster")
+    dense = dense.hint("rebalance", "cluster").sortWithinPartitions("cluster").drop("cluster")
     suffix = near.filter(share < DENSE).mapInArrow(suffixes, X.REQUEST).union(dense.mapInArrow(suffixes, X.REQUEST))
     repeats = X.answers(suffix, True)
     return X.with_hits(own, repeats).join(copies, "id", "left").mapInArrow(finish, SCHEMA)
