@@ -34,15 +34,12 @@ from pyspark.sql import functions as F
 
 from paygrid.llm import arrays as A
 from paygrid.llm import exchange as X
+from paygrid.llm.staging import written
 from paygrid.llm.substring_dedup import _rows, runs
 
 #: A perfect difference set: its differences modulo 57 are 1 to 56, once each.
 COVER_MODULUS = 57
 COVER = (0, 1, 3, 13, 32, 36, 43, 52)
-#: Share of tied samples from which on a document is dealt to a task by its least key (a matter of cost only).
-DENSE = 0.25
-#: That key is of so many bytes.
-CLUSTER = 24
 SCHEMA = "doc_id long, n_bytes long, n_removed long, kept binary, removed array<struct<start:int,end:int>>"
 
 
@@ -86,15 +83,6 @@ def remove_repeats(docs: DataFrame, length: int = 100) -> DataFrame:
         flags[offs[row] + hits // len(cover) * COVER_MODULUS + cover[hits % len(cover)]] = True
         return flags
 
-    def cluster(batches):
-        names = ("id", "size", "text", "hits")
-        roll = A.Rolling()
-        for batch, offs, data in A.text_slices(batches):
-            keys = roll.at(roll.prefix(codes[data]), np.arange(max(len(data) - CLUSTER + 1, 0)), CLUSTER)
-            keys = np.concatenate([keys, np.full(len(data) + 1 - len(keys), 2 ** 64 - 1, np.uint64)])
-            least = np.minimum.reduceat(keys, offs[:-1]).view(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column(batch.schema.get_field_index(n)) for n in names] + [pa.array(least)], [*names, "cluster"])
-
     def suffixes(batches):
         roll, out = A.Rolling(), X.Requests(n_buckets, True)
         for batch, offs, data in A.text_slices(batches):
@@ -121,14 +109,10 @@ def remove_repeats(docs: DataFrame, length: int = 100) -> DataFrame:
                 runs(gone, offs),
             ], ["doc_id", "n_bytes", "n_removed", "kept", "removed"])
 
-    ties = X.answers(single.mapInArrow(sample, X.REQUEST), False)
+    # written, so that the sample's shuffle is gone before the suffixes need the disk
+    ties = written(X.answers(single.mapInArrow(sample, X.REQUEST), False), "cover-ties")
     near = X.with_hits(single, ties).filter(F.col("hits").isNotNull())
-    # Mostly tied documents are near copies: side by side, a task sends one suffix for all of them.
-    share = F.expr(f"aggregate(hits, 0L, (n, h) -> n + length(h.lows)) / 2 * {COVER_MODULUS} / {len(COVER)} / size")
-    dense = near.filter(share >= DENSE).mapInArrow(cluster, near.schema.add("cluster", "long"))
-    dense = dense.hint("rebalance", "cluster").sortWithinPartitions("cluster").drop("cluster")
-    suffix = near.filter(share < DENSE).mapInArrow(suffixes, X.REQUEST).union(dense.mapInArrow(suffixes, X.REQUEST))
-    repeats = X.answers(suffix, True)
+    repeats = X.answers(near.mapInArrow(suffixes, X.REQUEST), True)
     return X.with_hits(own, repeats).join(copies, "id", "left").mapInArrow(finish, SCHEMA)
 
 
