@@ -12,7 +12,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 NULL_ID = -(2 ** 63)   # a null doc_id sorts before every other id
 BASE = 0x9E3779B97F4A7C15
 INVERSE = pow(BASE, -1, 2 ** 64)

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-CHUNK_ENTRIES = 2_000_000
+CHUNK_ENTRIES = 1_250_000
 SALTS = 32
 REQUEST = "bucket int, pack binary"
 REPLY = "id long, base int, lows binary"
