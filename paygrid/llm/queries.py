@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
-from paygrid.llm import substring_dedup, suffix_dedup
+from paygrid.llm import bpe, jaccard_join, substring_dedup, suffix_dedup
 
 QUERIES = {f.__name__: f for f in (
     substring_dedup.op3_substring_dedup,
     suffix_dedup.op4_suffix_array_dedup,
+    jaccard_join.op8_jaccard_join,
+    bpe.op9_byte_bpe,
 )}
 
 ORACLE = {
     "op3_substring_dedup": substring_dedup.ORACLE,
     "op4_suffix_array_dedup": suffix_dedup.ORACLE,
+    "op8_jaccard_join": jaccard_join.ORACLE,
 }
