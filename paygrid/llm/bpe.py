@@ -1,8 +1,8 @@
 """Byte-level BPE encoding and decoding through a global distinct-word shuffle (operator 9).
 
 1. Tasks cut texts into pre-tokens and keep, for a chunk of documents, the
-   distinct words and each position's index among them (written once to the
-   shared folder, so later steps and retries see the same chunks).
+   distinct words and each position's number among them (written once to the
+   shared folder, in buckets by chunk, so later steps and retries see the same chunks).
 2. The chunks' words are shuffled by word bucket; each distinct word of a bucket
    is merged to token ids once, however many chunks have it.
 3. The ids return to their chunks, and every document is put together again by
@@ -32,7 +32,7 @@ from pyspark.sql import types as T
 
 from paygrid.llm import arrays as A
 from paygrid.llm.exchange import _planes, _unplanes
-from paygrid.llm.staging import written
+from paygrid.session import scratch_path
 
 CHUNK_BYTES = 16 << 20
 PACKED = "chunk long, bucket int, kind int, body binary"
@@ -118,11 +118,12 @@ class _Index(dict):
         return at
 
 
-def encode(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
-    """(doc_id, ids): each document's token ids."""
+def encode(docs: DataFrame, ranks_path: str, pattern: str, with_decoded: bool = False) -> DataFrame:
+    """(doc_id, ids): each document's token ids; with ``decoded``, their bytes again."""
     spark = docs.sparkSession
     n_buckets = max(16, int(spark.conf.get("spark.sql.shuffle.partitions")))
     ranks = spark.sparkContext.broadcast(load_ranks(ranks_path))
+    tokens_of = spark.sparkContext.broadcast(token_table(ranks.value))
     source = compiled(pattern)
 
     def pack(batches):
@@ -136,10 +137,16 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
 
         def chunk(ids, counts, at, index):
             own = int.from_bytes(os.urandom(8), "little", signed=True)
-            at = np.concatenate(at) if at else np.zeros(0, np.uint32)
+            at = np.concatenate(at)
+            # frequent words get small numbers: their byte planes compress best
+            order = np.argsort(-np.bincount(at, minlength=len(index)), kind="stable")
+            number = np.empty(len(order), np.uint32)
+            number[order] = np.arange(len(order), dtype=np.uint32)
+            at = number[at]
             body = len(ids).to_bytes(8, "little") + _planes(np.array(ids, np.int64)) + _planes(np.array(counts, np.uint32)) + _planes(at)
             rows = [(own, 0, 0, press(body))]
-            words = [w.encode("utf-8", "surrogatepass") for w in index]
+            words = list(index)
+            words = [words[i].encode() for i in order.tolist()]
             into = np.fromiter((zlib.crc32(w) % n_buckets for w in words), np.int64, len(words))
             order = np.argsort(into, kind="stable")
             edge = np.searchsorted(into[order], np.arange(n_buckets + 1))
@@ -147,12 +154,12 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
                 if (some := order[edge[b]:edge[b + 1]]).size:
                     mine = [words[i] for i in some]
                     sizes = np.fromiter(map(len, mine), np.uint32, len(mine))
-                    rows.append((own, b, 1, press(len(mine).to_bytes(8, "little") + _planes(some.astype(np.uint32)) + _planes(sizes) + b"".join(mine))))
+                    rows.append((own, b, 1, press(len(mine).to_bytes(8, "little") + _planes(np.diff(some, prepend=0).astype(np.uint32)) + _planes(sizes) + b"".join(mine))))
             columns = list(zip(*rows, strict=True))
             return pa.RecordBatch.from_arrays([pa.array(columns[0], pa.int64()), pa.array(columns[1], pa.int32()), pa.array(columns[2], pa.int32()), pa.array(columns[3], pa.binary())], ["chunk", "bucket", "kind", "body"])
 
         ids, counts, at, index, size = [], [], [], _Index(), 0
-        for batch in batches:
+        for batch in (b.slice(k, 500) for b in batches for k in range(0, len(b), 500)):
             for i, text in zip(batch.column(0).fill_null(A.NULL_ID).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 found = find(text) if text else []
                 ids.append(i)
@@ -165,7 +172,11 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
         if ids:
             yield chunk(ids, counts, at, index)
 
-    packed = written(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(pack, PACKED), "bpe-chunks")
+    packed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(pack, PACKED)
+    # in buckets by chunk: the positions need no shuffle of their own
+    name = f"bpe_chunks_{os.urandom(8).hex()}"
+    (packed.write.partitionBy("kind").bucketBy(n_buckets, "chunk").option("path", scratch_path(spark, name)).saveAsTable(name))
+    packed = spark.table(name)
 
     def merge_words(table: pa.Table) -> pa.Table:
         import zstandard
@@ -178,6 +189,7 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
             raw = unpress(raw)
             n = int.from_bytes(raw[:8], "little")
             own, at = _unplanes(raw, 8, n, np.uint32)
+            own = np.cumsum(own, dtype=np.uint32)
             sizes, at = _unplanes(raw, at, n, np.uint32)
             ids = []
             for size in sizes.tolist():
@@ -188,25 +200,22 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
                 ids.append(got)
             counts = np.fromiter(map(len, ids), np.uint32, n)
             bodies.append(zstandard.compress(n.to_bytes(8, "little") + _planes(own) + _planes(counts) + _planes(np.concatenate(ids)), 1))
-        n = len(bodies)
-        return pa.table([table.column("chunk"), table.column("bucket"), pa.array([2] * n, pa.int32()), pa.array(bodies, pa.binary())], ["chunk", "bucket", "kind", "body"])
+        return pa.table([table.column("chunk"), pa.array(bodies, pa.binary())], ["chunk", "body"])
 
-    def assemble(table: pa.Table) -> pa.Table:
+    def assemble(positions: pa.Table, words: pa.Table) -> pa.Table:
         import zstandard
 
         unpress = zstandard.ZstdDecompressor().decompress
-        own, sizes, flat, docs_body = [], [], [], b""
-        for kind, raw in zip(table.column("kind").to_pylist(), table.column("body").to_pylist(), strict=True):
+        own, sizes, flat = [], [], []
+        docs_body = unpress(positions.column("body")[0].as_py())
+        for raw in words.column("body").to_pylist():
             raw = unpress(raw)
             n = int.from_bytes(raw[:8], "little")
-            if kind == 0:
-                docs_body = raw
-            else:
-                a, at = _unplanes(raw, 8, n, np.uint32)
-                b, at = _unplanes(raw, at, n, np.uint32)
-                own.append(a)
-                sizes.append(b)
-                flat.append(_unplanes(raw, at, int(b.sum()), np.uint32)[0])
+            a, at = _unplanes(raw, 8, n, np.uint32)
+            b, at = _unplanes(raw, at, n, np.uint32)
+            own.append(a)
+            sizes.append(b)
+            flat.append(_unplanes(raw, at, int(b.sum()), np.uint32)[0])
         n = int.from_bytes(docs_body[:8], "little")
         ids, at = _unplanes(docs_body, 8, n, np.int64)
         counts, at = _unplanes(docs_body, at, n, np.uint32)
@@ -222,34 +231,43 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
         else:
             tokens, per = np.zeros(0, np.int32), np.zeros(n + 1, np.int64)
         lists = pa.ListArray.from_arrays(pa.array(per.astype(np.int32)), pa.array(tokens))
-        return pa.table([pa.array(ids, mask=ids == A.NULL_ID), lists], ["doc_id", "ids"])
+        out = [pa.array(ids, mask=ids == A.NULL_ID), lists]
+        return pa.table([*out, _decoded(lists, *tokens_of.value)][:2 + with_decoded], ["doc_id", "ids", "decoded"][:2 + with_decoded])
 
-    words = packed.filter("kind = 1").groupBy("bucket").applyInArrow(merge_words, PACKED)
-    return packed.filter("kind = 0").union(words).groupBy("chunk").applyInArrow(assemble, "doc_id long, ids array<int>")
+    words = packed.filter("kind = 1").groupBy("bucket").applyInArrow(merge_words, "chunk long, body binary")
+    positions = packed.filter("kind = 0").select("chunk", "body")
+    schema = "doc_id long, ids array<int>" + ", decoded binary" * with_decoded
+    return positions.groupBy("chunk").cogroup(words.groupBy("chunk")).applyInArrow(assemble, schema)
 
 
-def decode(encoded: DataFrame, ranks_path: str) -> DataFrame:
-    """encoded with ``decoded``: the bytes of its ids; null ids give none."""
-    spark = encoded.sparkSession
-    table = sorted((rank, token) for token, rank in load_ranks(ranks_path).items())
+def token_table(ranks: dict[bytes, int]) -> tuple[np.ndarray, np.ndarray]:
+    """Bytes of each id (none for an id without a token): their numbers, and all of them."""
+    table = sorted((rank, token) for token, rank in ranks.items())
     size = np.zeros(table[-1][0] + 1, np.int64)
     size[[r for r, _ in table]] = [len(t) for _, t in table]
-    # ranks without a token have no bytes
-    tokens = spark.sparkContext.broadcast((size, np.frombuffer(b"".join(t for _, t in table), np.uint8)))
+    return size, np.frombuffer(b"".join(t for _, t in table), np.uint8)
+
+
+def _decoded(lists: pa.ListArray, size: np.ndarray, data: np.ndarray) -> pa.Array:
+    """The bytes of each list of ids, joined from the token-byte table."""
+    flat = lists.flatten().to_numpy(zero_copy_only=False)
+    counts = np.asarray(pc.fill_null(pc.list_value_length(lists), 0))
+    width = size[flat]
+    ends = np.concatenate([[0], np.cumsum(width)])[np.concatenate([[0], np.cumsum(counts)])]
+    out = data[A.ranges_to_index((np.cumsum(size) - size)[flat], width)]
+    return pa.Array.from_buffers(pa.binary(), len(lists), [None, pa.py_buffer(ends.astype(np.int32).tobytes()), pa.py_buffer(out.tobytes())])
+
+
+def decode(encoded: DataFrame, ranks_path: str) -> DataFrame:
+    """encoded with ``decoded``: the bytes of its ids; null ids give none."""
+    tokens = encoded.sparkSession.sparkContext.broadcast(token_table(load_ranks(ranks_path)))
 
     def join(batches):
-        size, data = tokens.value
-        start = np.cumsum(size) - size
         for batch in batches:
             for at in range(0, len(batch), 500):
                 part = batch.slice(at, 500)
-                col = part.column(part.schema.get_field_index("ids"))
-                flat = col.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
-                counts = np.asarray(pc.fill_null(pc.list_value_length(col), 0))
-                out = data[A.ranges_to_index(start[flat], size[flat])]
-                ends = np.concatenate([[0], np.cumsum(size[flat])])[np.concatenate([[0], np.cumsum(counts)])]
-                decoded = pa.Array.from_buffers(pa.binary(), len(part), [None, pa.py_buffer(ends.astype(np.int32).tobytes()), pa.py_buffer(out.tobytes())])
-                yield pa.RecordBatch.from_arrays([*part.columns, decoded], [*part.schema.names, "decoded"])
+                ids = part.column(part.schema.get_field_index("ids"))
+                yield pa.RecordBatch.from_arrays([*part.columns, _decoded(ids, *tokens.value)], [*part.schema.names, "decoded"])
 
     return encoded.mapInArrow(join, T.StructType([*encoded.schema.fields, T.StructField("decoded", T.BinaryType())]))
 
@@ -259,7 +277,7 @@ def op9_byte_bpe(spark, sf_dir):
 
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    out = decode(encode(docs, path, public_tokenizers.PATTERN), path)
+    out = encode(docs, path, public_tokenizers.PATTERN, with_decoded=True)
     return out.select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), " ").cast("binary"), 256).alias("ids_sha256"),

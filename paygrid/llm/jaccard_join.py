@@ -39,7 +39,7 @@ from paygrid.llm.components import connected
 from paygrid.llm.staging import written
 
 #: Shingles of a block of a candidate group.
-BLOCK = 4_000_000
+BLOCK = 1_000_000
 #: A set takes the answers of one that differs from it by at most this share of its shingles.
 ALIKE = 0.3
 CHAINS = "bucket int, kind int, body binary"
