@@ -2,16 +2,20 @@
 
 from __future__ import annotations
 
-from paygrid.llm import bpe, jaccard_join, substring_dedup, suffix_dedup
+from paygrid.llm import bpe, decontaminate, fingerprints, jaccard_join, sharding, substring_dedup, suffix_dedup
 
 QUERIES = {f.__name__: f for f in (
+    fingerprints.op1_merkle_fingerprints,
+    decontaminate.op2_decontamination,
     substring_dedup.op3_substring_dedup,
     suffix_dedup.op4_suffix_array_dedup,
+    sharding.op7_stratified_shards,
     jaccard_join.op8_jaccard_join,
     bpe.op9_byte_bpe,
 )}
 
 ORACLE = {
+    "op2_decontamination": decontaminate.ORACLE,
     "op3_substring_dedup": substring_dedup.ORACLE,
     "op4_suffix_array_dedup": suffix_dedup.ORACLE,
     "op8_jaccard_join": jaccard_join.ORACLE,
