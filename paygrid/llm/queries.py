@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
-from paygrid.llm import bpe, decontaminate, fingerprints, jaccard_join, sharding, substring_dedup, suffix_dedup
+from paygrid.llm import bpe, decontaminate, fingerprints, jaccard_join, pii, quality, sharding, substring_dedup, suffix_dedup, toxicity
 
 QUERIES = {f.__name__: f for f in (
     fingerprints.op1_merkle_fingerprints,
     decontaminate.op2_decontamination,
     substring_dedup.op3_substring_dedup,
     suffix_dedup.op4_suffix_array_dedup,
+    toxicity.op5_toxicity,
+    quality.op6_quality_classifier,
     sharding.op7_stratified_shards,
     jaccard_join.op8_jaccard_join,
     bpe.op9_byte_bpe,
+    pii.op10_pii,
 )}
 
 ORACLE = {

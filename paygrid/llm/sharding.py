@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-ROWS = 20_000
+ROWS = 4_000
 
 
 def _first_of_ranges(counts: DataFrame, keys: list[str], order: str) -> DataFrame:
