@@ -259,21 +259,24 @@ def links(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
 
     sets = written(own.mapInArrow(digests, "id long, n long, h1 long, h2 long"), "set-digests")
     classes = sets.filter("n > 0").groupBy("n", "h1", "h2").agg(F.min("id").alias("rep"), F.count("*").alias("weight"))
-    single = own.join(classes.select(F.col("rep").alias("id")), "id", "left_semi")
+    single = X.compact(own).join(classes.select(F.col("rep").alias("id")), "id", "left_semi")
     replies = X.answers(single.mapInArrow(ask, X.REQUEST), False)
     shared = X.with_hits(single, replies).filter(F.col("hits").isNotNull())
     kept = shared.mapInArrow(survivors, "id long, n long, skip long, keys binary")
     kept = written(kept.groupBy("id").agg(F.min(F.struct("n", "skip", "keys")).alias("s")).select("id", "s.*"), "shared-sets")
     groups = connected(candidate_edges(kept, percent, n_buckets))
 
-    # groups in blocks: most are one block of a shared task, large ones meet block by block
-    members = kept.join(groups, "id").join(classes.select(F.col("rep").alias("id"), "weight"), "id")
-    amount = members.groupBy("root").agg(F.sum(F.length("keys") / 8).alias("size"))
-    members = members.join(amount.select("root", F.ceil(F.col("size") / BLOCK).cast("int").alias("k")), "root")
-    members = members.withColumn("own", F.pmod(F.xxhash64("id"), F.col("k")).cast("int"))
-    one = members.filter("k = 1").select("*", F.pmod(F.xxhash64("root"), F.lit(n_buckets)).alias("g"), F.lit(0).alias("i"), F.lit(0).alias("j"))
-    many = members.filter("k > 1").select("*", F.col("root").alias("g"), F.explode(F.sequence(F.lit(0), F.col("k") - 1)).alias("o"))
-    many = many.select(*members.columns, "g", F.least("own", "o").alias("i"), F.greatest("own", "o").alias("j"))
+    # groups in blocks: most are one block of a shared task, large ones meet block by block;
+    # worked out on narrow rows, so the sets themselves travel once
+    narrow = kept.select("id", (F.col("n") - F.col("skip")).alias("size")).join(groups, "id")
+    narrow = narrow.join(classes.select(F.col("rep").alias("id"), "weight"), "id")
+    amount = narrow.groupBy("root").agg(F.ceil(F.sum("size") / BLOCK).cast("int").alias("k"))
+    narrow = written(narrow.join(amount, "root").select("id", "root", "weight", "k"), "group-members")
+    members = kept.select("id", "n", "keys").join(narrow, "id").withColumn("own", F.pmod(F.xxhash64("id"), F.col("k")).cast("int"))
+    members = members.withColumn("o", F.explode(F.sequence(F.lit(0), F.col("k") - 1)))
+    members = members.select("root", "id", "n", "weight", "keys", "own",
+                             F.when(F.col("k") == 1, F.pmod(F.xxhash64("root"), F.lit(n_buckets))).otherwise(F.col("root")).alias("g"),
+                             F.least("own", "o").alias("i"), F.greatest("own", "o").alias("j"))
 
     def join(table: pa.Table) -> pa.Table:
         col = {c: table.column(c).to_numpy() for c in ("root", "id", "n", "weight", "own", "i", "j")}
@@ -295,7 +298,7 @@ def links(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
             out_l.append(got)
         return pa.table([pa.array(np.concatenate(x)) for x in (out_i, out_r, out_l)], ["id", "root", "links"])
 
-    joined = written(one.union(many).groupBy("g", "i", "j").applyInArrow(join, "id long, root long, links long"), "set-links")
+    joined = written(members.groupBy("g", "i", "j").applyInArrow(join, "id long, root long, links long"), "set-links")
     found = connected(joined.filter("id <> root").select(F.col("id").alias("a"), F.col("root").alias("b")))
     counted = joined.groupBy("id").agg(F.sum("links").alias("links"))
     classes = (classes.join(found.withColumnRenamed("id", "rep"), "rep", "left")
