@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-CHUNK_ENTRIES = 1_250_000
+CHUNK_ENTRIES = 1_000_000
 SALTS = 32
 REQUEST = "bucket int, pack binary"
 REPLY = "id long, base int, lows binary"
@@ -133,6 +133,7 @@ class Requests:
                 own = key[lo:hi][order]
                 rows_b.append(b)
                 rows_p.append(_pack(docs, least[lo:hi][order], own if self.earliest else own.astype(np.uint32)))
+        del key, code, start, size, least, most
         # a few MB a batch keeps the JVM side small
         for at in range(0, len(rows_b), 64):
             yield pa.RecordBatch.from_arrays([pa.array(rows_b[at:at + 64], pa.int32()), pa.array(rows_p[at:at + 64], pa.binary())], ["bucket", "pack"])

@@ -16,7 +16,7 @@ similarity is ``percent`` hundredths or more.  The join is exact:
    probe skips to the blocks of fitting sizes.  A set's answers are counted from
    its lists; a set much like one with known answers takes those and corrects
    them by the shingles they do not share.  Groups over ``BLOCK`` shingles are
-   cut into blocks and joined block by block, so no task holds a whole group.
+   cut by size and joined block by block, so no task holds a whole group.
 5. Links make components; a component's id is its least doc_id.
 
 Defined cases: null, empty and blank texts have empty sets, link with nothing,
@@ -28,6 +28,8 @@ rows; only doc_id and text are read.
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -154,10 +156,11 @@ def candidate_edges(sets: DataFrame, percent: int, n_buckets: int) -> DataFrame:
     return sets.mapInArrow(task, CHAINS).groupBy("bucket").applyInArrow(reduce, "a long, b long")
 
 
-def _join(sizes, weights, tokens, first, percent, side):
-    """Links of the sets of one candidate group: (links of each, root index of each).
+def _join(sizes, weights, tokens, first, percent, side, home):
+    """Links of the sets of one candidate group, in order of size: (links of each, root index of each).
 
     side: 0 or 1 for each set, and links are counted across the sides only; None: all pairs.
+    home: flags; links between two guests are counted elsewhere.
     """
     n = len(sizes)
     owner = np.repeat(np.arange(n), np.diff(first))
@@ -183,6 +186,8 @@ def _join(sizes, weights, tokens, first, percent, side):
     def answer(x, common):
         linked = 100 * common >= percent * (sizes[x] + sizes - common)
         linked[x] = False
+        if not home[x]:
+            linked &= home
         if side is not None:
             linked &= side != side[x]
         at = np.flatnonzero(linked)
@@ -266,30 +271,41 @@ def links(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     kept = written(kept.groupBy("id").agg(F.min(F.struct("n", "skip", "keys")).alias("s")).select("id", "s.*"), "shared-sets")
     groups = connected(candidate_edges(kept, percent, n_buckets))
 
-    # groups in blocks: most are one block of a shared task, large ones meet block by block;
-    # worked out on narrow rows, so the sets themselves travel once
-    narrow = kept.select("id", (F.col("n") - F.col("skip")).alias("size")).join(groups, "id")
+    # Groups over BLOCK are cut by size into segments of two bands: a set links only into its own and the next
+    # band, so a segment's sets and the next segment's first band (its guests) hold all links of the segment's
+    # sets.  A segment still over BLOCK meets sub-block by sub-block.  Worked out on narrow rows, so the sets
+    # themselves travel once, or twice as guests.
+    narrow = kept.select("id", "n", (F.col("n") - F.col("skip")).alias("size")).join(groups, "id")
     narrow = narrow.join(classes.select(F.col("rep").alias("id"), "weight"), "id")
-    amount = narrow.groupBy("root").agg(F.ceil(F.sum("size") / BLOCK).cast("int").alias("k"))
-    narrow = written(narrow.join(amount, "root").select("id", "root", "weight", "k"), "group-members")
+    total = narrow.groupBy("root").agg((F.sum("size") > BLOCK).alias("large"))
+    band = F.floor(F.log(F.col("n").cast("double")) / math.log(100 / percent * 1.0001)).cast("int")
+    narrow = narrow.join(total, "root").withColumn("band", F.when(F.col("large"), band).otherwise(0))
+    place = lambda seg, home: F.struct(seg.cast("int").alias("seg"), F.lit(home).alias("home"))
+    seg = F.floor(F.col("band") / 2)
+    narrow = narrow.select("id", "root", "large", "size", "weight", F.explode(
+        F.when((F.col("band") % 2 == 0) & (F.col("band") > 0), F.array(place(seg, True), place(seg - 1, False)))
+        .otherwise(F.array(place(seg, True)))).alias("p")).select("id", "root", "large", "size", "weight", "p.*")
+    amount = narrow.groupBy("root", "seg").agg(F.ceil(F.sum("size") / BLOCK).cast("int").alias("k"))
+    narrow = written(narrow.join(amount, ["root", "seg"]).drop("size"), "group-members")
     members = kept.select("id", "n", "keys").join(narrow, "id").withColumn("own", F.pmod(F.xxhash64("id"), F.col("k")).cast("int"))
     members = members.withColumn("o", F.explode(F.sequence(F.lit(0), F.col("k") - 1)))
-    members = members.select("root", "id", "n", "weight", "keys", "own",
-                             F.when(F.col("k") == 1, F.pmod(F.xxhash64("root"), F.lit(n_buckets))).otherwise(F.col("root")).alias("g"),
+    members = members.select("root", "seg", "home", "id", "n", "weight", "keys", "own",
+                             F.when(F.col("large"), F.xxhash64("root", "seg")).otherwise(F.pmod(F.xxhash64("root"), F.lit(n_buckets))).alias("g"),
                              F.least("own", "o").alias("i"), F.greatest("own", "o").alias("j"))
 
     def join(table: pa.Table) -> pa.Table:
-        col = {c: table.column(c).to_numpy() for c in ("root", "id", "n", "weight", "own", "i", "j")}
+        col = {c: table.column(c).to_numpy() for c in ("root", "seg", "home", "id", "n", "weight", "own", "i", "j")}
         raw = table.column("keys").to_pylist()
-        order = np.lexsort((col["id"], col["n"], col["root"]))
-        edge = np.flatnonzero(np.concatenate([[True], np.diff(col["root"][order]) != 0, [True]]))
+        order = np.lexsort((col["id"], col["n"], col["seg"], col["root"]))
+        new = (np.diff(col["root"][order]) != 0) | (np.diff(col["seg"][order]) != 0)
+        edge = np.flatnonzero(np.concatenate([[True], new, [True]]))
         out_i, out_r, out_l = [], [], []
         for a, b in zip(edge[:-1].tolist(), edge[1:].tolist(), strict=True):
             at = order[a:b]
             tokens = [np.frombuffer(raw[x], np.uint64) for x in at]
             first = np.concatenate([[0], np.cumsum([len(t) for t in tokens])])
             side = None if col["i"][at[0]] == col["j"][at[0]] else (col["own"][at] == col["j"][at[0]]).astype(np.int8)
-            got, root = _join(col["n"][at], col["weight"][at], np.concatenate(tokens), first, percent, side)
+            got, root = _join(col["n"][at], col["weight"][at], np.concatenate(tokens), first, percent, side, col["home"][at])
             ids = col["id"][at]
             least = np.full(len(at), 2 ** 63 - 1, np.int64)
             np.minimum.at(least, root, ids)
