@@ -19,6 +19,7 @@ doc_id and text are read.
 
 from __future__ import annotations
 
+import array
 import base64
 import heapq
 import os
@@ -34,7 +35,7 @@ from paygrid.llm import arrays as A
 from paygrid.llm.exchange import _planes, _unplanes
 from paygrid.session import scratch_path
 
-CHUNK_BYTES = 16 << 20
+CHUNK_BYTES = 10 << 20
 PACKED = "chunk long, bucket int, kind int, body binary"
 #: White space of the pattern (Unicode's White_Space), for a pattern of Python's re.
 WHITE = r"\t\n\x0b\x0c\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
@@ -182,24 +183,31 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, with_decoded: bool =
         import zstandard
 
         unpress = zstandard.ZstdDecompressor().decompress
-        known: dict[bytes, np.ndarray] = {}
+        known: dict[bytes, int] = {}  # word -> its place among the bucket's distinct words
+        flat, ends = array.array("I"), array.array("q", [0])
         table_of = ranks.value
-        bodies = []
-        for raw in table.column("body").to_pylist():
-            raw = unpress(raw)
+        asked = []
+        for raw in table.column("body"):
+            raw = unpress(raw.as_buffer())
             n = int.from_bytes(raw[:8], "little")
             own, at = _unplanes(raw, 8, n, np.uint32)
-            own = np.cumsum(own, dtype=np.uint32)
             sizes, at = _unplanes(raw, at, n, np.uint32)
-            ids = []
-            for size in sizes.tolist():
+            places = np.empty(n, np.int64)
+            for i, size in enumerate(sizes.tolist()):
                 word = raw[at:at + size]
                 at += size
-                if (got := known.get(word)) is None:
-                    got = known[word] = np.array(merge(word, table_of), np.uint32)
-                ids.append(got)
-            counts = np.fromiter(map(len, ids), np.uint32, n)
-            bodies.append(zstandard.compress(n.to_bytes(8, "little") + _planes(own) + _planes(counts) + _planes(np.concatenate(ids)), 1))
+                if (place := known.get(word)) is None:
+                    place = known[word] = len(known)
+                    flat.extend(merge(word, table_of))
+                    ends.append(len(flat))
+                places[i] = place
+            asked.append((np.cumsum(own, dtype=np.uint32), places))
+        flat, ends = np.frombuffer(flat, np.uint32), np.frombuffer(ends, np.int64)
+        bodies = []
+        for own, places in asked:
+            counts = ends[places + 1] - ends[places]
+            ids = flat[A.ranges_to_index(ends[places], counts)]
+            bodies.append(zstandard.compress(len(own).to_bytes(8, "little") + _planes(own) + _planes(counts.astype(np.uint32)) + _planes(ids), 1))
         return pa.table([table.column("chunk"), pa.array(bodies, pa.binary())], ["chunk", "body"])
 
     def assemble(positions: pa.Table, words: pa.Table) -> pa.Table:

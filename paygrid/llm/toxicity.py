@@ -39,7 +39,11 @@ FAMILY = 5
 REPEATS = 5
 
 #: Letters that look like Latin ones, and what stands for letters inside words.
-HOMOGLYPHS = dict(zip("абвгдеёзийкмнорстухѕіїјαβεηικμνορτυχω", "a6brдee3uйkmhopctyxsiijabenikmnoptuxw", strict=True)) | {"ı": "i", "ł": "l", "đ": "d"}
+HOMOGLYPHS = {
+    "а": "a", "в": "b", "е": "e", "к": "k", "м": "m", "н": "h", "о": "o", "р": "p", "с": "c", "т": "t", "у": "y", "х": "x", "ѕ": "s",
+    "і": "i", "ї": "i", "ј": "j", "α": "a", "β": "b", "ε": "e", "η": "n", "ι": "i", "κ": "k", "ν": "v", "ο": "o", "ρ": "p", "τ": "t",
+    "υ": "u", "χ": "x", "ω": "w", "ı": "i", "ł": "l", "đ": "d",
+}
 DIGITS = {"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t"}
 SYMBOLS = {"@": "a", "$": "s", "!": "i"}
 _INSIDE = re.compile(r"(?<=[^\W_])[@$!](?=[^\W_])")
@@ -49,13 +53,18 @@ _AS_LETTERS = str.maketrans(DIGITS)
 _WORD = re.compile(r"[^\W_]+")
 
 
+def _letters(m: re.Match) -> str:
+    return m[0].translate(_AS_LETTERS)
+
+
 def fold(text: str) -> str:
     text = text.lower()
     if not text.isascii():
         text = text.translate(_GLYPHS)
     if "@" in text or "$" in text or "!" in text:
         text = _INSIDE.sub(lambda m: SYMBOLS[m[0]], text)
-    return _DIGIT.sub(lambda m: m[0].translate(_AS_LETTERS), text)
+    # twice: a first digit may stand before one that is a letter only now
+    return _DIGIT.sub(_letters, _DIGIT.sub(_letters, text))
 
 
 def learn_lexicon(rows: list[tuple[str, int]]) -> tuple[dict[str, float], dict[str, set]]:
