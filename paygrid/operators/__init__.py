@@ -6,7 +6,6 @@ from .enrich import (  # (the ``enrich`` function stays at ``operators.enrich.en
     prepare_market,
 )
 from .horizon import apply_horizon, cutoff_month
-from .joins import broadcast_if_bounded
 from .metrics import (
     add_market_gaps, completeness_ratio, competitor_name, gap_yoy, insufficient,
     salary_spread, salary_yoy, staffing_flag, vacancy_count, vacancy_yoy,
@@ -17,7 +16,7 @@ from .validate import enforce, violations
 __all__ = [
     "first_per_key", "count_vacancies", "join_market", "join_vacancies",
     "lookup_position", "prepare_base", "prepare_market", "apply_horizon", "cutoff_month",
-    "broadcast_if_bounded", "add_market_gaps", "completeness_ratio", "competitor_name",
+    "add_market_gaps", "completeness_ratio", "competitor_name",
     "gap_yoy", "insufficient", "salary_spread", "salary_yoy", "staffing_flag",
     "vacancy_count", "vacancy_yoy", "add_series_features", "compress_runs", "first_of_run",
     "series_window", "enforce", "violations",

@@ -26,14 +26,6 @@ from ..functions.columns import month_start, null_as_empty, null_if_equal
 from ..functions.constants import WHOLE_MARKET
 from .horizon import apply_horizon
 
-# Column order of the enriched relation (also the order the windows see).
-JOINED_COLUMNS = (
-    "week_dt", "position_id", "location_rk", "location_nm", "position_name",
-    "agglomeration_nm", "work_schedule_type", "int_salary_tc5", "target_salary_amt",
-    "cnt_emp_dist", "market_perc_25", "market_perc_50", "market_perc_75",
-    "cnt_vacancy_site", "vacancy_cnt", "company_competitor",
-)
-
 # Measures are carried as DOUBLE from the join on (see ``enrich``): fast
 # fixed-width arithmetic inside codegen, where decimal(38,x) would fall back
 # to BigDecimal; the sink rounds them into the contract's NUMERIC types.
@@ -42,9 +34,7 @@ JOINED_COLUMNS = (
 def lookup_position(base: DataFrame, dim: DataFrame) -> DataFrame:
     """Base LEFT JOIN dim on id; ``position_name`` = HR title, else dim name.
 
-    No hint here: the source proves the dimension small before marking it for
-    broadcast (see the sources); otherwise Spark's size estimate and AQE pick
-    the strategy.  Duplicate ids in the dimension fan out (kept, as in the
+    No hint here: Spark's byte estimate and AQE pick the strategy.  Duplicate ids in the dimension fan out (kept, as in the
     original).
     """
     d = dim.select(F.col("id").alias("_dim_id"), F.col("name").alias("dim_name"))
@@ -156,10 +146,29 @@ def vacancy_column():
     return F.coalesce("_v_vacancy_cnt", F.lit(0)).alias("vacancy_cnt")
 
 
+def join_sides(base: DataFrame, market: DataFrame, counts: DataFrame) -> DataFrame:
+    """base LEFT JOIN (market FULL JOIN counts): the rows of two chained left joins.
+
+    Both sides share the three keys, so a base row meets every pair of matching
+    sides, or the one that matches, or none.  The large side is joined once and
+    nothing above reuses that join's partitioning, so AQE can split a hot key.
+    """
+    m = _keyed(market, "_m", "month_dt", "position_type_id", "agglomeration_name",
+               "perc_25", "perc_50", "perc_75", "cnt_vacancy_site")
+    v = _keyed(counts, "_v", "month_dt", "position_type_id", "agglomeration_name", "vacancy_cnt")
+    both = m.join(v, (F.col("_m_month") == F.col("_v_month")) & (F.col("_m_pos") == F.col("_v_pos"))
+                  & (F.col("_m_agg") == F.col("_v_agg")), "full")
+    sides = both.select(
+        *[F.coalesce(f"_m_{k}", f"_v_{k}").alias(f"_s_{k}") for k in ("month", "pos", "agg")],
+        *[f"_m_{c}" for c in ("perc_25", "perc_50", "perc_75", "cnt_vacancy_site")],
+        "_v_vacancy_cnt")
+    b = base.withColumn("_b_agg", null_as_empty("agglomeration_nm"))
+    return b.join(sides, _on(("week_dt", "position_id", "_b_agg"), "_s"), "left")
+
+
 def enrich(base: DataFrame, market: DataFrame, counts: DataFrame) -> DataFrame:
     """The ``joined`` relation: base with market and vacancy data, fallbacks applied."""
-    j = join_vacancies(join_market(base, market), counts)
-    return j.select(   # in JOINED_COLUMNS order
+    return join_sides(base, market, counts).select(
         "week_dt", "position_id", "location_rk", "location_nm", "position_name",
         "agglomeration_nm", "work_schedule_type",
         F.col("int_salary_tc5").cast("double").alias("int_salary_tc5"),

@@ -1,28 +1,10 @@
-"""Join helpers: broadcast only behind a proven size bound."""
+"""Join helpers: broadcast only what the data specification bounds."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Largest dimension we are willing to ship to every executor.
-DEFAULT_BROADCAST_ROWS = 100_000
-
-
-def broadcast_if_bounded(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Hint a broadcast only after proving the side has at most ``max_rows`` rows.
-
-    The proof takes at most ``max_rows + 1`` rows of a single literal column
-    (a few bytes each) through Spark's incremental limit: it scans one split,
-    then more only while too few rows were found.  So checking a huge table
-    reads about one split, never the whole table.  Beyond the bound no hint
-    is given and Spark (with AQE) picks a shuffle join, or a runtime
-    broadcast if the filtered side turns out small.
-    """
-    if len(df.select(F.lit(1)).limit(max_rows + 1).collect()) <= max_rows:
-        return F.broadcast(df)
-    return df
-
 
 def fixed_size(df: DataFrame) -> DataFrame:
     """Broadcast a table whose cardinality is fixed by its schema definition.

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from ..functions.constants import STEP_DONE, STEP_STARTED
 from ..operators.validate import enforce
 from ..session import scratch_path
-from ..sources.sinks import append_log_rows, delete_path, path_exists, stage_at, upsert_partitioned
+from ..sources.sinks import append_log_rows, delete_path, has_data, stage_at, upsert_partitioned
 from .catalog import contract_for_schema, ensure_tables, table_contract, upsert_table
 from .contracts import conform, contract
 from .mart import MartOptions, build_mart
@@ -39,6 +39,11 @@ def _utc_now() -> dt.datetime:
     return dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
 
 
+def as_utc(at: dt.datetime) -> dt.datetime:
+    """A naive time means UTC; Spark reads only aware times alike under every driver's time zone."""
+    return at if at.tzinfo else at.replace(tzinfo=dt.timezone.utc)
+
+
 def run(spark: SparkSession, sources, target_path: str | None = None,
         log_path: str | None = None, options: MartOptions = MartOptions(),
         variant: str = "wide", run_ts: dt.datetime | None = None,
@@ -51,31 +56,35 @@ def run(spark: SparkSession, sources, target_path: str | None = None,
         raise ValueError("give exactly one of target_path and target_table")
     started = _utc_now()
     run_ts = run_ts or started
+    batch_path = scratch_path(spark, "features-batch")
+    done = False
     try:
         if target_table:
             ensure_tables(spark, {"features": target_table}, variant)
             spec = table_contract(spark, target_table)
-        elif path_exists(spark, target_path):   # an existing table keeps its types
+        elif has_data(spark, target_path):   # an existing table keeps its types
             spec = contract_for_schema(spark.read.parquet(target_path).schema)
         else:
             spec = contract("features", variant)
         mart = build_mart(sources, options)
-        batch_path = scratch_path(spark, "features-batch")
-        table = stage_at(conform(mart, spec, now=F.lit(run_ts).cast("timestamp")), batch_path)
+        table = stage_at(conform(mart, spec, now=F.lit(as_utc(run_ts)).cast("timestamp")), batch_path)
         enforce(table, spec)
         if target_table:
             batch = upsert_table(table, target_table, spec, batch_is_staged=True)
         else:
             batch = upsert_partitioned(table, target_path, spec.keys, batch_is_staged=True)
+        rows = batch.count()
+        done = True
     except Exception as exc:
         if log_path and log_failures:
             append_log_rows(spark, log_path, [(STEP_STARTED, started),
                                               (f"{STEP_FAILED}: {type(exc).__name__}", None)])
         raise
+    finally:
+        if not (done and keep_batch):
+            delete_path(spark, batch_path)
     if log_path:
         append_log_rows(spark, log_path, [(STEP_STARTED, started), (STEP_DONE, None)])
-    rows = batch.count()
     if not keep_batch:
-        delete_path(spark, batch_path)
         batch = None
     return RunResult(batch=batch, inserted_at=run_ts, rows=rows)

@@ -70,6 +70,18 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
+def has_data(spark: SparkSession, path: str) -> bool:
+    """Whether the folder holds data files (an empty or marker-only folder is no table yet)."""
+    if not path_exists(spark, path):
+        return False
+    fs, p = _fs_path(spark, path)
+    files = fs.listFiles(p, True)
+    while files.hasNext():
+        if not files.next().getPath().getName().startswith(("_", ".")):
+            return True
+    return False
+
+
 def delete_path(spark: SparkSession, path: str) -> None:
     """Remove a staged folder (recursively) once nothing reads it any more."""
     fs, p = _fs_path(spark, path)
@@ -89,7 +101,7 @@ def upsert_partitioned(batch: DataFrame, path: str, keys, partition_col: str = "
     if not months:
         return staged   # empty batch: nothing to insert or replace
     merged_path = None
-    if path_exists(spark, path):
+    if has_data(spark, path):
         target = spark.read.parquet(path)
         touched = target.where(F.col(partition_col).isin(months))   # static partition pruning
         merged_path = scratch_path(spark, "upsert-merged")
@@ -99,14 +111,16 @@ def upsert_partitioned(batch: DataFrame, path: str, keys, partition_col: str = "
     # REBALANCE by month: rows of a month go to the same writers (few files
     # per partition), while AQE splits an oversized month across several
     # tasks and merges small ones, so a hot month is no straggler.
-    (merged.hint("rebalance", partition_col)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .option("maxRecordsPerFile", max_records_per_file)
-        .partitionBy(partition_col)
-        .parquet(path))
-    if merged_path:
-        delete_path(spark, merged_path)   # committed; the staged copy is no longer read
+    try:
+        (merged.hint("rebalance", partition_col)
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .option("maxRecordsPerFile", max_records_per_file)
+            .partitionBy(partition_col)
+            .parquet(path))
+    finally:
+        if merged_path:
+            delete_path(spark, merged_path)   # committed or failed: no longer read
     return staged
 
 
@@ -118,8 +132,9 @@ def append_log(spark: SparkSession, path: str, step: str, job: str = JOB_NAME,
 
 def append_log_rows(spark: SparkSession, path: str, steps, job: str = JOB_NAME) -> None:
     """Append several (step, time) rows in one write: they appear together or not at all."""
-    now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
-    rows = [(job, step, at or now) for step, at in steps]
+    now = dt.datetime.now(dt.timezone.utc)
+    utc = lambda at: at if at.tzinfo else at.replace(tzinfo=dt.timezone.utc)
+    rows = [(job, step, utc(at or now)) for step, at in steps]
     spark.createDataFrame(rows, LOG_SCHEMA).coalesce(1).write.mode("append").parquet(path)
 
 

@@ -11,7 +11,6 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.joins import DEFAULT_BROADCAST_ROWS, broadcast_if_bounded
 
 BASE_COLUMNS = (
     "month_dt", "position_type_id", "location_rk", "location_nm", "hrm_job_title_nm",
@@ -52,10 +51,8 @@ class TableSources:
     else is looked up in the catalog.  Only the used columns are selected.
     """
 
-    def __init__(self, spark: SparkSession, base: str, dim: str, ext: str, vac: str,
-                 dim_max_rows: int = DEFAULT_BROADCAST_ROWS):
+    def __init__(self, spark: SparkSession, base: str, dim: str, ext: str, vac: str):
         self.spark = spark
-        self.dim_max_rows = dim_max_rows
         self.names = {"base": base, "dim": dim, "ext": ext, "vac": vac}
 
     def _read(self, which: str, columns) -> DataFrame:
@@ -71,8 +68,8 @@ class TableSources:
         return self._since(self._read("base", BASE_COLUMNS), since)
 
     def dim(self) -> DataFrame:
-        """The dimension, broadcast only after its row count is proven small."""
-        return broadcast_if_bounded(self._read("dim", DIM_COLUMNS), self.dim_max_rows)
+        """The dimension; Spark broadcasts it if its bytes allow."""
+        return self._read("dim", DIM_COLUMNS)
 
     def ext(self, since: dt.date | None = None) -> DataFrame:
         return self._since(self._read("ext", EXT_COLUMNS), since)

@@ -136,3 +136,47 @@ def test_run_with_nothing_in_the_horizon(spark):
     assert result.rows == 0 and not path_exists(spark, target)
     assert [r["description_step"] for r in read_log(spark, log).orderBy("logged_at").collect()] == [
         STEP_STARTED, STEP_DONE]
+
+
+def test_times_are_utc_whatever_the_drivers_time_zone(spark, monkeypatch):
+    import time
+    src = make_sources(spark, [base_row(m) for m in months(3)])
+    target, log = scratch_path(spark, "t-utc"), scratch_path(spark, "t-utc-log")
+    monkeypatch.setenv("TZ", "America/New_York")
+    time.tzset()
+    try:
+        run(spark, src, target, log, MartOptions(as_of="2000-08-15"), run_ts=dt.datetime(2001, 8, 15, 10, 3))
+        late = dt.datetime.now(dt.timezone.utc).strftime("%Y-%m-%d %H:%M")
+        got = spark.read.parquet(target).selectExpr("cast(inserted_at as string) as t").distinct().collect()
+        logged = read_log(spark, log).selectExpr("max(date_format(logged_at, 'yyyy-MM-dd HH:mm')) as t").first()["t"]
+    finally:
+        monkeypatch.undo()
+        time.tzset()
+    assert [r["t"] for r in got] == ["2001-08-15 10:03:00"]
+    assert abs((dt.datetime.fromisoformat(logged) - dt.datetime.fromisoformat(late)).total_seconds()) <= 300
+
+
+def test_an_empty_target_folder_is_a_first_run(spark, tmp_path):
+    target = tmp_path / "features"
+    target.mkdir()
+    run(spark, make_sources(spark, [base_row(m) for m in months(3)]), str(target), None, MartOptions(as_of="2000-08-15"))
+    assert spark.read.parquet(str(target)).count() == 3
+
+
+def test_a_failed_write_leaves_no_staged_batch(spark, monkeypatch):
+    import os
+
+    import pytest
+
+    from paygrid.plans import job
+    from paygrid.session import scratch_root
+
+    def fail(*_, **__):
+        raise RuntimeError("no space")
+
+    monkeypatch.setattr(job, "upsert_partitioned", fail)
+    root = scratch_root(spark).removeprefix("file://")
+    before = set(os.listdir(root))
+    with pytest.raises(RuntimeError):
+        run(spark, make_sources(spark, [base_row(m) for m in months(3)]), scratch_path(spark, "t-failing"), None, MartOptions(as_of="2000-08-15"))
+    assert set(os.listdir(root)) == before

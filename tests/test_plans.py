@@ -84,10 +84,40 @@ def test_no_cross_joins_and_no_python_in_any_query(spark):
         assert not found, (name, found)
 
 
-def test_broadcast_proof_respects_the_bound(spark):
-    from paygrid.operators.joins import broadcast_if_bounded
-    small = spark.range(10)
-    big = spark.range(1000)
-    hinted = lambda df: "broadcast" in df._jdf.queryExecution().analyzed().toString().lower()
-    assert hinted(broadcast_if_bounded(small, max_rows=10))
-    assert not hinted(broadcast_if_bounded(big, max_rows=10))
+def test_a_hot_key_is_split_in_the_enrichment_join(spark):
+    from paygrid.operators.enrich import enrich
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4k", "spark.sql.adaptive.coalescePartitions.enabled": "false",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "4k", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2"}
+    before = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        base = spark.range(0, 40_000, 1, 8).selectExpr(
+            "date'2001-01-01' as week_dt", "cast(if(id % 4 = 0, id % 50, 7) as int) as position_id", "cast(id as string) as location_rk",
+            "'n' as location_nm", "'p' as position_name", "'A' as agglomeration_nm", "'f' as work_schedule_type",
+            "cast(1 as decimal(14,2)) as int_salary_tc5", "cast(1 as decimal(14,2)) as target_salary_amt", "1 as cnt_emp_dist",
+            *[f"cast(null as decimal(14,2)) as perc_{p}" for p in (25, 50, 75)], "1 as market_cnt_vacancy_site", "'c' as company_competitor")
+        side = spark.range(50).selectExpr("date'2001-01-01' as month_dt", "cast(id as int) as position_type_id", "'A' as agglomeration_name")
+        market = side.selectExpr("*", *[f"cast(2 as decimal(14,2)) as perc_{p}" for p in (25, 50, 75)], "3 as cnt_vacancy_site")
+        joined = enrich(base, market, side.selectExpr("*", "5L as vacancy_cnt"))
+        assert len(joined.collect()) == 40_000
+        final = joined._jdf.queryExecution().executedPlan().toString()
+        assert "skew=true" in final
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_one_join_of_both_sides_equals_two_chained_joins(spark):
+    from paygrid.operators.enrich import join_market, join_sides, join_vacancies
+    base = spark.createDataFrame([(1, 1, "A"), (1, 2, None), (1, 3, "B"), (2, 1, "A"), (None, 1, "A")],
+                                 "week_dt int, position_id int, agglomeration_nm string")
+    market = spark.createDataFrame([(1, 1, "A", 10), (1, 1, "A", 11), (1, 2, "", 12), (3, 1, "A", 13), (None, 1, "A", 14)],
+                                   "month_dt int, position_type_id int, agglomeration_name string, perc_25 int").selectExpr(
+        "*", "perc_25 as perc_50", "perc_25 as perc_75", "perc_25 as cnt_vacancy_site")
+    counts = spark.createDataFrame([(1, 1, "A", 5), (1, 2, None, 6), (1, 2, "", 7), (1, 3, "B", 8)],
+                                   "month_dt int, position_type_id int, agglomeration_name string, vacancy_cnt int")
+    columns = ["week_dt", "position_id", "agglomeration_nm", "_m_perc_25", "_v_vacancy_cnt"]
+    rows = lambda df: sorted(map(str, df.select(columns).collect()))
+    assert rows(join_sides(base, market, counts)) == rows(join_vacancies(join_market(base, market), counts))
