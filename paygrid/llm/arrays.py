@@ -23,7 +23,9 @@ def text_slices(batches, size: int = SLICE_BYTES) -> Iterator[tuple]:
     import zstandard
 
     unpress = zstandard.ZstdDecompressor().decompress
-    for batch in batches:
+    # a few hundred frames at a time: their texts are whole in memory
+    parts = (p for b in batches for p in ([b.slice(k, 500) for k in range(0, len(b), 500)] if pa.types.is_binary(b.schema.field("text").type) else [b]))
+    for batch in parts:
         col = batch.column(batch.schema.get_field_index("text"))
         if pa.types.is_binary(col.type):
             col = pa.array([unpress(x) for x in col.to_pylist()], pa.large_binary())

@@ -35,7 +35,7 @@ from paygrid.llm import arrays as A
 from paygrid.llm.exchange import _planes, _unplanes
 from paygrid.session import scratch_path
 
-CHUNK_BYTES = 10 << 20
+CHUNK_BYTES = 8 << 20
 PACKED = "chunk long, bucket int, kind int, body binary"
 #: White space of the pattern (Unicode's White_Space), for a pattern of Python's re.
 WHITE = r"\t\n\x0b\x0c\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
