@@ -137,6 +137,7 @@ class Requests:
         # a few MB a batch keeps the JVM side small
         for at in range(0, len(rows_b), 64):
             yield pa.RecordBatch.from_arrays([pa.array(rows_b[at:at + 64], pa.int32()), pa.array(rows_p[at:at + 64], pa.binary())], ["bucket", "pack"])
+        pa.default_memory_pool().release_unused()
 
 
 def _rows(ids: np.ndarray, pos: np.ndarray) -> pa.Table:
