@@ -7,6 +7,7 @@ a longer single text stands alone (about 40 bytes of memory per text byte).
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -18,6 +19,14 @@ BASE = 0x9E3779B97F4A7C15
 INVERSE = pow(BASE, -1, 2 ** 64)
 
 
+def give_back() -> None:
+    """Freed memory goes back to the system: a reused worker would keep it beside the JVM's."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
+    if trim is not None:
+        trim(0)
+
+
 def text_slices(batches, size: int = SLICE_BYTES) -> Iterator[tuple]:
     """(batch rows, offsets, bytes) of runs of rows; a null ``text`` is empty, a binary one a zstd frame."""
     import zstandard
@@ -42,6 +51,8 @@ def text_slices(batches, size: int = SLICE_BYTES) -> Iterator[tuple]:
             to = min(to, n)
             yield batch.slice(at, to - at), offs[at:to + 1] - offs[at], data[offs[at]:offs[to]]
             at = to
+        del batch, col, bufs, offs, data
+        give_back()
 
 
 def ids(batch, column: str = "doc_id") -> np.ndarray:

@@ -170,6 +170,7 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, with_decoded: bool =
                 if size >= CHUNK_BYTES:
                     yield chunk(ids, counts, at, index)
                     ids, counts, at, index, size = [], [], [], _Index(), 0
+                    A.give_back()
         if ids:
             yield chunk(ids, counts, at, index)
 
@@ -180,6 +181,7 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, with_decoded: bool =
     packed = spark.table(name)
 
     def merge_words(table: pa.Table) -> pa.Table:
+        A.give_back()
         import zstandard
 
         unpress = zstandard.ZstdDecompressor().decompress
@@ -211,6 +213,7 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, with_decoded: bool =
         return pa.table([table.column("chunk"), pa.array(bodies, pa.binary())], ["chunk", "body"])
 
     def assemble(positions: pa.Table, words: pa.Table) -> pa.Table:
+        A.give_back()
         import zstandard
 
         unpress = zstandard.ZstdDecompressor().decompress

@@ -20,6 +20,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from paygrid.llm.arrays import NULL_ID, give_back
+
 CHUNK_ENTRIES = 1_000_000
 SALTS = 32
 REQUEST = "bucket int, pack binary"
@@ -137,7 +139,7 @@ class Requests:
         # a few MB a batch keeps the JVM side small
         for at in range(0, len(rows_b), 64):
             yield pa.RecordBatch.from_arrays([pa.array(rows_b[at:at + 64], pa.int32()), pa.array(rows_p[at:at + 64], pa.binary())], ["bucket", "pack"])
-        pa.default_memory_pool().release_unused()
+        give_back()
 
 
 def _rows(ids: np.ndarray, pos: np.ndarray) -> pa.Table:
@@ -157,6 +159,7 @@ def answers(requests: DataFrame, earliest: bool, needs=None) -> DataFrame:
     """
 
     def reduce(table: pa.Table) -> pa.Table:
+        give_back()
         packs = [_unpack(x.as_buffer()) for x in table.column("pack").combine_chunks()]
         every = np.unique(np.concatenate([x[0] for x in packs]))
         done, code, key = [], [], []
@@ -194,8 +197,6 @@ def answers(requests: DataFrame, earliest: bool, needs=None) -> DataFrame:
 
 def keyed(docs: DataFrame) -> DataFrame:
     """(id, text): what travels of a document; a null id sorts first."""
-    from paygrid.llm.arrays import NULL_ID
-
     return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)).alias("id"), "text")
 
 

@@ -138,6 +138,7 @@ def candidate_edges(sets: DataFrame, percent: int, n_buckets: int) -> DataFrame:
             yield flush()
 
     def reduce(table: pa.Table) -> pa.Table:
+        A.give_back()
         pairs, lists = [], []
         for kind, raw in zip(table.column("kind").to_pylist(), table.column("body").to_pylist(), strict=True):
             if kind == 0:
@@ -294,6 +295,7 @@ def links(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
                              F.least("own", "o").alias("i"), F.greatest("own", "o").alias("j"))
 
     def join(table: pa.Table) -> pa.Table:
+        A.give_back()
         col = {c: table.column(c).to_numpy() for c in ("root", "seg", "home", "id", "n", "weight", "own", "i", "j")}
         raw = table.column("keys").to_pylist()
         order = np.lexsort((col["id"], col["n"], col["seg"], col["root"]))
