@@ -19,10 +19,8 @@ Scale notes
   relation.  They stand for two independent upstream tables, so each pays
   its own join: at scale one ``lineitem`` shuffle per source.
 * All grouped measures are partial-aggregated before the shuffle.  The
-  percentiles are exact ``percentile_disc`` over prices rounded up to a
-  1,000 grid: the aggregation buffer is a value->count map, so its size is
-  bounded by the price range / 1,000 (hundreds of entries) no matter how many
-  rows a hot group holds.
+  percentiles are exact ``percentile_disc`` of the raw prices: equal prices are
+  counted first, then ranked in a sort that spills.
 * ``since`` (a month start) is applied to the raw date column, so it reaches
   the parquet scan as a pushed filter; it never changes results because the
   job applies the same month-start bound again.
@@ -32,7 +30,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import month_start
@@ -40,7 +38,6 @@ from ..functions.constants import COMPETITOR_UNKNOWN, WHOLE_MARKET
 from ..operators.joins import fixed_size
 
 # FIXED VALUES of the adapters (test scaffolding, not job semantics).
-PRICE_GRID = 1000.0
 NO_AGGLOMERATION_REGION = "AFRICA"        # agglomeration NULL (vac: '' or NULL by price parity)
 NO_LOCATION_REGION = "MIDDLE EAST"        # location_rk NULL -> '' in the job
 SECOND_MARKET_TYPE = "Food"               # extra ext copy the job must ignore
@@ -63,14 +60,23 @@ TABLE_SCHEMAS = {
 }
 
 
-def _quartiles(column: str) -> Column:
-    """p25, p50, p75 (percentile_disc) from one value->count buffer."""
-    return F.expr(f"percentile_disc(array(0.25, 0.5, 0.75)) WITHIN GROUP (ORDER BY {column})")
+def _price_stats(rows: DataFrame, price: str, **keys: Column) -> DataFrame:
+    """Per group: n, pmin, pmax and the prices q25, q50, q75 (percentile_disc).
 
-
-def _grid(c: str) -> Column:
-    """Price rounded up to the grid (never 0, so non-NULL percentiles stay positive)."""
-    return (F.ceil(F.col(c) / F.lit(PRICE_GRID)) * F.lit(PRICE_GRID)).cast("double")
+    Equal prices are counted before the shuffle, so a group's sort holds its
+    distinct prices, and spills; no buffer holds a group.
+    """
+    counts = rows.groupBy(*[c.alias(k) for k, c in keys.items()], F.col(price).alias("v")) \
+        .agg(F.count(F.lit(1)).alias("c"))
+    group = Window.partitionBy(*keys)
+    upto = group.orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    known = F.when(F.col("v").isNotNull(), F.col("c"))
+    ranked = counts.select(*keys, "v", "c", F.sum(known).over(upto).alias("upto"),
+                           F.sum(known).over(group).alias("known"))
+    at = lambda p: F.min(F.when(F.col("upto") >= F.col("known") * p, F.col("v")))
+    return ranked.groupBy(*keys).agg(
+        F.sum("c").alias("n"), F.min("v").alias("pmin"), F.max("v").alias("pmax"),
+        at(0.25).alias("q25"), at(0.5).alias("q50"), at(0.75).alias("q75"))
 
 
 class TestDataSources:
@@ -173,18 +179,8 @@ class TestDataSources:
         )
 
     def base(self, since: dt.date | None = None) -> DataFrame:
-        g = (
-            self._orders(since)
-            .withColumn("_price_grid", _grid("o_totalprice"))
-            .groupBy(month_start("o_orderdate").alias("month_dt"), "prio", "reg", "loc", "agg")
-            .agg(
-                F.count(F.lit(1)).alias("n"),
-                F.max("o_totalprice").alias("pmax"),
-                F.min("o_totalprice").alias("pmin"),
-                _quartiles("_price_grid").alias("q"),
-            )
-            .select("*", *[F.col("q")[i].alias(f"q{p}") for i, p in enumerate((25, 50, 75))])
-        )
+        g = _price_stats(self._orders(since), "o_totalprice", month_dt=month_start("o_orderdate"),
+                         **{k: F.col(k) for k in ("prio", "reg", "loc", "agg")})
         n, prio, reg = F.col("n"), F.col("prio"), F.col("reg")
         odd = (n % 2) != 0
         out = g.select(
@@ -217,16 +213,8 @@ class TestDataSources:
         ).select(*out.columns)
 
     def ext(self, since: dt.date | None = None) -> DataFrame:
-        g = (
-            self._lines(since)
-            .withColumn("_price_grid", _grid("l_extendedprice"))
-            .groupBy(month_start("l_shipdate").alias("month_dt"), "prio", "reg", "agg")
-            .agg(
-                F.count(F.lit(1)).alias("n"),
-                _quartiles("_price_grid").alias("q"),
-            )
-            .select("*", *[F.col("q")[i].alias(f"q{p}") for i, p in enumerate((25, 50, 75))])
-        )
+        g = _price_stats(self._lines(since), "l_extendedprice", month_dt=month_start("l_shipdate"),
+                         **{k: F.col(k) for k in ("prio", "reg", "agg")})
         mon = F.month("month_dt")
         cols = [
             "month_dt",
