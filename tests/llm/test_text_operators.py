@@ -130,6 +130,26 @@ def test_pii_bootstraps_contexts(table):
     assert pii.find(table([])).collect() == []
 
 
+def test_pii_generalises_contexts_and_scores_a_graph(spark, table):
+    rnd = random.Random(8)
+    word = lambda: "".join(rnd.choice("abcdefgh") for _ in range(6))
+    # no two seeds share the two words before them: case, digits, labels and the words after do
+    rows = [(i, f"{word()} {rnd.choice(['Email', 'EMAIL', 'email'])}: {word()}@{word()}.example.com {word()}") for i in range(20)]
+    rows += [(100 + i, f"{word()}\n{word()} Line{i}: {word()} +1 (555) 010-{1000 + i} ext {word()}") for i in range(20)]
+    rows += [(200 + i, f"{word()} {word()} 10.0.{i}.7 as host {word()}") for i in range(20)]
+    rows += [(900, f"my eMail: some (at) example.net {word()}"), (901, f"{word()} LINE77: ring 555 010 7777 ext {word()}"), (902, f"{word()} fe80::1:2:3 as host {word()}"),
+             (903, f"ü {word()} email: ñandú(at)example {word()}"), (None, "Email: nobody@[at]x")]
+    got = {r.doc_id: [(s.kind, r.text[s.start:s.end]) for s in r.spans if s not in r.base] for r in pii.find(table(rows)).collect()}
+    assert got[900] == [("email", "some (at) example.net")] and got[903] == [("email", "ñandú(at)example")]
+    assert ("phone", "555 010 7777") in got[901] and ("ip", "fe80::1:2:3") in got[902]
+    assert all(not got[i] for i, _ in rows if i is not None and i < 900)
+    masked = {r.doc_id: r.text for r in pii.mask(table(rows)).collect()}
+    assert masked[900].startswith("my eMail: [EMAIL] ") and "[IP] as host" in masked[902]
+    # a table as a whole has supported patterns, and they are scored
+    scores = pii.pattern_scores(spark.read.parquet("/root/testdata/sf0.1/documents.parquet")).collect()
+    assert scores and all(0 < r.score <= 1 for r in scores)
+
+
 def test_toxicity_held_out(spark):
     rows = toxicity.op5_toxicity(spark, SF).collect()
     labels = {r.doc_id: r.toxic for r in spark.read.parquet(f"{SF}/labels.parquet").collect()}
