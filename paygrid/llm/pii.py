@@ -11,7 +11,7 @@ patterns that introduce it.  Patterns of at least ``SUPPORT`` different seeds an
 ``CONFIDENT`` score then discover further identifiers: slots of up to ``WORDS``
 words shaped like their kind that no base pattern took.
 
-Patterns are 64-bit hashes.  The ``PATTERNS`` best supported ones are scored, as rows: texts meet a
+Patterns are 64-bit hashes.  All supported ones are scored, as rows: texts meet a
 bit table of fixed size first, so that few other contexts are shuffled, and then
 the join decides.  The confident ones are broadcast in blocks of ``BLOCK``.
 Occurrences are counted in the tasks before they are shuffled, so a pattern that
@@ -39,7 +39,7 @@ from paygrid.llm import arrays as A
 from paygrid.llm.staging import written
 
 KINDS = ("email", "ip", "card", "phone")
-SUPPORT, CONFIDENT, ROUNDS, PATTERNS = 5, 0.8, 3, 5_000
+SUPPORT, CONFIDENT, ROUNDS = 5, 0.8, 3
 #: Words of a slot; patterns of a broadcast block; bits of the table that texts meet first; rows a task counts at a time.
 WORDS, BLOCK, BITS, HELD = 4, 500_000, 24, 200_000
 SPANS = "array<struct<kind:string,start:int,end:int>>"
@@ -271,7 +271,7 @@ def _bits(patterns: DataFrame) -> np.ndarray:
 
 def supported_patterns(seed: DataFrame) -> DataFrame:
     """(kind, context) of the patterns with seeds enough."""
-    return seed.groupBy("kind", "context").agg(F.count_distinct("instance").alias("n")).filter(F.col("n") >= SUPPORT).orderBy(F.desc("n"), "kind", "context").limit(PATTERNS).select("kind", "context")
+    return seed.groupBy("kind", "context").agg(F.count_distinct("instance").alias("n")).filter(F.col("n") >= SUPPORT).select("kind", "context")
 
 
 def pattern_scores(docs: DataFrame) -> DataFrame | None:

@@ -150,6 +150,20 @@ def test_pii_generalises_contexts_and_scores_a_graph(spark, table):
     assert scores and all(0 < r.score <= 1 for r in scores)
 
 
+def test_pii_scores_every_supported_pattern(spark, table, monkeypatch):
+    monkeypatch.setattr(pii, "BLOCK", 500)
+    name = lambda i: "".join(chr(97 + i // 26 ** k % 26) for k in range(3))
+    # 6,000 contexts of six seeds, and two of five that a limit to the best supported would cut
+    rows = [(i, " ".join(f"{name(i)}q word at q{name(i)} u{i}x{k}@example.com\n" for k in range(6))) for i in range(6000)]
+    rows += [(i, " ".join(f"{w} rare{w}: s{i}x{k}@example.org\n" for k in range(5))) for i, w in ((7000, "one"), (7001, "two"))]
+    rows += [(8000, "three rareone: him(at)example"), (8001, "four raretwo: her(at)example")]
+    patterns = pii.confident_patterns(table(rows))
+    assert len(patterns) > 6000 / 500 and all(len(b.value[0]) <= 500 for b in patterns)
+    monkeypatch.undo()
+    got = {r.doc_id: len(r.spans) for r in pii.find(table(rows)).filter("doc_id >= 8000").collect()}
+    assert got == {8000: 1, 8001: 1}
+
+
 def test_toxicity_held_out(spark):
     rows = toxicity.op5_toxicity(spark, SF).collect()
     labels = {r.doc_id: r.toxic for r in spark.read.parquet(f"{SF}/labels.parquet").collect()}
