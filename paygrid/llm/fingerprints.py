@@ -14,12 +14,14 @@ only rows a single task orders are one a range.
 
 Defined cases: null and empty texts are one empty clause, and alike; a text
 without punctuation is one clause; documents that repeat a doc_id follow each
-other by text; a null doc_id sorts first; one document alone is its own next;
+other by text; null doc_ids are a range of their own, the first; one document alone is its own next;
 an empty table gives no rows; only doc_id and text are read.
 """
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -69,29 +71,31 @@ def _search(column, bounds: list[int], lo: int = 0):
 
 
 def id_range(docs: DataFrame, column: str):
-    """A column that numbers ranges of about ROWS rows, in order of ``column`` (long)."""
+    """A column that numbers ranges of about ROWS rows, in order of ``column`` (long); nulls are range -1."""
     n = docs.count()
     coarse = max(1, min(COARSE, n // ROWS))
     cuts = [i / coarse for i in range(1, coarse)]
     quantiles = docs.agg(F.percentile_approx(column, cuts, 10_000).alias("q")).first()["q"] if cuts else []
     bounds = sorted(set(quantiles or []))
     own = _search(F.col(column), bounds)
+    numbered = lambda x: F.when(F.col(column).isNull(), F.lit(-1)).otherwise(x).cast("long")
     fine = max(1, -(-n // (coarse * ROWS)))
-    if fine == 1:
-        return own
-    low, high = docs.agg(F.min(column), F.max(column)).first()
+    low, high = docs.agg(F.min(column), F.max(column)).first() if fine > 1 else (None, None)
+    if low is None:
+        return numbered(own)
     edges = [low, *bounds, high + 1]
-    starts = F.array(*[F.lit(e) for e in edges[:-1]])
-    widths = F.array(*[F.lit(max(1, -(-(b - a) // fine))) for a, b in zip(edges[:-1], edges[1:], strict=True)])
-    inside = F.floor((F.col(column) - F.get(starts, own)) / F.get(widths, own)).cast("long")
-    return own.cast("long") * fine + F.greatest(F.lit(0), F.least(inside, F.lit(fine - 1)))
+    # decimals: ids of both signs can be further apart than a long reaches
+    exact = lambda x: F.lit(Decimal(x)).cast("decimal(20,0)")
+    starts = F.array(*[exact(e) for e in edges[:-1]])
+    widths = F.array(*[exact(max(1, -(-(b - a) // fine))) for a, b in zip(edges[:-1], edges[1:], strict=True)])
+    inside = F.floor((F.col(column).cast("decimal(20,0)") - F.get(starts, own)) / F.get(widths, own)).cast("long")
+    return numbered(own.cast("long") * fine + F.greatest(F.lit(0), F.least(inside, F.lit(fine - 1))))
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
     """The contract's columns and the edited and next documents' trees behind them."""
-    own = docs.select("doc_id", F.coalesce(F.col("doc_id").cast("long"), F.lit(-(2 ** 63))).alias("id"),
-                      F.coalesce("text", F.lit("")).alias("text"))
-    own = own.withColumn("range", id_range(own, "id").cast("long"))
+    own = docs.select("doc_id", F.col("doc_id").cast("long").alias("id"), F.coalesce("text", F.lit("")).alias("text"))
+    own = own.withColumn("range", id_range(own, "id"))
     order = W.partitionBy("range").orderBy("id", "text")
     heads = own.withColumn("k", F.row_number().over(order)).filter("k = 1").select("range", F.col("text").alias("head"))
     ranges = own.select("range").distinct()

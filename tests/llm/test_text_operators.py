@@ -35,6 +35,18 @@ def test_fingerprints(table, rows_a_range, monkeypatch):
     assert fingerprints.fingerprints(table([])).collect() == []
 
 
+@pytest.mark.parametrize("ids", [[None, *range(5, 45)], [None, None, -(2 ** 63), *range(-9, 30), 2 ** 63 - 1], [None] * 9])
+def test_fingerprints_null_and_far_ids(table, monkeypatch, ids):
+    monkeypatch.setattr(fingerprints, "ROWS", 3)
+    monkeypatch.setattr(fingerprints, "COARSE", 4)
+    rows = [(i, f"text number {chr(97 + k)}. It has its own end {k:03}") for k, i in enumerate(ids)]
+    got = {r.edited_sha256: r.doc_id for r in fingerprints.fingerprints(table(rows)).collect()}
+    for (i, t), (_, after) in zip(rows, rows[1:] + rows[:1], strict=True):
+        n = len(t) // 4
+        assert got.pop(hashlib.sha256((t[:len(t) - n] + after[:n]).encode()).hexdigest()) == i
+    assert not got
+
+
 def words(t):
     return re.findall(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", bytes(c + 32 if 65 <= c <= 90 else c for c in (t or "").encode()))
 
