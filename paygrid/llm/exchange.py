@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from paygrid.llm.arrays import NULL_ID, give_back
+from paygrid.llm.staging import written
 
 CHUNK_ENTRIES = 1_000_000
 SALTS = 32
@@ -195,13 +196,51 @@ def answers(requests: DataFrame, earliest: bool, needs=None) -> DataFrame:
     return requests.groupBy("bucket").applyInArrow(reduce, REPLY)
 
 
-def keyed(docs: DataFrame) -> DataFrame:
-    """(id, text): what travels of a document; a null id sorts first."""
-    return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)).alias("id"), "text")
+def row_keys(docs: DataFrame) -> DataFrame | None:
+    """(id, digest, row): numbers of the distinct rows in order of id (null first) and text's digest.
+
+    None if ids tell the texts apart: no null id, and no id with two texts.
+    """
+    own = docs.select(_id().alias("id"), _digest().alias("digest"))
+    texts = own.groupBy("id").agg(F.min("digest").alias("a"), F.max("digest").alias("b"))
+    if texts.filter((F.col("a") < F.col("b")) | (F.col("id") == NULL_ID)).isEmpty():
+        return None
+    # a sort's partitions are in order, and so are these numbers
+    numbered = own.distinct().orderBy("id", "digest").select("id", "digest", F.monotonically_increasing_id().alias("row"))
+    return written(numbered, "row-keys")
+
+
+def _id():
+    return F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID))
+
+
+def _digest():
+    return F.md5(F.coalesce("text", F.lit("")))
+
+
+def with_row_key(docs: DataFrame, keys: DataFrame | None) -> DataFrame:
+    """docs with ``__row``: the row's number, or its id if keys is None."""
+    if keys is None:
+        return docs.withColumn("__row", _id())
+    keys = keys.select(F.col("id").alias("__id"), F.col("digest").alias("__digest"), F.col("row").alias("__row"))
+    return docs.withColumn("__id", _id()).withColumn("__digest", _digest()).join(keys, ["__id", "__digest"]).drop("__id", "__digest")
+
+
+def keyed(docs: DataFrame, keys: DataFrame | None = None) -> DataFrame:
+    """(id, text): what travels of a document; id is its row key, and ``doc`` its doc_id where that is another."""
+    rows = with_row_key(docs.select("doc_id", "text"), keys)
+    return rows.select(F.col("__row").alias("id"), *([] if keys is None else [F.col("doc_id").cast("long").alias("doc")]), "text")
+
+
+def doc_ids(batch) -> pa.Array:
+    """The doc_ids of rows that ``keyed`` made."""
+    at = batch.schema.get_field_index("doc")
+    return batch.column(at if at >= 0 else batch.schema.get_field_index("id")).cast(pa.int64())
 
 
 def compact(docs: DataFrame) -> DataFrame:
-    """(id, size, text): the text as a zstd frame, half of what a shuffle's own compression leaves."""
+    """(id, doc if there is one, size, text): the text as a zstd frame, half of what a shuffle's own compression leaves."""
+    carried = ["id", "doc"] if "doc" in docs.columns else ["id"]
     from paygrid.llm import arrays as A
 
     def pack(batches):
@@ -212,13 +251,13 @@ def compact(docs: DataFrame) -> DataFrame:
             raw = data.tobytes()
             at = offs.tolist()
             yield pa.RecordBatch.from_arrays([
-                batch.column(batch.schema.get_field_index("id")), pa.array(np.diff(offs), pa.int64()),
+                *(batch.column(batch.schema.get_field_index(c)) for c in carried), pa.array(np.diff(offs), pa.int64()),
                 pa.array([press(raw[a:b]) for a, b in zip(at[:-1], at[1:], strict=True)], pa.binary()),
-            ], ["id", "size", "text"])
+            ], [*carried, "size", "text"])
 
     # not null: else an inner join filters before its exchange, and the outer join cannot reuse that
-    kinds = {"id": T.LongType(), "size": T.LongType(), "text": T.BinaryType()}
-    return docs.mapInArrow(pack, T.StructType([T.StructField(n, k, False) for n, k in kinds.items()]))
+    kinds = {c: T.LongType() for c in [*carried, "size"]} | {"text": T.BinaryType()}
+    return docs.mapInArrow(pack, T.StructType([T.StructField(n, k, n == "doc") for n, k in kinds.items()]))
 
 
 def copies(docs: DataFrame) -> DataFrame:

@@ -4,7 +4,8 @@ Documents are sets of distinct word shingles; two link when their Jaccard
 similarity is ``percent`` hundredths or more.  The join is exact:
 
 1. *Classes.*  Documents with equal sets are one class; its least doc_id stands
-   for it, so copies cost no pairs.
+   for it (row keys of ``exchange`` where ids are null or have several texts), so
+   copies cost no pairs.
 2. *Shared shingles.*  A packed exchange tells each class which of its shingles
    other classes have.  A link needs ``percent`` hundredths of a set shared, so
    all other classes are done.
@@ -17,13 +18,12 @@ similarity is ``percent`` hundredths or more.  The join is exact:
    its lists; a set much like one with known answers takes those and corrects
    them by the shingles they do not share.  Groups over ``BLOCK`` shingles are
    cut by size and joined block by block, so no task holds a whole group.
-5. Links make components; a component's id is its least doc_id.
+5. Links make components; a component's id is its least doc_id that is not null.
 
 Defined cases: null, empty and blank texts have empty sets, link with nothing,
 and are their own component; fewer words than a shingle are one shingle; rows that
-repeat a doc_id come back each (if their texts differ, the least of their sets
-stands for the id in links); a null doc_id is a null component, and sorts first; an empty table gives no
-rows; only doc_id and text are read.
+repeat a doc_id come back each, and link by their own texts; a component of null doc_ids
+only has a null id; an empty table gives no rows; only doc_id and text are read.
 """
 
 from __future__ import annotations
@@ -225,8 +225,13 @@ def _join(sizes, weights, tokens, first, percent, side, home):
 
 def links(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     """One row a document: doc_id, n_shingles, component_id, n_links (other documents it links with)."""
+    return keyed_links(docs, X.row_keys(docs), size, percent).select("doc_id", "n_shingles", "component_id", "n_links")
+
+
+def keyed_links(docs: DataFrame, keys: DataFrame | None, size: int = 5, percent: int = 80) -> DataFrame:
+    """The columns of links, the row's key (id), and the key of the component's row with the component's id (keep)."""
     codes = A.byte_codes()
-    own = X.keyed(docs)
+    own = X.keyed(docs, keys)
     n_buckets = X.buckets(docs)
 
     def digests(batches):
@@ -236,9 +241,9 @@ def links(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
             total = np.concatenate([[0], np.cumsum(keys)]).astype(np.uint64)
             mixed = np.concatenate([[0], np.cumsum(A.mix(keys * np.uint64(A.INVERSE)))]).astype(np.uint64)
             yield pa.RecordBatch.from_arrays([
-                batch.column(batch.schema.get_field_index("id")), pa.array(np.diff(first), pa.int64()),
+                batch.column(batch.schema.get_field_index("id")), X.doc_ids(batch), pa.array(np.diff(first), pa.int64()),
                 pa.array((total[first[1:]] - total[first[:-1]]).view(np.int64)), pa.array((mixed[first[1:]] - mixed[first[:-1]]).view(np.int64)),
-            ], ["id", "n", "h1", "h2"])
+            ], ["id", "doc", "n", "h1", "h2"])
 
     def ask(batches):
         roll, out = A.Rolling(), X.Requests(n_buckets, False)
@@ -263,9 +268,11 @@ def links(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
                 pa.array([k.tobytes() for k in kept], pa.binary()),
             ], ["id", "n", "skip", "keys"])
 
-    sets = written(own.mapInArrow(digests, "id long, n long, h1 long, h2 long"), "set-digests")
-    classes = sets.filter("n > 0").groupBy("n", "h1", "h2").agg(F.min("id").alias("rep"), F.count("*").alias("weight"))
-    single = X.compact(own).join(classes.select(F.col("rep").alias("id")), "id", "left_semi")
+    sets = written(own.mapInArrow(digests, "id long, doc long, n long, h1 long, h2 long"), "set-digests")
+    named = F.when(F.col("doc").isNotNull(), F.col("id"))
+    classes = sets.filter("n > 0").groupBy("n", "h1", "h2").agg(
+        F.min("id").alias("rep"), F.min("doc").alias("least"), F.min(named).alias("named"), F.count("*").alias("weight"))
+    single = X.compact(own.select("id", "text")).join(classes.select(F.col("rep").alias("id")), "id", "left_semi")
     replies = X.answers(single.mapInArrow(ask, X.REQUEST), False)
     shared = X.with_hits(single, replies).filter(F.col("hits").isNotNull())
     kept = shared.mapInArrow(survivors, "id long, n long, skip long, keys binary")
@@ -321,13 +328,20 @@ def links(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     counted = joined.groupBy("id").agg(F.sum("links").alias("links"))
     classes = (classes.join(found.withColumnRenamed("id", "rep"), "rep", "left")
                .join(counted.withColumnRenamed("id", "rep"), "rep", "left")
-               .select("n", "h1", "h2", F.coalesce("root", "rep").alias("root"),
+               .select("n", "h1", "h2", F.coalesce("root", "rep").alias("root"), "least", "named", "rep",
                        (F.coalesce("links", F.lit(0)) + F.col("weight") - 1).alias("links")))
+    if keys is None:
+        classes = classes.select("n", "h1", "h2", "links", F.col("root").alias("component"), F.col("root").alias("keep"))
+    else:
+        # the root's row may have no id, while others of its component do; a large component is dealt over SALTS tasks
+        names = classes.groupBy("root").agg(F.min("least").alias("component"), F.coalesce(F.min("named"), F.min("rep")).alias("keep"))
+        names = names.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(X.SALTS - 1))))
+        classes = classes.withColumn("salt", F.pmod(F.xxhash64("rep"), F.lit(X.SALTS)).cast("int"))
+        classes = classes.join(names, ["root", "salt"]).select("n", "h1", "h2", "links", "component", "keep")
     out = sets.join(classes, ["n", "h1", "h2"], "left")
-    plain = lambda c: F.when(F.col(c) != A.NULL_ID, F.col(c))
-    return out.select(plain("id").alias("doc_id"), F.col("n").alias("n_shingles"),
-                      F.coalesce(plain("root"), plain("id")).alias("component_id"),
-                      F.coalesce("links", F.lit(0)).cast("long").alias("n_links"))
+    return out.select(F.col("doc").alias("doc_id"), F.col("n").alias("n_shingles"),
+                      F.coalesce("component", "doc").alias("component_id"),
+                      F.coalesce("links", F.lit(0)).cast("long").alias("n_links"), "id", F.coalesce("keep", "id").alias("keep"))
 
 
 def op8_jaccard_join(spark, sf_dir):

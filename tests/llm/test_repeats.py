@@ -2,6 +2,7 @@
 
 import random
 import re
+from collections import Counter
 
 import pytest
 
@@ -104,3 +105,13 @@ def test_jaccard_join(table, block, monkeypatch):
 
 def test_jaccard_join_empty(table):
     assert jaccard_join.links(table([])).collect() == []
+
+
+def test_jaccard_join_null_and_repeated_ids(table):
+    group = lambda w: " ".join(f"{w}{i}" for i in range(40))
+    rows = [(None, group("a")), (5, group("a")), (3, group("a") + " x"), (9, group("a")), (None, group("b")), (4, group("b")), (8, group("b")),
+            (5, group("c")), (6, group("c")), (None, group("d")), (None, group("d") + " x"), (None, "alone"), (7, "other"), (None, None), (5, "")]
+    got = Counter((r.doc_id, r.component_id, r.n_links) for r in jaccard_join.links(table(rows)).collect())
+    want = [(None, 3, 3), (5, 3, 3), (3, 3, 3), (9, 3, 3), (None, 4, 2), (4, 4, 2), (8, 4, 2), (5, 5, 1), (6, 5, 1),
+            (None, None, 1), (None, None, 1), (None, None, 0), (7, 7, 0), (None, None, 0), (5, 5, 0)]
+    assert got == Counter(want)
