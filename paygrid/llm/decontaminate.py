@@ -165,9 +165,22 @@ def _blocks(benchmark: DataFrame):
         yield rows
 
 
-def scan(docs: DataFrame, benchmark: DataFrame, window: int = 10, with_spans: bool = True) -> DataFrame:
+def without(texts: pa.Array, row: np.ndarray, start: list[int], end: list[int]) -> pa.Array:
+    """texts without the byte spans [start, end) of the rows, which are in order."""
+    out = texts.to_pylist()
+    edge = np.flatnonzero(np.diff(row, prepend=-1, append=-1)).tolist() if len(row) else []
+    for a, b in zip(edge[:-1], edge[1:], strict=True):
+        raw, at, parts = out[row[a]].encode(), 0, []
+        for i in range(a, b):
+            parts.append(raw[at:start[i]])
+            at = end[i]
+        out[row[a]] = (b"".join(parts) + raw[at:]).decode()
+    return pa.array(out, texts.type)
+
+
+def scan(docs: DataFrame, benchmark: DataFrame, window: int = 10, with_spans: bool = True, remove: bool = False) -> DataFrame:
     """One row a document: doc_id, text, n_words, n_hit, items (ids with occurring phrases, in order),
-    and the hit runs as byte spans [start, end) of the text."""
+    and the hit runs as byte spans [start, end) of the text; or with ``remove`` the columns of docs, text without the runs."""
     spark = docs.sparkSession
     codes = A.byte_codes()
     blocks = [spark.sparkContext.broadcast(b) for rows in _blocks(benchmark) if (b := phrase_block(rows, window, codes))]
@@ -218,6 +231,14 @@ def scan(docs: DataFrame, benchmark: DataFrame, window: int = 10, with_spans: bo
                     pairs = pa.StructArray.from_arrays([
                         pa.array((h["starts"][own_first[r] + a] - h["offs"][r]).astype(np.int32)),
                         pa.array((h["ends"][own_first[r] + b - 1] - h["offs"][r]).astype(np.int32))], ["start", "end"])
+                    if remove:
+                        names = h["batch"].schema.names
+                        at = names.index("text")
+                        columns = list(h["batch"].columns)
+                        columns[at] = without(columns[at], r, *(pairs.field(i).to_pylist() for i in (0, 1)))
+                        yield pa.RecordBatch.from_arrays(columns, names)
+                        row, word = row + n, word + w
+                        continue
                     columns.append(pa.ListArray.from_arrays(spans.offsets, pairs))
                     names.append("spans")
                 yield pa.RecordBatch.from_arrays(columns, names)
@@ -264,6 +285,8 @@ def scan(docs: DataFrame, benchmark: DataFrame, window: int = 10, with_spans: bo
         if held:
             yield from flush()
 
+    if remove:
+        return docs.mapInArrow(task, docs.schema)
     own = docs.select("doc_id", "text")
     kind = own.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {kind}, " + "text string, " * with_spans + f"n_words long, n_hit long, items array<{item_type}>" + ", spans array<struct<start:int,end:int>>" * with_spans

@@ -5,10 +5,10 @@ Each takes (spark, docs, sf_dir); all but the last return the columns of docs.
 
 from __future__ import annotations
 
-import pyarrow as pa
 from pyspark.sql import functions as F
 
-from paygrid.llm import bpe, decontaminate, jaccard_join, pii, quality
+from paygrid.llm import bpe, decontaminate, exchange, jaccard_join, pii, quality
+from paygrid.llm.staging import written
 
 
 def keep_quality(spark, docs, sf_dir):
@@ -18,31 +18,21 @@ def keep_quality(spark, docs, sf_dir):
 
 
 def one_of_alike(spark, docs, sf_dir):
-    """One document of each component of the Jaccard join: the one whose id is the component's; a null id is kept."""
-    groups = jaccard_join.links(docs).filter("doc_id <> component_id").select("doc_id").distinct()
-    return docs.join(groups, "doc_id", "left_anti").select(*docs.columns)
+    """One row of each component of the Jaccard join: one whose id is the component's; texts without words are all kept."""
+    keys = exchange.row_keys(docs)
+    found = written(jaccard_join.keyed_links(docs, keys).select(F.col("id").alias("__row"), "keep", "n_shingles"), "alike")
+    kept = exchange.with_row_key(docs, keys).join(found.filter("__row <> keep").select("__row").distinct(), "__row", "left_anti")
+    # rows given twice have one key
+    twice = found.filter("__row = keep AND n_shingles > 0").groupBy("__row").count().filter("count > 1").select("__row")
+    if not twice.isEmpty():
+        kept = kept.join(twice, "__row", "left_anti").unionByName(kept.join(twice, "__row", "left_semi").dropDuplicates(["__row"]))
+    return kept.select(*docs.columns)
 
 
 def remove_benchmark(spark, docs, sf_dir):
     """Texts without the words that occur in benchmark phrases; a text that had nothing else is empty."""
-    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    found = decontaminate.scan(docs, benchmark).filter(F.size("spans") > 0).select("doc_id", "text", "spans")
-
-    def cut(batches):
-        for batch in batches:
-            texts = []
-            for text, spans in zip(batch.column(1).cast(pa.binary()).to_pylist(), batch.column(2).to_pylist(), strict=True):
-                parts, end = [], 0
-                for s in spans:
-                    parts.append(text[end:s["start"]])
-                    end = s["end"]
-                texts.append((b"".join(parts) + text[end:]).decode())
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], ["doc_id", "clean"])
-
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    clean = found.mapInArrow(cut, f"doc_id {kind}, clean string").dropDuplicates(["doc_id"])
-    rows = docs.join(clean, "doc_id", "left").withColumn("text", F.coalesce("clean", "text"))
-    return rows.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
+    rows = decontaminate.scan(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), remove=True)
+    return rows.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
 
 
 def mask_personal_data(spark, docs, sf_dir):

@@ -13,8 +13,8 @@ starts at a multiple of the block's size in its document.  So:
 3. overlapping repeats merge into maximal runs, which are removed.
 
 Defined cases: null and empty texts have no words and come back empty; a null
-doc_id sorts before all others; rows that share a doc_id share its positions,
-so a row given twice does not repeat itself; an empty table gives no rows;
+doc_id sorts before all others; different texts of a doc_id are documents of their
+own, in order of a digest; a row given twice does not repeat itself; an empty table gives no rows;
 columns other than doc_id and text are not read, whatever their names.
 """
 
@@ -74,7 +74,7 @@ def remove_repeats(docs: DataFrame, window: int = 20) -> DataFrame:
     block = window // 2
     n_buckets = X.buckets(docs)
     codes = A.byte_codes()
-    own = X.keyed(docs)
+    own = X.keyed(docs, X.row_keys(docs))
     copies = X.copies(own)
     single = own.join(copies, "id", "left_anti")
 
@@ -107,9 +107,8 @@ def remove_repeats(docs: DataFrame, window: int = 20) -> DataFrame:
             hits = X.hit_flags(batch.column(batch.schema.get_field_index("hits")), first[:-1], int(first[-1]))
             gone = A.covered(hits, window) | X.whole_rows(batch, first, window)
             total = np.concatenate([[0], np.cumsum(gone)])[first]
-            ids = A.ids(batch, "id")
             yield pa.RecordBatch.from_arrays([
-                pa.array(ids, pa.int64(), mask=ids == A.NULL_ID), pa.array(np.diff(first), pa.int64()),
+                X.doc_ids(batch), pa.array(np.diff(first), pa.int64()),
                 pa.array(np.diff(total), pa.int64()),
                 pa.array(joined_words(data, starts, ends, ~gone, first), pa.binary()).cast(pa.string()),
                 runs(gone, first),

@@ -20,9 +20,9 @@ Only a depth of ``length`` bytes is ever sorted, since deeper order changes no
 removal; keys are 64-bit hashes of the bytes beside the bucket's own bits.
 
 Defined cases: a null text is empty; empty and short texts lose nothing; a null
-doc_id sorts first; rows that share a doc_id share its positions, so a row
-given twice does not repeat itself; an empty table gives no rows; only doc_id
-and text are read.
+doc_id sorts first; different texts of a doc_id are documents of their own, in
+order of a digest; a row given twice does not repeat itself; an empty table
+gives no rows; only doc_id and text are read.
 """
 
 from __future__ import annotations
@@ -53,8 +53,9 @@ def remove_repeats(docs: DataFrame, length: int = 100) -> DataFrame:
     cover = np.array(COVER)
     rank = np.zeros(COVER_MODULUS, np.int64)
     rank[cover] = np.arange(len(cover))
-    copies = X.copies(X.keyed(docs))
-    own = X.compact(X.keyed(docs))
+    rows = X.keyed(docs, X.row_keys(docs))
+    copies = X.copies(rows)
+    own = X.compact(rows)
     single = own.join(copies, "id", "left_anti")
 
     def sample(batches):
@@ -101,11 +102,10 @@ def remove_repeats(docs: DataFrame, length: int = 100) -> DataFrame:
             total = np.concatenate([[0], np.cumsum(gone)])[offs]
             at = (offs - total).astype(np.int32)
             kept = data[~gone].tobytes()
-            ids = A.ids(batch, "id")
             yield pa.RecordBatch.from_arrays([
-                pa.array(ids, pa.int64(), mask=ids == A.NULL_ID), pa.array(np.diff(offs), pa.int64()),
+                X.doc_ids(batch), pa.array(np.diff(offs), pa.int64()),
                 pa.array(np.diff(total), pa.int64()),
-                pa.Array.from_buffers(pa.binary(), len(ids), [None, pa.py_buffer(at.tobytes()), pa.py_buffer(kept)]),
+                pa.Array.from_buffers(pa.binary(), len(batch), [None, pa.py_buffer(at.tobytes()), pa.py_buffer(kept)]),
                 runs(gone, offs),
             ], ["doc_id", "n_bytes", "n_removed", "kept", "removed"])
 

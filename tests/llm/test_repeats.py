@@ -1,12 +1,13 @@
 """Operators 3, 4 and 8 against brute force, with nulls, ties, repeated rows and long texts."""
 
+import hashlib
 import random
 import re
 from collections import Counter
 
 import pytest
 
-from paygrid.llm import jaccard_join, substring_dedup, suffix_dedup
+from paygrid.llm import jaccard_join, stages, substring_dedup, suffix_dedup
 
 WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 
@@ -107,6 +108,27 @@ def test_jaccard_join_empty(table):
     assert jaccard_join.links(table([])).collect() == []
 
 
+def by_row(rows):
+    """rows in the order of their keys: null ids first, then by id and digest of the text; each once."""
+    return sorted(set(rows), key=lambda r: (r[0] is not None, r[0] or 0, hashlib.md5((r[1] or "").encode()).hexdigest()))
+
+
+def test_repeated_ids_with_other_texts(table):
+    rnd = random.Random(9)
+    rows = [(rnd.choice([None, 3, 4, 5, *range(20, 40)]), t or "") for t in texts(6, 40)]
+    rows += rows[:4]
+    order = by_row(rows)
+    words = [[w.decode() for w in WORD.findall(t.encode())] for _, t in order]
+    gone = earlier([[tuple(w[p:p + 20]) for p in range(len(w) - 19)] for w in words], 20)
+    want = {r: " ".join(x for p, x in enumerate(w) if p not in g) for r, w, g in zip(order, words, gone, strict=True)}
+    got = substring_dedup.remove_repeats(table(rows)).collect()
+    assert Counter((r.doc_id, r.kept_text) for r in got) == Counter((r[0], want[r]) for r in rows)
+    gone = earlier([[t.encode()[p:p + 100] for p in range(len(t.encode()) - 99)] for _, t in order], 100)
+    want = {r: bytes(x for p, x in enumerate(r[1].encode()) if p not in g) for r, g in zip(order, gone, strict=True)}
+    got = suffix_dedup.remove_repeats(table(rows)).collect()
+    assert Counter((r.doc_id, bytes(r.kept)) for r in got) == Counter((r[0], want[r]) for r in rows)
+
+
 def test_jaccard_join_null_and_repeated_ids(table):
     group = lambda w: " ".join(f"{w}{i}" for i in range(40))
     rows = [(None, group("a")), (5, group("a")), (3, group("a") + " x"), (9, group("a")), (None, group("b")), (4, group("b")), (8, group("b")),
@@ -115,3 +137,27 @@ def test_jaccard_join_null_and_repeated_ids(table):
     want = [(None, 3, 3), (5, 3, 3), (3, 3, 3), (9, 3, 3), (None, 4, 2), (4, 4, 2), (8, 4, 2), (5, 5, 1), (6, 5, 1),
             (None, None, 1), (None, None, 1), (None, None, 0), (7, 7, 0), (None, None, 0), (5, 5, 0)]
     assert got == Counter(want)
+
+
+def test_stage_keeps_one_row_of_alike(spark, table):
+    group = lambda w: " ".join(f"{w}{i}" for i in range(40))
+    rows = [(None, group("a")), (5, group("a")), (3, group("a") + " x"), (5, group("c")), (6, group("c")), (6, group("c")), (6, group("e")),
+            (None, group("d")), (None, group("d")), (None, "alone"), (7, "other"), (7, "other"), (8, "one more"), (None, None), (None, None), (9, ""), (9, "")]
+    want = [(3, group("a") + " x"), (5, group("c")), (6, group("e")), (None, group("d")), (None, "alone"), (7, "other"), (8, "one more"),
+            (None, None), (None, None), (9, ""), (9, "")]
+    docs = table(rows)
+    got = stages.one_of_alike(spark, docs, None)
+    assert got.columns == docs.columns and Counter((r.doc_id, r.text) for r in got.collect()) == Counter(want)
+    rows = [(1, group("a")), (2, group("a")), (3, group("b")), (3, group("b"))]  # ids tell texts apart
+    assert sorted((r.doc_id, r.text) for r in stages.one_of_alike(spark, table(rows), None).collect()) == [(1, group("a")), (3, group("b"))]
+
+
+def test_stage_cuts_benchmark_by_row(spark, corpus):
+    leak = "Alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu"
+    rows = [(None, f"ü {leak}. end"), (None, "clean"), (5, f"one {leak}! two {leak} ü"), (5, "clean too"), (5, f"one {leak}! two {leak} ü"), (6, leak), (7, None), (8, "")]
+    sf = corpus(rows, benchmark=([(1, leak)], "item_id long, text string"))
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    got = stages.remove_benchmark(spark, docs, sf)
+    want = [(i, t and t.replace(leak, "")) for i, t in rows]
+    assert got.columns == docs.columns
+    assert Counter((r.doc_id, r.text, r.n_chars) for r in got.collect()) == Counter((i, t, None if t is None else len(t)) for i, t in want)
