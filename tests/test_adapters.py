@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from conftest import SF_MID, SF_SMALL
+from support import SF_MID, SF_SMALL
 from paygrid.functions.constants import WHOLE_MARKET
 from paygrid.sources.tables import SOURCE_SCHEMAS
 from paygrid.sources.testdata import TestDataSources

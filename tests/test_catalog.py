@@ -4,8 +4,8 @@ import datetime as dt
 
 from pyspark.sql import types as T
 
-from conftest import base_row, months
-from conftest import sources as make_sources
+from support import base_row, months
+from support import sources as make_sources
 from paygrid import MartOptions
 from paygrid.plans.catalog import create_table_sql, ensure_tables
 from paygrid.plans.contracts import contract
@@ -57,7 +57,7 @@ def test_column_defaults_apply_to_sql_inserts(spark):
 
 
 def test_sources_from_catalog_tables_give_the_same_mart(spark):
-    from conftest import SF_SMALL
+    from support import SF_SMALL
     from paygrid import TableSources, build_mart
     from paygrid.sources.testdata import TestDataSources
 

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from conftest import base_row, months, sources
+from support import base_row, months, sources
 from paygrid import MartOptions, build_mart
 from paygrid.operators.validate import ContractViolation, enforce, violations
 from paygrid.plans.contracts import conform, contract, empty_table

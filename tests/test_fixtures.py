@@ -5,7 +5,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import base_row, ext_row, months, sources, vac_row
+from support import base_row, ext_row, months, sources, vac_row
 from paygrid import MartOptions, build_mart
 from paygrid.operators import enrich as E
 from paygrid.operators.horizon import cutoff_month

@@ -4,8 +4,8 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from conftest import base_row, months
-from conftest import sources as make_sources
+from support import base_row, months
+from support import sources as make_sources
 from paygrid import MartOptions
 from paygrid.functions.constants import JOB_NAME, STEP_DONE, STEP_STARTED
 from paygrid.plans.job import run
@@ -102,7 +102,7 @@ def test_command_line_run(spark):
     import os
     import subprocess
     import sys
-    from conftest import SF_SMALL
+    from support import SF_SMALL
     target, log = scratch_path(spark, "t-cli"), scratch_path(spark, "t-cli-log")
     repo = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
     env = dict(os.environ, PYTHONPATH=repo)

@@ -14,7 +14,7 @@ import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
-from conftest import sources
+from support import sources
 from paygrid import MartOptions, build_mart
 from paygrid.functions.constants import COMPETITOR_UNKNOWN, WHOLE_MARKET
 from paygrid.operators.temporal import TIE_ORDER

@@ -4,7 +4,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
-from conftest import SF_SMALL
+from support import SF_SMALL
 from tools.check_oracle import TABLES, compare, type_mismatches
 
 QUERIES = entry.queries()

@@ -1,6 +1,6 @@
 """Physical-plan checks: pushdown, one window exchange, bounded pre-shuffle limits."""
 
-from conftest import SF_SMALL
+from support import SF_SMALL
 from paygrid import MartOptions, TestDataSources, build_mart
 from paygrid.operators.horizon import cutoff_month
 from paygrid.plans.mart import joined_relation

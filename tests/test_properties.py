@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL, base_row, months, sources, vac_row
+from support import SF_SMALL, base_row, months, sources, vac_row
 from paygrid import MartOptions, TestDataSources, build_mart
 from paygrid.operators.temporal import LOOKBACK
 

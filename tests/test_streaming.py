@@ -2,7 +2,7 @@
 
 import datetime as dt
 
-from conftest import SF_SMALL, vac_row, _frame
+from support import SF_SMALL, vac_row, _frame
 from paygrid import MartOptions, TableSources
 from paygrid.session import scratch_path
 from paygrid.sources.tables import SOURCE_SCHEMAS
