@@ -16,9 +16,8 @@ Defined cases: rows with a null id, label or vector, or a null or non-finite com
 take no part; shorter vectors are padded with zeros, empty ones score 0; ties go to the smaller id; repeated
 rows count as often as they are given, but rows that share an anchor's id are one anchor (the least label, then
 vector) and none of them is its positive or negative; scores outside 64 bits are compared exactly within a
-task and returned as the nearest long, whose window counts; an empty table, or one without
-anchors, gives no rows; only vec_id,
-label and embedding are read.
+task and returned as the nearest long, whose window counts; an empty table, or one without anchors, gives no
+rows; only vec_id, label and embedding are read.
 """
 
 from __future__ import annotations
@@ -258,6 +257,6 @@ p AS (
   QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5)
 SELECT p.anchor_id, positive_id, CAST(row_number() OVER w AS INTEGER) AS rank, s.id AS negative_id, positive_score, s.score AS negative_score
 FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT s.same AND 30 * positive_score <= 100 * s.score AND 100 * s.score <= 90 * positive_score
-QUALIFY rank <= 10
 WINDOW w AS (PARTITION BY p.anchor_id, positive_id ORDER BY s.score DESC, s.id)
+QUALIFY rank <= 10
 """

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from paygrid.llm import alignment, bpe, decontaminate, fingerprints, jaccard_join, negatives, pii, quality, sharding, substring_dedup, suffix_dedup, toxicity
+from paygrid.llm import alignment, bpe, content, decontaminate, fingerprints, jaccard_join, negatives, pii, quality, sharding, substring_dedup, suffix_dedup, toxicity
 
 QUERIES = {f.__name__: f for f in (
     fingerprints.op1_merkle_fingerprints,
@@ -15,6 +15,7 @@ QUERIES = {f.__name__: f for f in (
     jaccard_join.op8_jaccard_join,
     bpe.op9_byte_bpe,
     pii.op10_pii,
+    content.op11_main_text,
     negatives.op12_hard_negatives,
     alignment.op13_token_alignment,
 )}
