@@ -33,11 +33,12 @@ from pyspark.sql import functions as F
 
 from paygrid.llm import arrays as A
 from paygrid.llm.exchange import _planes, _unplanes
-from paygrid.llm.staging import written
+from paygrid.llm.staging import written, written_in_buckets
 
-CHUNK_BYTES = 8 << 20
-#: Bytes of distinct segments whose matrices are built at a time.
-BLOCK_BYTES = 1 << 20
+CHUNK_BYTES = 4 << 20
+#: Characters of distinct segments whose matrices are built at a time, and of those that are tokenised in one text.
+BLOCK_BYTES = 1 << 19
+JOINED = 1 << 13
 #: From a space after a non-white character (or the start) up to the next such space.
 SEGMENT = r"\s*\S+(?:[^\S ]\s*(?:\S+|\Z))*|\s+"
 STATS = ("n_a", "n_b", "n_groups", "n_links", "n_shared")
@@ -124,16 +125,40 @@ class _Tokenizers:
 
     def encode(self, segments: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
         """(ids of all segments, first id of each) of both; segments start with a space."""
-        got_a = [e.ids for e in self.a.encode_batch(segments, add_special_tokens=False)]
+        got_a = self._first(segments)
         # the second adds that space by itself, but not to nothing
-        got_b = self.b.encode([s[1:] for s in segments], num_threads=1)
-        got_b = [ids or [self.space] for ids in got_b]
+        got_b = [ids or [self.space] for ids in self.b.encode([s[1:] for s in segments], num_threads=1)]
         out = []
         for got in (got_a, got_b):
             first = np.concatenate([[0], np.cumsum([len(x) for x in got])]).astype(np.int64)
             out.append((np.fromiter((i for x in got for i in x), np.int64, int(first[-1])), first))
         return out
 
+    def _first(self, segments: list[str]) -> list[list[int]]:
+        """Ids of the first tokenizer; it cuts between two segments too, so many go in one text and come out apart."""
+        out: list = [None] * len(segments)
+        alone = [i for i, s in enumerate(segments) if s[-1].isspace()]
+        group, size = [], 0
+        for i in [*(i for i, s in enumerate(segments) if not s[-1].isspace()), None]:
+            if i is not None:
+                group.append(i)
+                size += len(segments[i])
+            if group and (i is None or size >= JOINED):
+                ids = np.array(self.a.encode("".join([segments[g] for g in group]), add_special_tokens=False).ids, np.int64)
+                ends = np.cumsum(self.table_a[0][ids])
+                want = np.cumsum([len(segments[g].encode()) for g in group])
+                cut = np.searchsorted(ends, want)
+                if cut[-1] < len(ends) and (ends[cut] == want).all():
+                    ids, cut = ids.tolist(), [0, *(cut + 1).tolist()]
+                    for g, a, b in zip(group, cut[:-1], cut[1:], strict=True):
+                        out[g] = ids[a:b]
+                else:
+                    alone += group
+                group, size = [], 0
+        for i in alone:
+            out[i] = self.a.encode(segments[i], add_special_tokens=False).ids
+        return out
+
 
 class Aligned(NamedTuple):
     """Distinct segments, aligned: flags, numbers of each, its groups, and its links as id pairs."""
@@ -219,8 +244,10 @@ def _sums(values: np.ndarray, first: np.ndarray) -> np.ndarray:
     return total[first[1:]] - total[first[:-1]]
 
 
-def _chunk_row(chunk: int, tokenizers: _Tokenizers, ids: list[int], at: list[np.ndarray], index: _Index) -> tuple:
+def _chunk_row(chunk: int, tokenizers: _Tokenizers, ids: list[int], at: list[np.ndarray], index: _Index, with_groups: bool) -> tuple:
     """(chunk, documents, pairs): what a chunk keeps of its documents, and the pair counts it asks for."""
+    import hashlib
+
     import zstandard
 
     segments = list(index)
@@ -241,11 +268,15 @@ def _chunk_row(chunk: int, tokenizers: _Tokenizers, ids: list[int], at: list[np.
     keys, place = np.unique(links, return_inverse=True)
     totals = np.zeros(len(keys), np.int64)
     np.add.at(totals, place, np.repeat(used[order], n_links))
-    groups = [got.groups[i].encode() for i in order.tolist()]
-    head = np.array([len(ids), len(flat), len(order), len(links)], np.int64).tobytes()
+    digests = []
+    for own, whole_text in zip(at, whole.tolist(), strict=True):
+        some = whole_text and len(own)
+        digests.append(hashlib.sha256(";".join([got.groups[i] for i in own.tolist()]).encode()).digest() if some else bytes(32))
+    groups = [got.groups[i].encode() for i in order.tolist()] if with_groups else []
+    head = np.array([len(ids), len(flat), len(order), len(links), len(groups)], np.int64).tobytes()
     docs = b"".join([head, _planes(np.array(ids, np.int64)), _planes(counts.astype(np.uint32)), _planes(number[flat]),
                      *(_planes(got.stats[c][order].astype(np.uint32)) for c in STATS), _planes(place.astype(np.uint32)),
-                     _planes(np.array([len(g) for g in groups], np.uint32)), *groups])
+                     *digests, _planes(np.array([len(g) for g in groups], np.uint32)), *groups])
     body = len(keys).to_bytes(8, "little") + _planes(np.diff(keys, prepend=0)) + _planes(totals)
     return chunk, zstandard.compress(docs, 1), zstandard.compress(body, 1)
 
@@ -259,35 +290,39 @@ def _read_pairs(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
     return np.cumsum(gaps), _unplanes(raw, at, n, np.int64)[0]
 
 
-def _assemble(docs: bytes, keys: np.ndarray, totals: np.ndarray, best: np.ndarray) -> pa.Table:
-    """The rows of a chunk's documents; keys ascend, as the chunk's own do."""
+def _assemble(docs: bytes, totals: np.ndarray, best: np.ndarray, with_groups: bool) -> pa.Table:
+    """The rows of a chunk's documents; totals and best are in the order of the chunk's pairs."""
     import zstandard
 
     raw = zstandard.decompress(docs)
-    n, n_flat, n_segments, n_links = np.frombuffer(raw, np.int64, 4).tolist()
-    ids, at = _unplanes(raw, 32, n, np.int64)
+    n, n_flat, n_segments, n_links, n_groups = np.frombuffer(raw, np.int64, 5).tolist()
+    ids, at = _unplanes(raw, 40, n, np.int64)
     counts, at = _unplanes(raw, at, n, np.uint32)
     flat, at = _unplanes(raw, at, n_flat, np.uint32)
     per = {}
     for c in STATS:
         per[c], at = _unplanes(raw, at, n_segments, np.uint32)
     place, at = _unplanes(raw, at, n_links, np.uint32)
-    sizes, at = _unplanes(raw, at, n_segments, np.uint32)
-    ends = (at + np.cumsum(sizes, dtype=np.int64)).tolist()
-    groups = [raw[a:b].decode() for a, b in zip([at, *ends[:-1]], ends, strict=True)]
+    digests = raw[at:at + 32 * n].hex()
+    at += 32 * n
     links = np.concatenate([[0], np.cumsum(per["n_links"], dtype=np.int64)])
     per["n_best"], per["count_sum"] = _sums(best[place].astype(np.int64), links), _sums(totals[place], links)
     first = np.concatenate([[0], np.cumsum(counts, dtype=np.int64)])
     out = {"doc_id": pa.array(ids, mask=ids == A.NULL_ID)}
     for c in (*STATS, "n_best", "count_sum"):
         out[c] = pa.array(_sums(per[c][flat].astype(np.int64), first))
-    numbers, cut = flat.tolist(), first.tolist()
-    out["groups"] = pa.array([";".join([groups[i] for i in numbers[a:b]]) for a, b in zip(cut[:-1], cut[1:], strict=True)], pa.string())
+    out["groups_sha256"] = pa.array([digests[64 * i:64 * i + 64] if c else "" for i, c in enumerate(counts.tolist())], pa.string())
+    if with_groups:
+        sizes, at = _unplanes(raw, at, n_groups, np.uint32)
+        ends = (at + np.cumsum(sizes, dtype=np.int64)).tolist()
+        groups = [raw[a:b].decode() for a, b in zip([at, *ends[:-1]], ends, strict=True)]
+        numbers, cut = flat.tolist(), first.tolist()
+        out["groups"] = pa.array([";".join([groups[i] for i in numbers[a:b]]) for a, b in zip(cut[:-1], cut[1:], strict=True)], pa.string())
     return pa.table(out)
 
 
-def packed_chunks(docs: DataFrame, bpe: str, pieces: str) -> DataFrame:
-    """(chunk, docs, pairs), written once: later steps and retries see the same chunks."""
+def packed_chunks(docs: DataFrame, bpe: str, pieces: str, with_groups: bool = False) -> DataFrame:
+    """(chunk, docs, pairs), written once in buckets by chunk: later steps see the same chunks and need not shuffle them."""
 
     def pack(batches):
         find = re.compile(SEGMENT).findall
@@ -296,7 +331,7 @@ def packed_chunks(docs: DataFrame, bpe: str, pieces: str) -> DataFrame:
         ids, at, index, size = [], [], _Index(), 0
 
         def chunk():
-            row = _chunk_row(task << 32 | made, tokenizers, ids, at, index)
+            row = _chunk_row(task << 32 | made, tokenizers, ids, at, index, with_groups)
             return pa.RecordBatch.from_arrays([pa.array([x], k) for x, k in zip(row, (pa.int64(), pa.binary(), pa.binary()), strict=True)], ["chunk", "docs", "pairs"])
 
         for batch in (b.slice(k, 500) for b in batches for k in range(0, len(b), 500)):
@@ -314,7 +349,7 @@ def packed_chunks(docs: DataFrame, bpe: str, pieces: str) -> DataFrame:
             yield chunk()
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return written(rows.mapInArrow(pack, "chunk long, docs binary, pairs binary"), "alignment-chunks")
+    return written_in_buckets(rows.mapInArrow(pack, "chunk long, docs binary, pairs binary"), "alignment_chunks", "chunk")
 
 
 def _asked(chunks: DataFrame) -> DataFrame:
@@ -341,17 +376,20 @@ def pair_counts(chunks: DataFrame) -> DataFrame:
     return counts.join(F.broadcast(top), "b").select("pair", "a", "b", "n", (F.col("n") == F.col("top")).alias("best"))
 
 
-def align(docs: DataFrame, bpe: str, pieces: str) -> DataFrame:
-    """One row a document: its numbers of tokens, groups and links, and ``groups``, its token ids group by group."""
-    chunks = packed_chunks(docs, bpe, pieces)
+def align(docs: DataFrame, bpe: str, pieces: str, with_groups: bool = False) -> DataFrame:
+    """One row a document: its numbers of tokens, groups and links, and the SHA-256 of its token ids group by group.
+
+    ``with_groups`` also returns the groups themselves, as text.
+    """
+    chunks = packed_chunks(docs, bpe, pieces, with_groups)
     replies = _asked(chunks).select("chunk", "pair").join(pair_counts(chunks).select("pair", "n", "best"), "pair")
 
     def assemble(own: pa.Table, found: pa.Table) -> pa.Table:
         A.give_back()
-        order = np.argsort(keys := found.column("pair").to_numpy())
-        return _assemble(own.column("docs")[0].as_py(), keys[order], found.column("n").to_numpy()[order], found.column("best").to_numpy()[order])
+        order = np.argsort(found.column("pair").to_numpy())
+        return _assemble(own.column("docs")[0].as_py(), found.column("n").to_numpy()[order], found.column("best").to_numpy()[order], with_groups)
 
-    schema = "doc_id long, " + ", ".join(f"{c} long" for c in (*STATS, "n_best", "count_sum")) + ", groups string"
+    schema = "doc_id long, " + ", ".join(f"{c} long" for c in (*STATS, "n_best", "count_sum")) + ", groups_sha256 string" + ", groups string" * with_groups
     return chunks.select("chunk", "docs").groupBy("chunk").cogroup(replies.groupBy("chunk")).applyInArrow(assemble, schema)
 
 
@@ -360,5 +398,4 @@ def op13_token_alignment(spark, sf_dir):
 
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     out = align(docs, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
-    digest = F.when(F.col("n_a") > 0, F.sha2("groups", 256)).otherwise("")
-    return out.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", digest.alias("groups_sha256"), "n_shared")
+    return out.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256", "n_shared")

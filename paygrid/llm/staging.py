@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 
 from paygrid.session import scratch_path
@@ -21,3 +23,18 @@ def written(df: DataFrame, name: str) -> DataFrame:
     finally:
         spark.conf.unset(CLEANUP) if before is None else spark.conf.set(CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def written_in_buckets(df: DataFrame, name: str, column: str) -> DataFrame:
+    """df, written once in as many buckets by column as a shuffle has partitions, so that grouping by it needs no shuffle.
+
+    Only a table has buckets; its name is dropped as soon as the result knows its files, which stay.
+    """
+    spark = df.sparkSession
+    own = f"{name}_{uuid.uuid4().hex[:12]}"
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    df.write.bucketBy(n, column).option("path", scratch_path(spark, own)).saveAsTable(own)
+    out = spark.table(own)
+    out.schema  # resolved: its files and buckets are known
+    spark.sql(f"DROP TABLE {own}")
+    return out

@@ -73,13 +73,15 @@ def test_matches_whole_text_tokenisation(spark, corpus, monkeypatch):
 def test_small_chunks_and_blocks(spark, table):
     rows = [(i, f"word{i % 7} other words {i % 5}, ends  here\n") for i in range(40)]
     big = alignment._aligned_in_blocks.__globals__
-    kept = big["CHUNK_BYTES"], big["BLOCK_BYTES"]
+    kept = big["CHUNK_BYTES"], big["BLOCK_BYTES"], big["JOINED"]
     try:
-        big["CHUNK_BYTES"], big["BLOCK_BYTES"] = 90, 20
-        got = alignment.align(table(rows), BPE, PIECES).collect()
+        big["CHUNK_BYTES"], big["BLOCK_BYTES"], big["JOINED"] = 90, 20, 9
+        got = alignment.align(table(rows), BPE, PIECES, with_groups=True).collect()
     finally:
-        big["CHUNK_BYTES"], big["BLOCK_BYTES"] = kept
+        big["CHUNK_BYTES"], big["BLOCK_BYTES"], big["JOINED"] = kept
     want = {r[0]: r[1:7] + (r[8],) for r in brute(rows)}
+    assert all(hashlib.sha256(r.groups.encode()).hexdigest() == r.groups_sha256 for r in got)
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("alignment_chunks")]
     assert {r.doc_id: (r.n_a, r.n_b, r.n_groups, r.n_links, r.n_best, r.count_sum, r.n_shared) for r in got} == want
 
 
