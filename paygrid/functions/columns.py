@@ -12,6 +12,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from . import constants as C
+from .exact import fraction, units
 
 ColumnOrName = Column | str
 
@@ -50,10 +51,13 @@ def null_if_equal(c: ColumnOrName, value) -> Column:
     return F.nullif(_col(c), F.lit(value))
 
 
-def guarded_ratio(numerator: ColumnOrName, denominator: ColumnOrName) -> Column:
-    """``num / den - 1`` when den is present and non-zero, else NULL."""
-    n, d = _col(numerator), _col(denominator)
-    return F.when(d.isNotNull() & (d != 0), n / d - F.lit(1))
+def guarded_ratio(now: ColumnOrName, then: ColumnOrName, whole: bool = False) -> Column:
+    """``now / then - 1`` as an exact fraction when both are present and ``then`` is non-zero, else NULL.
+
+    ``whole``: the inputs are counts, else amounts.
+    """
+    n, d = (_col(c).cast("bigint") if whole else units(_col(c)) for c in (now, then))
+    return fraction(n - d, d, n.isNotNull() & d.isNotNull() & (d != 0))
 
 
 def integer_ratio(numerator: ColumnOrName, denominator: ColumnOrName) -> Column:
@@ -67,9 +71,9 @@ def integer_ratio(numerator: ColumnOrName, denominator: ColumnOrName) -> Column:
 
 
 def gap_to(own: ColumnOrName, market: ColumnOrName) -> Column:
-    """Relative gap of own pay to a market value; needs market > 0 and own pay."""
-    o, m = _col(own), _col(market)
-    return F.when(m.isNotNull() & (m > 0) & o.isNotNull(), (o - m) / m)
+    """Relative gap of own pay to a market value, as an exact fraction; needs market > 0 and own pay."""
+    o, m = units(_col(own)), units(_col(market))
+    return fraction(o - m, m, m.isNotNull() & (m > 0) & o.isNotNull())
 
 
 def spread(high: ColumnOrName, low: ColumnOrName) -> Column:

@@ -10,7 +10,7 @@ from .metrics import (
     add_market_gaps, completeness_ratio, competitor_name, gap_yoy, insufficient,
     salary_spread, salary_yoy, staffing_flag, vacancy_count, vacancy_yoy,
 )
-from .temporal import add_series_features, compress_runs, first_of_run, series_window
+from .temporal import add_series_features, first_of_run, in_blocks, placed_runs, series_window
 from .validate import enforce, violations
 
 __all__ = [
@@ -18,6 +18,6 @@ __all__ = [
     "lookup_position", "prepare_base", "prepare_market", "apply_horizon", "cutoff_month",
     "add_market_gaps", "completeness_ratio", "competitor_name",
     "gap_yoy", "insufficient", "salary_spread", "salary_yoy", "staffing_flag",
-    "vacancy_count", "vacancy_yoy", "add_series_features", "compress_runs", "first_of_run",
+    "vacancy_count", "vacancy_yoy", "add_series_features", "first_of_run", "in_blocks", "placed_runs",
     "series_window", "enforce", "violations",
 ]

@@ -21,14 +21,15 @@ import datetime as dt
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DecimalType
 
 from ..functions.columns import month_start, null_as_empty, null_if_equal
 from ..functions.constants import WHOLE_MARKET
+from ..functions.exact import MONEY
 from .horizon import apply_horizon
 
-# Measures are carried as DOUBLE from the join on (see ``enrich``): fast
-# fixed-width arithmetic inside codegen, where decimal(38,x) would fall back
-# to BigDecimal; the sink rounds them into the contract's NUMERIC types.
+# Amounts keep their decimal type from the source to the sink; a source that holds
+# them in another type is read as NUMERIC(18,5).
 
 
 def lookup_position(base: DataFrame, dim: DataFrame) -> DataFrame:
@@ -134,9 +135,9 @@ def join_vacancies(base: DataFrame, counts: DataFrame) -> DataFrame:
 def market_columns() -> list:
     """D3: market value, else the one on the base row (after :func:`join_market`)."""
     return [
-        F.coalesce("_m_perc_25", "perc_25").cast("double").alias("market_perc_25"),
-        F.coalesce("_m_perc_50", "perc_50").cast("double").alias("market_perc_50"),
-        F.coalesce("_m_perc_75", "perc_75").cast("double").alias("market_perc_75"),
+        F.coalesce("_m_perc_25", "perc_25").alias("market_perc_25"),
+        F.coalesce("_m_perc_50", "perc_50").alias("market_perc_50"),
+        F.coalesce("_m_perc_75", "perc_75").alias("market_perc_75"),
         F.coalesce("_m_cnt_vacancy_site", "market_cnt_vacancy_site").alias("cnt_vacancy_site"),
     ]
 
@@ -146,6 +147,15 @@ def vacancy_column():
     return F.coalesce("_v_vacancy_cnt", F.lit(0)).alias("vacancy_cnt")
 
 
+BASE_AMOUNTS = ("int_salary_tc5", "target_salary_amt", "perc_25", "perc_50", "perc_75")
+MARKET_AMOUNTS = ("perc_25", "perc_50", "perc_75")
+
+
+def _amounts(df: DataFrame, names: tuple[str, ...]) -> DataFrame:
+    """df with decimal amounts."""
+    return df.withColumns({c: F.col(c).cast(MONEY) for c in names if not isinstance(df.schema[c].dataType, DecimalType)})
+
+
 def join_sides(base: DataFrame, market: DataFrame, counts: DataFrame) -> DataFrame:
     """base LEFT JOIN (market FULL JOIN counts): the rows of two chained left joins.
 
@@ -168,11 +178,10 @@ def join_sides(base: DataFrame, market: DataFrame, counts: DataFrame) -> DataFra
 
 def enrich(base: DataFrame, market: DataFrame, counts: DataFrame) -> DataFrame:
     """The ``joined`` relation: base with market and vacancy data, fallbacks applied."""
-    return join_sides(base, market, counts).select(
+    sides = join_sides(_amounts(base, BASE_AMOUNTS), _amounts(market, MARKET_AMOUNTS), counts)
+    return sides.select(
         "week_dt", "position_id", "location_rk", "location_nm", "position_name",
-        "agglomeration_nm", "work_schedule_type",
-        F.col("int_salary_tc5").cast("double").alias("int_salary_tc5"),
-        F.col("target_salary_amt").cast("double").alias("target_salary_amt"),
+        "agglomeration_nm", "work_schedule_type", "int_salary_tc5", "target_salary_amt",
         "cnt_emp_dist",
         *market_columns(),
         vacancy_column(),

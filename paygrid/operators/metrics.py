@@ -1,11 +1,14 @@
 """Row-level feature formulas (gaps, ratios, spreads, completeness).
 
 All guards come before the division, so nothing divides by zero under ANSI
-mode; results are NULL where a guard fails (CASE without ELSE).
+mode; results are NULL where a guard fails (CASE without ELSE).  Ratios are
+exact fractions until they are settled at the sink's scale (``functions.exact``).
 """
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegralType
@@ -14,12 +17,15 @@ from ..functions.columns import (
     gap_to, guarded_ratio, integer_ratio, missing_flag, null_if_equal, spread,
 )
 from ..functions.constants import COMPETITOR_UNKNOWN, INSUFFICIENT_ABOVE, STAFFED_VALUE
+from ..functions.exact import FRACTION, RATIO_SCALE, fraction, growth, settled
 
+#: Core inputs of the completeness score.
+INPUTS = 3
 COUNT_RATIO_MODES = ("auto", "integer", "exact")
 
 
 def add_market_gaps(df: DataFrame) -> DataFrame:
-    """(own - market) / market, for p50 and p25."""
+    """(own - market) / market, for p50 and p25, as fractions."""
     return df.withColumns({
         "gap_to_market_p50": gap_to("int_salary_tc5", "market_perc_50"),
         "gap_to_market_p25": gap_to("int_salary_tc5", "market_perc_25"),
@@ -34,26 +40,22 @@ def resolve_count_ratio(df: DataFrame, mode: str, column: str = "cnt_vacancy_sit
     return "integer" if isinstance(df.schema[column].dataType, IntegralType) else "exact"
 
 
-def salary_yoy() -> Column:
+def salary_yoy(scale: int = RATIO_SCALE) -> Column:
     """p50 against the value 12 rows back."""
-    return guarded_ratio("market_perc_50", "lag52_ext_salary_p50")
+    return settled(guarded_ratio("market_perc_50", "lag52_ext_salary_p50"), scale)
 
 
-def vacancy_yoy(mode: str) -> Column:
+def vacancy_yoy(mode: str, scale: int = RATIO_SCALE) -> Column:
     """D7 for counts.  ``integer``: truncating division, as int / int in SQL;
     ``exact``: fractional ratio."""
     if mode == "integer":
-        ratio = integer_ratio("cnt_vacancy_site", "_lag12_post_cnt")
-    else:
-        ratio = guarded_ratio(F.col("cnt_vacancy_site").cast("double"),
-                              F.col("_lag12_post_cnt").cast("double"))
-    return ratio.cast("double")
+        return integer_ratio("cnt_vacancy_site", "_lag12_post_cnt").cast(f"decimal(38,{scale})")
+    return settled(guarded_ratio("cnt_vacancy_site", "_lag12_post_cnt", whole=True), scale)
 
 
-def gap_yoy() -> Column:
-    """Gap against the gap 12 rows back."""
-    gap, past = F.col("gap_to_market_p50"), F.col("lag52_gap_to_market_p50")
-    return F.when(past.isNotNull() & (past != 0) & gap.isNotNull(), gap / past - F.lit(1))
+def gap_yoy(scale: int = RATIO_SCALE) -> Column:
+    """Gap against the gap 12 rows back, both exact."""
+    return growth(F.col("gap_to_market_p50"), F.col("lag52_gap_to_market_p50"), scale)
 
 
 def salary_spread() -> Column:
@@ -86,11 +88,19 @@ def missing_inputs() -> Column:
     )
 
 
-def completeness_ratio() -> Column:
+def completeness_ratio(scale: int = RATIO_SCALE) -> Column:
     """Share of the three core inputs that are missing."""
-    return missing_inputs().cast("double") / F.lit(3.0)
+    return settled(fraction(missing_inputs(), F.lit(INPUTS), F.lit(True)), scale)
+
+
+def insufficient() -> Column:
+    """The unrounded score above 0.3, i.e. any one input missing; compared in whole numbers."""
+    part, whole = Decimal(str(INSUFFICIENT_ABOVE)).as_integer_ratio()
+    return missing_inputs() * F.lit(whole) > F.lit(INPUTS * part)
 
 
-def insufficient(ratio: Column | None = None) -> Column:
-    """The unrounded score above 0.3, i.e. any one input missing."""
-    return (completeness_ratio() if ratio is None else ratio) > F.lit(INSUFFICIENT_ABOVE)
+def settle_fractions(df: DataFrame, scales: dict[str, int] | None = None) -> DataFrame:
+    """df with every fraction column as a decimal, rounded once to its scale."""
+    scales = scales or {}
+    known = {f.name: f.dataType for f in df.schema.fields}
+    return df.select(*[settled(F.col(c), scales.get(c, RATIO_SCALE)).alias(c) if t.simpleString() == FRACTION else F.col(c) for c, t in known.items()])

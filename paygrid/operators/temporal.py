@@ -5,25 +5,46 @@ ROWS, not months: a missing month makes ``lag 12`` reach further back, and
 duplicate rows of one month each take a row slot.
 
 All operators of one call share a single ``WindowSpec`` ordering, so Spark
-plans one Exchange, one Sort and one Window operator for all of them.
+plans one Window operator for all of them.
+
+Order inside a month
+--------------------
+Rows of one month are numbered by :data:`TIE_ORDER` (their *place*).  The
+row of place 1 comes first, the others follow from the last place to place 2.
+Any order inside a month is a valid outcome of an ORDER BY on the month alone;
+this one puts everything a later month can reach, and the row that stands for
+its own month, among the lowest places.
 
 Bounded plan (default, ``bounded=True``)
 ---------------------------------------
 A plain series window puts every row of a series in one task.  If one
 (position, location, month) holds a huge number of duplicate rows, that task
-would get them all.  The job only keeps the *first* row of each month ("run")
-in window order, and every frame here ends at the current row and reaches at
-most ``LOOKBACK`` (51) rows back.  So for the first row of a run the only rows
-that matter are itself and the 51 rows before it, and each of those is among
-the last 51 rows of its own run.  :func:`compress_runs` therefore keeps, per
-run, the last ``LOOKBACK`` rows plus the first row — both picked by one
-``row_number`` whose group limit Spark applies before the shuffle — so at most
-52 rows per run reach the series window, whatever the skew, and the window
-values at every first row are exactly those of the full series.
+would get them all.  The job only keeps the *first* row of each month ("run"),
+and every frame here ends at the current row and reaches at most ``LOOKBACK``
+(51) rows back.  So for the first row of a run the only rows that matter are
+itself and the 51 rows before it, and each of those is among the last 51 rows
+of its own run: places 2 to 52.  ``row_number() <= 52`` over the run in one
+order therefore keeps both ends, and Spark applies that limit before the
+shuffle.  The window values at every first row are exactly those of the full series.
+
+*Two levels.*  A run that is present in every input split would still send 52
+rows a split to one reducer.  Runs are therefore limited first over (run,
+salt), the salt being dealt by input split, and then over the run: with s
+salts and m splits a reducer gets 52 * m / s rows of a run, then 52 * s.  The
+second limit shares the exchange on the series key with the feature window.
+
+Blocks (``block_months``)
+-------------------------
+A series of very many months can be windowed in blocks of months.  Each row's
+number in its series is its number in its block plus the rows of the blocks
+before, which are counts of one row a block.  A row is also sent, as a
+*carried* row, to the later blocks that start at most ``LOOKBACK`` rows after
+it, so that every block can be windowed alone, by another task.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Iterable
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
@@ -32,6 +53,8 @@ from pyspark.sql import functions as F
 from ..functions.constants import (
     LAG_PREV, LAG_YEAR, LONG_FRAME, ROLLING_FRAME, TRAILING_FRAME,
 )
+from ..functions.exact import mean
+from ..sources.sinks import stage
 
 SERIES_KEYS = ("position_id", "location_rk")
 TIME_COL = "week_dt"
@@ -46,18 +69,31 @@ TIE_ORDER = (
 )
 LOOKBACK = max(-LONG_FRAME[0], -ROLLING_FRAME[0], -TRAILING_FRAME[0], LAG_YEAR, LAG_PREV)
 
-PREV_TIME = "_prev_week_dt"
+#: Rows of a run that matter: the first one and the last LOOKBACK.
+KEPT = LOOKBACK + 1
+PLACE, SALT = "_place", "_salt"
+#: Splits that one level of limits is enough for.
+ONE_LEVEL = 64
 
 
 def series_order(df: DataFrame) -> list[str]:
+    """Columns that order the rows of a month: TIE_ORDER, then whatever else there is."""
     present = [c for c in TIE_ORDER if c in df.columns]
-    rest = [c for c in df.columns
-            if c not in present and c not in SERIES_KEYS and c != TIME_COL]
-    return [TIME_COL, *present, *rest]
+    return [*present, *(c for c in df.columns if c not in present and c not in SERIES_KEYS and c != TIME_COL)]
+
+
+def _run_window(order: Iterable[str], *more: str) -> WindowSpec:
+    return Window.partitionBy(*SERIES_KEYS, TIME_COL, *more).orderBy(*[F.col(c).asc_nulls_first() for c in order])
+
 
+def _seat() -> Column:
+    """Sorts the rows of a month: place 1, then from the last place down to 2."""
+    return F.when(F.col(PLACE) > 1, -F.col(PLACE)).otherwise(F.lit(-(2 ** 31)))
 
-def series_window(order: Iterable[str]) -> WindowSpec:
-    return Window.partitionBy(*SERIES_KEYS).orderBy(*[F.col(c).asc_nulls_first() for c in order])
+
+def series_window() -> WindowSpec:
+    """The series in the documented order, over rows that have a place."""
+    return Window.partitionBy(*SERIES_KEYS).orderBy(F.col(TIME_COL), _seat())
 
 
 # -- operators: each maps a WindowSpec to named window columns -------------
@@ -88,22 +124,22 @@ def lag_year_gap_columns(w: WindowSpec) -> dict[str, Column]:
 
 
 def rolling_12_columns(w: WindowSpec) -> dict[str, Column]:
-    """Rows in the 12-row frame (NULL measures count) and their mean."""
+    """Rows in the 12-row frame (NULL measures count) and their mean, a fraction like all means."""
     frame = w.rowsBetween(*ROLLING_FRAME)
     return {
         "n_weeks_12w": F.count(F.lit(1)).over(frame),
-        "_avg_12": F.avg("cnt_vacancy_site").over(frame),
+        "_avg_12": mean(F.col("cnt_vacancy_site"), frame),
     }
 
 
 def trailing_3_columns(w: WindowSpec) -> dict[str, Column]:
     """Mean of the 3 preceding rows, current row excluded."""
-    return {"rolling_mean_post_4w": F.avg("cnt_vacancy_site").over(w.rowsBetween(*TRAILING_FRAME))}
+    return {"rolling_mean_post_4w": mean(F.col("cnt_vacancy_site"), w.rowsBetween(*TRAILING_FRAME))}
 
 
 def rolling_52_columns(w: WindowSpec) -> dict[str, Column]:
     """Mean over the current row and up to 51 before it."""
-    return {"_avg_52": F.avg("cnt_vacancy_site").over(w.rowsBetween(*LONG_FRAME))}
+    return {"_avg_52": mean(F.col("cnt_vacancy_site"), w.rowsBetween(*LONG_FRAME))}
 
 
 TEMPORAL_OPERATORS: dict[str, Callable[[WindowSpec], dict[str, Column]]] = {
@@ -122,36 +158,49 @@ ALIASES = {
 }
 
 
-def compress_runs(df: DataFrame, order: list[str], lookback: int = LOOKBACK) -> DataFrame:
-    """Per (series, month): the first row plus the last ``lookback`` rows.
+def default_salts(df: DataFrame) -> int:
+    """1 for a session of few shuffle partitions; beyond, the square root of their number, which halves the levels' load."""
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return 1 if n <= ONE_LEVEL else math.isqrt(n)
+
 
-    One window does both ends.  Every row is emitted twice: on the *head*
-    side the run is ordered ascending, on the *tail* side descending (the
-    other side's sort keys are masked to NULL, so each side sees only its own
-    order).  ``row_number() <= lookback`` over (run, side) is executed as a
-    partial WindowGroupLimit *before* the shuffle, so no task ever receives
-    more than ``lookback`` rows of a run per input split, however hot it is.
-    The head side keeps only its first row; if the tail side already holds
-    that row (runs of at most ``lookback`` rows) the head copy is dropped.
-    That check and the series window below share one exchange on the series
-    key, whose run-level groups now hold at most ``lookback + 1`` rows.
+def placed_runs(df: DataFrame, bounded: bool = True, salts: int = 1) -> DataFrame:
+    """Rows with their place in their run, dealt by series; ``bounded`` keeps the first ``KEPT`` places only.
+
+    ``salts``: how many ways a run is dealt for the first limit (1: one limit is enough).
     """
-    run_keys = [*SERIES_KEYS, TIME_COL]
-    rest = [c for c in order if c != TIME_COL]
-    sided = df.select("*", F.explode(F.array(F.lit(0), F.lit(1))).alias("_side"))
-    head = F.col("_side") == 0
-    masked = ([F.when(head, F.col(c)).asc_nulls_first() for c in rest]
-              + [F.when(~head, F.col(c)).desc_nulls_last() for c in rest])
-    ends = Window.partitionBy(*run_keys, "_side").orderBy(*masked)
-    rn = F.col("_rn")
-    kept = (sided.select("*", F.row_number().over(ends).alias("_rn"))
-                 .where((rn <= lookback) & (~head | (rn == 1)))
-                 .repartition(*SERIES_KEYS))
-    row_order = F.struct(*rest)
-    tail_first = F.min(F.when(~head, row_order)).over(Window.partitionBy(*run_keys))
-    return (kept.select("*", tail_first.alias("_tail_first"))
-                .where(~(head & row_order.eqNullSafe(F.col("_tail_first"))))
-                .select(*df.columns))
+    order = series_order(df)
+    place = F.row_number().over(_run_window(order))
+    if not bounded:
+        return df.repartition(*SERIES_KEYS).withColumn(PLACE, place)
+    if salts == 1:
+        return df.withColumn(PLACE, place).where(F.col(PLACE) <= KEPT).repartition(*SERIES_KEYS)
+    salted = df.withColumn(SALT, F.pmod(F.spark_partition_id(), F.lit(salts)))
+    first = salted.withColumn(PLACE, F.row_number().over(_run_window(order, SALT))).where(F.col(PLACE) <= KEPT)
+    return first.drop(SALT, PLACE).repartition(*SERIES_KEYS).withColumn(PLACE, place).where(F.col(PLACE) <= KEPT)
+
+
+BLOCK, HOME, NUMBER = "_block", "_home", "_number"
+
+
+def in_blocks(rows: DataFrame, months: int, lookback: int = LOOKBACK) -> DataFrame:
+    """Placed rows with their block, the block they are windowed in, and their number in the series.
+
+    A row comes once for its own block and once for each later block whose rows can reach back to it.
+    """
+    rows = rows.withColumn(BLOCK, F.floor((F.year(TIME_COL) * 12 + F.month(TIME_COL)) / months).cast("int"))
+    own = [*SERIES_KEYS, BLOCK]
+    by_block = Window.partitionBy(*SERIES_KEYS).orderBy(BLOCK)
+    before = F.coalesce(F.sum("_rows").over(by_block.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    starts = rows.groupBy(*own).agg(F.count(F.lit(1)).alias("_rows")).withColumn("_start", before)
+    # a block that is not empty takes up a row, so lookback blocks are always enough
+    later = F.collect_list(F.struct(BLOCK, "_start")).over(by_block.rowsBetween(1, lookback))
+    starts = starts.select(*own, "_start", later.alias("_later"))
+    number = F.col("_start") + F.row_number().over(Window.partitionBy(*own).orderBy(F.col(TIME_COL), _seat()))
+    keyed = rows.join(starts, own).withColumn(NUMBER, number)
+    reach = F.filter("_later", lambda b: b["_start"] < F.col(NUMBER) + lookback)
+    homes = F.concat(F.array(BLOCK), F.transform(reach, lambda b: b[BLOCK]))
+    return keyed.select(*rows.columns, NUMBER, F.explode(homes).alias(HOME))
 
 
 def add_series_features(
@@ -159,37 +208,40 @@ def add_series_features(
     operators: Iterable[str] = tuple(TEMPORAL_OPERATORS),
     bounded: bool = True,
     first_rows_only: bool = True,
+    salts: int | None = None,
+    block_months: int = 0,
 ) -> DataFrame:
     """Add the requested window columns in one Window pass.
 
     ``first_rows_only`` keeps the first row of each (series, month) in window
     order — the row a key-level table keeps.  ``bounded`` requires it, since
-    only those rows are exact after :func:`compress_runs`.
+    only those rows are exact among the kept places.  ``block_months`` cuts
+    every series into blocks of so many months.
     """
     if bounded and not first_rows_only:
         raise ValueError("bounded=True computes exact values for first rows only")
-    order = series_order(df)
-    if bounded:
-        df = compress_runs(df, order)
-    w = series_window(order)
-    cols: dict[str, Column] = {PREV_TIME: F.lag(TIME_COL, 1).over(w)}
+    rows = placed_runs(df, bounded, default_salts(df) if salts is None else salts)
+    if block_months:
+        rows = in_blocks(stage(rows, "series-rows"), block_months)   # counted and windowed: computed once
+        w = Window.partitionBy(*SERIES_KEYS, HOME).orderBy(NUMBER)
+    else:
+        w = series_window()
+    cols: dict[str, Column] = {}
     for name in operators:
         cols.update(TEMPORAL_OPERATORS[name](w))
-    out = df.select("*", *[c.alias(n) for n, c in cols.items()])
+    out = rows.select("*", *[c.alias(n) for n, c in cols.items()])
+    if block_months:
+        out = out.where(F.col(HOME) == F.col(BLOCK))   # not the carried rows
     if first_rows_only:
         out = out.where(first_of_run())
     # Final projection: window columns computed once, published under each
     # of their names; helper columns dropped.
     published = []
     for name in cols:
-        if name in ALIASES:
-            published += [F.col(name).alias(alias) for alias in ALIASES[name]]
-        elif name != PREV_TIME:
-            published.append(F.col(name))
+        published += [F.col(name).alias(alias) for alias in ALIASES[name]] if name in ALIASES else [F.col(name)]
     return out.select(*df.columns, *published)
 
 
 def first_of_run() -> Column:
     """True on the first row of its (series, month) run in window order (O2)."""
-    prev = F.col(PREV_TIME)
-    return prev.isNull() | (prev != F.col(TIME_COL))
+    return F.col(PLACE) == 1

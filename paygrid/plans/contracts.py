@@ -3,18 +3,16 @@
 Two variants exist for each table: ``compact`` (narrower types: NUMERIC(14,2),
 INT counts and rounded INT averages) and ``wide`` (NUMERIC(18,5) throughout,
 fractions kept).  ``wide`` is the default.  Unbounded NUMERIC maps to
-decimal(38,10): the features are computed in DOUBLE, and 10 decimals keep
-every digit a double carries for values of this size.
+decimal(38,18), 20 digits before the point and 18 after it.
 
 Parquet tables accept neither primary keys nor CHECK constraints and store
 NULL in NOT NULL columns, so the constraints live here as data and are
 enforced by :mod:`paygrid.operators.validate` before any write.
 
-Rounding: a DOUBLE cast to a decimal rounds its shortest decimal text half
-away from zero.  When the exact result has few digits (e.g. a gap of exactly
-0.630805) that text *is* the exact value, so ties round the way exact NUMERIC
-arithmetic would, not the way the binary approximation happens to fall.
-Fractions assigned to integral columns are rounded the same way, not cut.
+Rounding: amounts are decimals, and ratios arrive already rounded to the
+contract's scale (``build_mart(..., spec)``), once and half away from zero, so
+an exact tie goes up and nothing else does.  Fractions assigned to integral
+columns are rounded the same way, not cut.
 """
 
 from __future__ import annotations
@@ -27,7 +25,7 @@ from pyspark.sql import types as T
 
 from ..functions.constants import FOOD_CATEGORIES
 
-NUMERIC = "decimal(38,10)"
+NUMERIC = "decimal(38,18)"
 
 # FIXED VALUES: column names, order and types of the three tables, as
 # declared by the job (one line per column: name, type, optional NOT NULL).

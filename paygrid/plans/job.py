@@ -66,7 +66,7 @@ def run(spark: SparkSession, sources, target_path: str | None = None,
             spec = contract_for_schema(spark.read.parquet(target_path).schema)
         else:
             spec = contract("features", variant)
-        mart = build_mart(sources, options)
+        mart = build_mart(sources, options, spec)
         table = stage_at(conform(mart, spec, now=F.lit(as_utc(run_ts)).cast("timestamp")), batch_path)
         enforce(table, spec)
         if target_table:

@@ -8,8 +8,9 @@ Physical shape: the source scans (filters pushed down), partial+final
 aggregation of vacancies, two left joins (broadcast at runtime when AQE finds
 the aggregated sides small), then one hash exchange on the series key for the
 windows.  The bounded plan adds one exchange before it, on the (series,
-month) run key, fed by a pre-shuffle group limit: at most 51 rows per run
+month) run key, fed by a pre-shuffle group limit: at most 52 rows per run
 and input split cross it, and at most 52 rows per run reach the windows.
+Amounts are decimals throughout, ratios exact fractions that are rounded once.
 """
 
 from __future__ import annotations
@@ -19,8 +20,10 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DecimalType, IntegralType
 
 from ..functions.constants import HORIZON_MONTHS
+from ..functions.exact import RATIO_SCALE
 from ..operators import enrich as E
 from ..operators import metrics as M
 from ..operators.dedupe import first_per_key
@@ -28,10 +31,11 @@ from ..operators.horizon import cutoff_month
 from ..operators.temporal import (
     SERIES_KEYS, TEMPORAL_OPERATORS, TIME_COL, add_series_features, series_order,
 )
+from .contracts import Contract
 
 MONEY_NULL = "decimal(18,5)"
 
-# The 51 deterministic columns of the feature table (table order, without
+# FIXED VALUES: the 51 deterministic columns of the feature table (table order, without
 # inserted_at, which the sink adds).
 MART_COLUMNS = (
     "week_dt", "position_id", "location_rk", "location_nm", "position_name",
@@ -52,7 +56,7 @@ MART_COLUMNS = (
     "nulls_ratio", "data_insufficient",
 )
 
-# Columns the job declares but never fills (typed NULL placeholders, P3).
+# FIXED VALUES: columns the job declares but never fills (typed NULL placeholders, P3).
 PLACEHOLDERS = {
     "ext_vacancy_hrm": MONEY_NULL, "turnover_coeff": MONEY_NULL,
     "required_positions": MONEY_NULL, "occupied_positions": MONEY_NULL,
@@ -73,6 +77,7 @@ class MartOptions:
     # Opt-ins (default off = the original's behaviour):
     warmup_months: int = 0        # read this much extra history; output still starts at the horizon
     dedupe: str = "after"         # 'after': window then keep one row per key; 'before': the reverse
+    block_months: int = 0         # cut series into blocks of so many months (0: a series is windowed whole)
 
 
 def joined_relation(sources, cutoff: dt.date | None) -> DataFrame:
@@ -84,7 +89,8 @@ def joined_relation(sources, cutoff: dt.date | None) -> DataFrame:
 
 
 def series_relation(joined: DataFrame, bounded: bool = True,
-                    operators=tuple(TEMPORAL_OPERATORS), dedupe: str = "after") -> DataFrame:
+                    operators=tuple(TEMPORAL_OPERATORS), dedupe: str = "after",
+                    block_months: int = 0) -> DataFrame:
     """Gaps, then every window feature, one row per (month, position, location).
 
     ``dedupe='before'`` keeps one row per key first (the same survivor), so
@@ -96,11 +102,12 @@ def series_relation(joined: DataFrame, bounded: bool = True,
     if dedupe == "before":
         gapped = first_per_key(gapped, [*SERIES_KEYS, TIME_COL], series_order(gapped))
         bounded = False  # one row per run already: nothing left to bound
-    return add_series_features(gapped, operators, bounded=bounded)
+    return add_series_features(gapped, operators, bounded=bounded, block_months=block_months)
 
 
-def final_columns(count_ratio: str) -> dict[str, Column]:
+def final_columns(count_ratio: str, scales: dict[str, int]) -> dict[str, Column]:
     """The output formulas over the windowed relation, by output name."""
+    at = lambda name: scales.get(name, RATIO_SCALE)
     cols: dict[str, Column] = {
         "ext_salary_mean": F.col("market_perc_50"),
         "ext_salary_p25": F.col("market_perc_25"),
@@ -110,30 +117,40 @@ def final_columns(count_ratio: str) -> dict[str, Column]:
         "ext_vacancy_sal_range": M.salary_spread(),
         "normalized_positions": M.staffing_flag(),
         "competitor_nm": M.competitor_name(),
-        "salary_p50_yoy_diff": M.salary_yoy(),
-        "vacancy_cnt_yoy_diff": M.vacancy_yoy(count_ratio),
-        "gap_yoy_diff": M.gap_yoy(),
-        "nulls_ratio": M.completeness_ratio(),
+        "salary_p50_yoy_diff": M.salary_yoy(at("salary_p50_yoy_diff")),
+        "vacancy_cnt_yoy_diff": M.vacancy_yoy(count_ratio, at("vacancy_cnt_yoy_diff")),
+        "gap_yoy_diff": M.gap_yoy(at("gap_yoy_diff")),
+        "nulls_ratio": M.completeness_ratio(at("nulls_ratio")),
+        "data_insufficient": M.insufficient(),
     }
     cols.update({name: F.lit(None).cast(t) for name, t in PLACEHOLDERS.items()})
     return cols
 
 
-def finish(windowed: DataFrame, count_ratio: str) -> DataFrame:
+def finish(windowed: DataFrame, count_ratio: str, spec: Contract | None = None) -> DataFrame:
+    """The 51 columns; each ratio is rounded once, to the scale of its column in ``spec``."""
     mode = M.resolve_count_ratio(windowed, count_ratio)
-    cols = final_columns(mode)
-    out = windowed.select(
-        *[cols[c].alias(c) if c in cols else F.col(c) for c in MART_COLUMNS if c != "data_insufficient"]
-    )
-    return out.withColumn("data_insufficient", M.insufficient(F.col("nulls_ratio")))
+    scales = {} if spec is None else ratio_scales(spec)
+    cols = final_columns(mode, scales)
+    out = windowed.select(*[cols[c].alias(c) if c in cols else F.col(c) for c in MART_COLUMNS])
+    return M.settle_fractions(out, scales)
 
 
-def build_mart(sources, options: MartOptions = MartOptions()) -> DataFrame:
-    """The whole feature computation: 51 columns, one row per key."""
+def ratio_scales(spec: Contract) -> dict[str, int]:
+    """Decimals that a contract keeps of a fraction: a column of whole numbers keeps none."""
+    return {f.name: f.dataType.scale if isinstance(f.dataType, DecimalType) else 0
+            for f in spec.schema.fields if isinstance(f.dataType, (DecimalType, IntegralType))}
+
+
+def build_mart(sources, options: MartOptions = MartOptions(), spec: Contract | None = None) -> DataFrame:
+    """The whole feature computation: 51 columns, one row per key.
+
+    ``spec``: the contract that the rows are meant for; without one ratios have 18 decimals.
+    """
     cutoff = cutoff_month(options.as_of)
     read_from = cutoff_month(options.as_of, HORIZON_MONTHS + options.warmup_months)
     joined = joined_relation(sources, read_from)
-    windowed = series_relation(joined, options.bounded, dedupe=options.dedupe)
+    windowed = series_relation(joined, options.bounded, dedupe=options.dedupe, block_months=options.block_months)
     if options.warmup_months:
         windowed = windowed.where(F.col(TIME_COL) >= F.lit(cutoff))
-    return finish(windowed, options.count_ratio)
+    return finish(windowed, options.count_ratio, spec)

@@ -1,6 +1,7 @@
 """Hand fixtures FX1-FX17 (FIXTURES.md §2): tiny inputs, results worked out by hand."""
 
 import datetime as dt
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
@@ -77,7 +78,7 @@ def test_fx5_guarded_gaps_and_ratios(spark):
     base[0]["perc_50"] = 0          # lag-12 p50 = 0 at row 13 -> yoy NULL
     src = sources(spark, base)
     rows = by_month(mart(src))
-    assert rows[ms[1]]["gap_to_market_p50"] == pytest.approx(-0.1)
+    assert rows[ms[1]]["gap_to_market_p50"] == Decimal("-0.1")
     assert rows[ms[0]]["gap_to_market_p50"] is None            # p50 = 0
     assert rows[ms[12]]["salary_p50_yoy_diff"] is None          # lag-12 p50 = 0
     assert rows[ms[12]]["gap_yoy_diff"] is None                 # lag-12 gap is NULL
@@ -99,7 +100,7 @@ def test_fx6_completeness_score(spark):
         base_row("2001-01-01", loc="L3", perc_50=None, fact_salary_fte_amt=None, cnt_vacancy_site=0),
     ]
     rows = {r["location_rk"]: r for r in mart(sources(spark, base)).collect()}
-    assert [rows[f"L{i}"]["nulls_ratio"] for i in range(4)] == pytest.approx([0, 1 / 3, 2 / 3, 1])
+    assert [rows[f"L{i}"]["nulls_ratio"] for i in range(4)] == [0, Decimal("0.333333333333333333"), Decimal("0.666666666666666667"), 1]
     assert [rows[f"L{i}"]["data_insufficient"] for i in range(4)] == [False, True, True, True]
 
 
@@ -109,7 +110,7 @@ def test_fx7_vacancy_count_fallback(spark):
             base_row("2001-01-01", loc="L2", cnt_vacancy_site=None, agglomeration_name="Z", perc_50=1)]
     vac = [vac_row("2001-01-01", agg="A")] * 5
     rows = {r["location_rk"]: r for r in mart(sources(spark, base, vac=vac)).collect()}
-    assert rows["L0"]["ext_vacancy_cnt"] == 0 and rows["L0"]["nulls_ratio"] == pytest.approx(1 / 3)
+    assert rows["L0"]["ext_vacancy_cnt"] == 0 and rows["L0"]["nulls_ratio"] == Decimal("0.333333333333333333")
     assert rows["L1"]["ext_vacancy_cnt"] == 5
     assert rows["L2"]["ext_vacancy_cnt"] == 0 and rows["L2"]["data_insufficient"]
 
@@ -167,9 +168,9 @@ def test_fx13_duplicates_window_then_dedupe(spark, bounded):
 
 def test_fx16_contract_rounding_and_check(spark):
     base = [base_row(m, cnt_vacancy_site=v) for m, v in zip(months(2), (2, 3))]
-    m = mart(sources(spark, base))
-    compact = conform(m, contract("features", "compact"))
-    wide = conform(m, contract("features", "wide"))
+    src = sources(spark, base)
+    compact, wide = (conform(build_mart(src, MartOptions(as_of=AS_OF), contract("features", v)), contract("features", v))
+                     for v in ("compact", "wide"))
     row_c = {str(r["week_dt"]): r for r in compact.collect()}
     row_w = {str(r["week_dt"]): r for r in wide.collect()}
     second = months(2)[1]
@@ -215,3 +216,39 @@ def test_dedupe_before_windows(spark):
     feb = rows["2001-02-01"]
     assert feb["n_weeks_12w"] == 2 and feb["lag1_post_cnt"] == 1   # the 'part' copy is gone
     assert rows["2001-01-01"]["ext_vacancy_cnt"] == 1
+
+
+def test_fx5_exact_amounts_and_ties(spark):
+    """18-digit pay is unchanged, an exact tie goes up, and what is just below a tie does not."""
+    pay = "1234567890123.12345"
+    base = [base_row("2001-01-01", loc="big", fact_salary_fte_amt=pay, perc_50="9999999999999.99999", perc_25="1234567890123.12344"),
+            base_row("2001-01-01", loc="wide", fact_salary_fte_amt=None, perc_25="0.00001", perc_75="9999999999999.99999"),
+            base_row("2001-01-01", loc="tie", fact_salary_fte_amt="1.630805", perc_50="1"),
+            base_row("2001-01-01", loc="tie below", fact_salary_fte_amt="0.369195", perc_50="1"),
+            base_row("2001-01-01", loc="tie4", fact_salary_fte_amt="1.12345", perc_50="4"),
+            base_row("2001-01-01", loc="under", fact_salary_fte_amt="1630804.99999", perc_50="1000000")]
+    src = sources(spark, base)
+    spec = contract("features", "wide")
+    rows = {r["location_rk"]: r for r in conform(build_mart(src, MartOptions(as_of=AS_OF), spec), spec).collect()}
+    big = rows["big"]
+    assert big["int_salary_tc5"] == Decimal(pay) and big["ext_salary_p50"] == Decimal("9999999999999.99999")
+    assert big["gap_to_market_p50"] == Decimal("-0.87654") and big["gap_to_market_p25"] == 0
+    assert rows["wide"]["ext_vacancy_sal_range"] == Decimal("9999999999999.99998")
+    # amounts have five decimals: 1.630805 arrives as 1.63081
+    assert rows["tie"]["gap_to_market_p50"] == Decimal("0.63081") and rows["tie below"]["gap_to_market_p50"] == Decimal("-0.63080")
+    assert rows["tie4"]["gap_to_market_p50"] == Decimal("-0.71914")          # -0.7191375
+    assert rows["under"]["gap_to_market_p50"] == Decimal("0.63080")          # 0.63080499999
+    compact = contract("features", "compact")
+    row = {r["location_rk"]: r for r in conform(build_mart(src, MartOptions(as_of=AS_OF), compact), compact).where("location_rk = 'tie4'").collect()}["tie4"]
+    assert row["int_salary_tc5"] == Decimal("1.12") and row["nulls_ratio"] == Decimal("0.333333333333333333")
+
+
+def test_exact_means_and_growth_of_gaps(spark):
+    ms = months(13)
+    base = [base_row(m, perc_50=300, fact_salary_fte_amt=100 if i else 101, cnt_vacancy_site=i % 2 + (i == 12)) for i, m in enumerate(ms)]
+    row = by_month(mart(sources(spark, base)))[ms[12]]
+    assert row["gap_to_market_p50"] == Decimal("-0.666666666666666667")
+    assert row["lag52_gap_to_market_p50"] == Decimal("-0.663333333333333333")
+    # -200/300 over -199/300, less one: 1/199, not the ratio of the rounded gaps
+    assert row["gap_yoy_diff"] == Decimal("0.005025125628140704")
+    assert row["avg_post_cnt_52w"] == Decimal("0.538461538461538462")

@@ -1,6 +1,9 @@
 """Column functions: dates, keys, guarded arithmetic (ANSI mode stays on)."""
 
 import datetime as dt
+import random
+from decimal import Context, Decimal
+from fractions import Fraction
 
 import pytest
 from pyspark.sql import functions as F
@@ -9,6 +12,7 @@ from paygrid.functions.columns import (
     gap_to, guarded_ratio, horizon_start, horizon_start_col, integer_ratio, month_start,
     null_as_empty, null_if_equal, spread,
 )
+from paygrid.functions.exact import growth, quotient, settled
 
 
 @pytest.mark.parametrize("as_of,expected", [
@@ -39,11 +43,11 @@ def test_guarded_arithmetic_never_divides_by_zero(spark):
     assert spark.conf.get("spark.sql.ansi.enabled") == "true"
     df = spark.createDataFrame([(10, 0, 5.0, 0.0), (15, 10, 4.0, 5.0), (-7, 2, None, 2.0),
                                 (7, None, 1.0, None)], "n int, d int, own double, m double")
-    rows = df.select(integer_ratio("n", "d").alias("i"), guarded_ratio("n", "d").alias("r"),
-                     gap_to("own", "m").alias("g"), spread("own", "m").alias("s")).collect()
+    rows = df.select(integer_ratio("n", "d").alias("i"), settled(guarded_ratio("n", "d", whole=True)).alias("r"),
+                     settled(gap_to("own", "m")).alias("g"), spread("own", "m").alias("s")).collect()
     assert [r["i"] for r in rows] == [None, 0, -4, None]          # truncates toward zero
     assert [r["r"] for r in rows] == [None, 0.5, -4.5, None]
-    assert [r["g"] for r in rows] == [None, -0.2, None, None]
+    assert [r["g"] for r in rows] == [None, Decimal("-0.2"), None, None]
     assert [r["s"] for r in rows] == [5.0, -1.0, None, None]
 
 
@@ -54,3 +58,30 @@ def test_as_of_defaults_to_the_current_date():
     assert cutoff_month(None) == horizon_start(today)
     assert resolve_as_of("2001-08-15") == dt.date(2001, 8, 15)
     assert resolve_as_of(dt.datetime(2001, 8, 15, 23, 0)) == dt.date(2001, 8, 15)
+
+
+def nearest(x: Fraction, scale: int) -> Decimal:
+    """x at a scale, half away from zero."""
+    q, r = divmod(abs(x).numerator * 10 ** scale, abs(x).denominator)
+    return Decimal((-1 if x < 0 else 1) * (q + (2 * r >= abs(x).denominator))).scaleb(-scale, Context(prec=80))
+
+
+@pytest.mark.parametrize("scale", [0, 5, 18])
+def test_ratios_are_rounded_once(spark, scale):
+    rng = random.Random(scale)
+    rows = [(rng.randrange(-10 ** rng.randrange(1, 19), 10 ** rng.randrange(1, 19)), rng.choice([1, -1]) * rng.randrange(1, 10 ** rng.randrange(1, 19)),
+             rng.randrange(1, 10 ** 18), rng.randrange(1, 10 ** 18)) for _ in range(200)]
+    rows += [(1, 8, 1, 1), (-1, 8, 1, 3), (5, 2, 1, 1), (-5, 2, 1, 1), (10 ** 18 - 1, 1, 10 ** 18 - 1, 10 ** 18 - 1), (630805, 1000000, 1, 1), (0, 7, 1, 1),
+             # one part in 10 ** 18 below and above a tie
+             (5 * 10 ** 17 - 1, 10 ** 18, 1, 1), (5 * 10 ** 17, 10 ** 18, 1, 1), (-5 * 10 ** 17, 10 ** 18, 1, 1)]
+    rows = [r for r in rows if abs(Fraction(r[0], r[1]) / Fraction(r[2], r[3])) < 10 ** 18]
+    f, g = (F.struct(F.col(a).alias("num"), F.col(b).alias("den")) for a, b in ("ab", "cd"))
+    df = spark.createDataFrame(rows, "a bigint, b bigint, c bigint, d bigint")
+    for r in df.select("a", "b", "c", "d", settled(f, scale).alias("one"), growth(f, g, scale).alias("two")).collect():
+        assert r["one"] == nearest(Fraction(r["a"], r["b"]), scale), r
+        assert r["two"] == nearest(Fraction(r["a"], r["b"]) / Fraction(r["c"], r["d"]) - 1, scale), r
+
+
+def test_a_remainder_that_would_not_fit_is_refused():
+    with pytest.raises(ValueError):
+        quotient(F.col("a"), F.col("b"), 5, 38)

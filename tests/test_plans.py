@@ -34,18 +34,49 @@ def test_plain_plan_has_one_window_exchange(spark):
     # the job's own; the adapters rank prices of a group in windows of theirs
     series = [l for l in windows if "windowspecdefinition(position_id" in l]
     prices = [l for l in windows if "AS upto#" in l or "AS known#" in l]
-    assert len(series) == 1 and len(series) + len(prices) == len(windows)
+    # places of a month's rows, then the features; both use the one exchange on the series
+    assert len(series) == 2 and len(series) + len(prices) == len(windows)
+    assert text.count("Exchange hashpartitioning(position_id") == 1
     assert "hashpartitioning(position_id" in text
 
 
 def test_bounded_plan_limits_runs_before_the_shuffle(spark):
     text = plan_text(build_mart(TestDataSources(spark, SF_SMALL), MartOptions(as_of=AS_OF)))
     partial = [l for l in text.splitlines() if "WindowGroupLimit" in l and "Partial" in l]
-    assert len(partial) == 1 and "_side" in partial[0]
-    # one exchange on the run key (after the partial limit), one on the series
-    # key shared by the head/tail check and the feature window
+    assert len(partial) == 1 and "row_number(), 52" in partial[0]
+    # one exchange on the run key (after the partial limit), one on the series key for the feature window
     assert text.count("Exchange hashpartitioning(position_id") == 2
-    assert text.count("hashpartitioning(position_id#") == 2
+    assert "_side" not in text and "Generate explode(array(0, 1))" not in text
+
+
+def test_a_run_in_every_split_is_limited_twice(spark):
+    """16 splits hold one run: at most 52 rows a salt reach the series exchange, where one level would send 52 a split."""
+    from paygrid.operators.temporal import KEPT, add_series_features, default_salts, placed_runs
+    rows = spark.range(0, 16_000, 1, 16).selectExpr(
+        "date'2001-01-01' as week_dt", "1 as position_id", "'A' as location_rk", "cast(id as string) as work_schedule_type",
+        "cast(id % 7 as int) as cnt_vacancy_site", *[f"cast(id as decimal(18,5)) as {c}" for c in ("market_perc_50", "market_perc_25")])
+    operators = ("lag_prev", "rolling_12", "rolling_52")
+    plan = placed_runs(rows, salts=4)
+    text = plan_text(plan)
+    limits = [l for l in text.splitlines() if "WindowGroupLimit" in l]
+    # the first level's, before and after its exchange; the second is a window over what passed, behind the series exchange
+    assert [("_salt" in l, "Partial" in l) for l in limits] == [(True, False), (True, True)]
+    assert plan.count() == KEPT
+    got = [add_series_features(rows, operators, salts=s).collect() for s in (1, 4, 16)]
+    assert got[0] == got[1] == got[2] == add_series_features(rows, operators, bounded=False).collect()
+    assert default_salts(rows) == 1
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "400")
+        assert default_salts(rows) == 20
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_series_windows_run_by_block(spark):
+    text = plan_text(build_mart(TestDataSources(spark, SF_SMALL), MartOptions(as_of=AS_OF, block_months=3)))
+    windows = [l for l in text.splitlines() if "windowspecdefinition(position_id" in l and "lag(" in l]
+    assert len(windows) == 1 and "_home" in windows[0] and "_number" in windows[0]
 
 
 def test_partitioned_sources_are_pruned_by_the_horizon(spark):

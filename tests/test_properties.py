@@ -86,3 +86,28 @@ def test_hot_run_of_identical_rows(spark):
     assert rows_of(bounded) == rows_of(plain)
     later = [r for r in bounded.collect() if str(r["week_dt"]) == ms[8]][0]
     assert later["n_weeks_12w"] == 12 and later["lag1_post_cnt"] == 7 % 5
+
+
+@pytest.mark.parametrize("block_months", [1, 2, 5, 40])
+def test_blocks_equal_the_plain_window(spark, block_months):
+    """Long series with gaps, hot months, and months without rows between blocks; every block looks back over several others."""
+    from paygrid.operators.metrics import settle_fractions
+    from paygrid.operators.temporal import add_series_features
+    rows = spark.range(0, 3000, 1, 4).selectExpr(
+        "add_months(date'1990-01-01', cast(pmod(hash(id), 150) * if(id % 3 = 0, 1, 2) as int)) as week_dt", "cast(id % 3 as int) as position_id",
+        "if(id % 2 = 0, 'A', '') as location_rk", "cast(id as string) as work_schedule_type", "cast(if(id % 11 = 0, null, id % 7) as int) as cnt_vacancy_site",
+        *[f"cast(id % {k} as decimal(18,5)) as {c}" for k, c in ((13, "market_perc_50"), (17, "market_perc_25"))])
+    hot = rows.where("position_id = 1").selectExpr("date'1994-05-01' as week_dt", *[c for c in rows.columns if c != "week_dt"])
+    rows = rows.unionByName(hot)
+    operators = ("lag_prev", "lag_year", "rolling_12", "trailing_3", "rolling_52")
+    plain = rows_of(settle_fractions(add_series_features(rows, operators, bounded=False)))
+    blocks = settle_fractions(add_series_features(rows, operators, block_months=block_months))
+    assert rows_of(blocks) == plain and len(plain) > 300
+
+
+def test_a_long_series_is_windowed_by_several_tasks(spark):
+    from paygrid.operators.temporal import HOME, LOOKBACK, in_blocks, placed_runs
+    rows = spark.range(1200).selectExpr("add_months(date'1900-01-01', cast(id as int)) as week_dt", "1 as position_id", "'A' as location_rk", "id as cnt_vacancy_site")
+    cut = in_blocks(placed_runs(rows), months=100)
+    sizes = {r[0]: r[1] for r in cut.groupBy(HOME).count().collect()}
+    assert len(sizes) >= 12 and max(sizes.values()) <= 100 + LOOKBACK
