@@ -95,6 +95,38 @@ def _unmapped() -> dict[str, int]:
     return {chr(b): b for b in own} | {chr(256 + i): b for i, b in enumerate(other)}
 
 
+#: Pre-tokens of a byte-level tokenizer that cuts by its library's own expression.
+PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+
+
+def _first_encoder(path: str):
+    """(ids of a text, bytes of each token) of a byte-level tokenizer file.
+
+    Where its merges are in order of their tokens' ids, ids are ranks, and a faster library gives the same ids.
+    """
+    import json
+
+    with open(path, encoding="utf-8") as f:
+        spec = json.load(f)
+    plain = _unmapped()
+    vocabulary, merges = spec["model"]["vocab"], [m.split(" ") if isinstance(m, str) else m for m in spec["model"]["merges"]]
+    own = {i: bytes(plain[c] for c in t) if all(c in plain for c in t) else t.encode()
+           for t, i in vocabulary.items() | {(t["content"], t["id"]) for t in spec["added_tokens"]}}
+    cut = spec["pre_tokenizer"] or {}
+    ordered = (cut.get("type") == "ByteLevel" and cut.get("use_regex", True) and not cut.get("add_prefix_space") and not spec["normalizer"]
+               and sorted(vocabulary[c] for c in plain) == list(range(256)) and all(vocabulary[x + y] == 256 + i for i, (x, y) in enumerate(merges)))
+    if ordered:
+        import tiktoken
+
+        ranks = {own[i]: i for i in range(256 + len(merges))}
+        return tiktoken.Encoding("first", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary, own
+    from tokenizers import Tokenizer
+
+    library = Tokenizer.from_file(path)
+    library.encode_special_tokens = True
+    return lambda text: library.encode(text, add_special_tokens=False).ids, own
+
+
 class _Tokenizers:
     """Both tokenizers of a task, and the bytes of their tokens."""
 
@@ -103,15 +135,10 @@ class _Tokenizers:
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         import sentencepiece
-        from tokenizers import Tokenizer
 
-        self.a = Tokenizer.from_file(bpe)
-        self.a.encode_special_tokens = True
+        self.a, own = _first_encoder(bpe)
         self.b = sentencepiece.SentencePieceProcessor(model_file=pieces)
-        plain = _unmapped()
-        a = {i: bytes(plain[c] for c in t) if all(c in plain for c in t) else t.encode()
-             for t, i in self.a.get_vocab(with_added_tokens=True).items()}
-        self.table_a = self._table([a.get(i, b"") for i in range(max(a) + 1)])
+        self.table_a = self._table([own.get(i, b"") for i in range(max(own) + 1)])
         names = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
         if any(re.search("[^▁]▁", x) for x in names):
             raise ValueError("a piece reaches over the start of a word: texts cannot be cut into segments")
@@ -144,7 +171,7 @@ class _Tokenizers:
                 group.append(i)
                 size += len(segments[i])
             if group and (i is None or size >= JOINED):
-                ids = np.array(self.a.encode("".join([segments[g] for g in group]), add_special_tokens=False).ids, np.int64)
+                ids = np.array(self.a("".join([segments[g] for g in group])), np.int64)
                 ends = np.cumsum(self.table_a[0][ids])
                 want = np.cumsum([len(segments[g].encode()) for g in group])
                 cut = np.searchsorted(ends, want)
@@ -156,7 +183,7 @@ class _Tokenizers:
                     alone += group
                 group, size = [], 0
         for i in alone:
-            out[i] = self.a.encode(segments[i], add_special_tokens=False).ids
+            out[i] = list(self.a(segments[i]))
         return out
 
 

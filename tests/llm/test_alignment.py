@@ -104,3 +104,17 @@ def test_products_equal_dense_ones():
         assert (dense == x @ y).all()
         t = alignment.transposed(csr(x))
         assert (t.columns == np.nonzero(x.T)[1]).all() and len(t.first) == 6
+
+
+def test_the_faster_library_is_only_taken_for_ordered_merges(tmp_path):
+    import json
+
+    spec = json.load(open(BPE, encoding="utf-8"))
+    fast, own = alignment._first_encoder(BPE)
+    spec["model"]["merges"][1000:1002] = spec["model"]["merges"][1001:999:-1]
+    path = tmp_path / "other.json"
+    path.write_text(json.dumps(spec), encoding="utf-8")
+    slow, other = alignment._first_encoder(str(path))
+    assert own == other and fast.__module__.startswith("tiktoken") and not slow.__module__.startswith("tiktoken")
+    for text in (t for t in TEXTS if t):
+        assert fast(text) == list(slow(text)), text
