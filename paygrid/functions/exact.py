@@ -14,6 +14,8 @@ exactly if it is one.
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -22,8 +24,8 @@ MONEY_SCALE = 5
 #: Decimals of a ratio whose sink names no scale: all that a NUMERIC(38) with 20 digits before the point has.
 RATIO_SCALE = 18
 FRACTION = "struct<num:bigint,den:bigint>"
-#: Digits that a fraction's denominator can have, and that a product of two of its parts can have.
-DIGITS, PRODUCT_DIGITS = 19, 37
+#: Digits of a fraction's parts.
+DIGITS = 19
 WHOLE = "decimal(38,0)"
 
 
@@ -43,56 +45,63 @@ def mean(values: Column, over) -> Column:
     return fraction(F.sum(values.cast("bigint")).over(over), n, n > 0)
 
 
-def _size(x: Column) -> Column:
-    """The absolute value (Spark's ``abs`` and unary minus round a decimal to 34 digits, its subtraction does not)."""
-    zero = F.lit(0).cast(WHOLE)
-    return F.when(x < zero, (zero - x).cast(WHOLE)).otherwise(x)
+# The formulas below are SQL texts over named fraction columns: a few expressions per query instead of hundreds of
+# column calls.  Spark's ``abs`` and unary minus round a decimal to 34 digits (its other operations do not), so
+# signs of wide values are taken by subtraction.
+
+def _wide(x: str) -> str:
+    return f"CAST({x} AS {WHOLE})"
+
 
+def _size(x: str) -> str:
+    return f"(CASE WHEN {x} < 0 THEN {_wide(f'{_wide(0)} - {x}')} ELSE {x} END)"
 
-def _whole_quotient(a: Column, b: Column) -> Column:
+
+def _whole_quotient(a: str, b: str) -> str:
     """a / b of non-negative whole numbers without the remainder (``div`` would return 64 bits)."""
-    return ((a - a % b) / b).cast(WHOLE)
+    return _wide(f"(({a}) - ({a}) % ({b})) / ({b})")
 
 
-def quotient(num: Column, den: Column, scale: int, den_digits: int) -> Column:
-    """num / den of whole numbers as decimal(38, scale), rounded once, half away from zero; den is not zero."""
-    if den_digits > 37:
-        raise ValueError("a remainder times ten must fit 38 digits")
-    num, den = num.cast(WHOLE), den.cast(WHOLE)
-    n, d = _size(num), _size(den)
-    rest = n % d
-    if den_digits + scale + 1 <= 38:
-        after = _whole_quotient(rest * F.lit(2).cast(WHOLE) * F.lit(10 ** scale).cast(WHOLE) + d, d * F.lit(2).cast(WHOLE))
-    else:
-        def step(state: Column, _):
-            ten = state["rest"] * F.lit(10).cast(WHOLE)
-            return F.struct((state["digits"] * F.lit(10).cast(WHOLE) + _whole_quotient(ten, d)).cast(WHOLE).alias("digits"),
-                            (ten % d).cast(WHOLE).alias("rest"))
-
-        start = F.struct(F.lit(0).cast(WHOLE).alias("digits"), rest.cast(WHOLE).alias("rest"))
-        steps = F.array(*[F.lit(i) for i in range(scale)]) if scale else F.array().cast("array<int>")
-        after = F.aggregate(steps, start, step, lambda s: s["digits"] + F.when(s["rest"] * F.lit(2).cast(WHOLE) >= d, F.lit(1)).otherwise(F.lit(0)))
-    # types of few digits: those of a sum of two wide ones would lose the last decimal
-    before = _whole_quotient(n, d).cast("decimal(19,0)")
-    small = (after.cast("decimal(19,0)") * F.lit(_power_of_ten(-scale)).cast(f"decimal({max(scale, 1)},{scale})")).cast(f"decimal({scale + 1},{scale})")
-    signed = lambda x, kind: F.when((num < 0) != (den < 0), (F.lit(0).cast("decimal(1,0)") - x).cast(kind)).otherwise(x)
-    return (signed(before, "decimal(19,0)") + signed(small, f"decimal({scale + 1},{scale})")).cast(f"decimal(38,{scale})")
-
-
-def _power_of_ten(exponent: int):
-    from decimal import Decimal
+def _joined(before: str, after: str, negative: str, scale: int) -> str:
+    """before + after / 10 ** scale with a sign, in types of few digits: those of a sum of two wide ones lose the last decimal."""
+    unit = f"CAST({_power_of_ten(-scale):f} AS DECIMAL({max(scale, 1)},{scale}))"
+    small = f"CAST(CAST({after} AS DECIMAL(19,0)) * {unit} AS DECIMAL({scale + 1},{scale}))"
+    parts = [(f"CAST({before} AS DECIMAL(19,0))", "DECIMAL(19,0)"), (small, f"DECIMAL({scale + 1},{scale})")]
+    signed = [f"CASE WHEN {negative} THEN CAST(CAST(0 AS DECIMAL(1,0)) - {x} AS {kind}) ELSE {x} END" for x, kind in parts]
+    return f"CAST({signed[0]} + {signed[1]} AS DECIMAL(38,{scale}))"
 
+
+def _power_of_ten(exponent: int) -> Decimal:
     return Decimal(1).scaleb(exponent)
 
 
-def settled(value: Column, scale: int = RATIO_SCALE) -> Column:
-    """A fraction as decimal(38, scale)."""
-    return F.when(value.isNotNull(), quotient(value["num"], value["den"], scale, DIGITS))
+def _settled_sql(name: str, scale: int) -> str:
+    num, den = f"`{name}`.num", f"`{name}`.den"
+    if DIGITS + scale + 1 > 38:
+        raise ValueError("the rest times a power of ten must fit 38 digits")
+    rest = _wide(f"abs({num}) % abs({den})")
+    twice = _wide(f"2 * {_wide(f'abs({den})')}")
+    scaled = _wide(f"{_wide(f'{rest} * {_wide(2 * 10 ** scale)}')} + {_wide(f'abs({den})')}")
+    return f"CASE WHEN `{name}` IS NOT NULL THEN {_joined(f'abs({num}) div abs({den})', _whole_quotient(scaled, twice), f'({num} < 0) <> ({den} < 0)', scale)} END"
+
 
+def settled(name: str, scale: int = RATIO_SCALE) -> Column:
+    """The fraction column ``name`` as decimal(38, scale), rounded once, half away from zero."""
+    return F.expr(_settled_sql(name, scale))
 
-def growth(now: Column, then: Column, scale: int = RATIO_SCALE) -> Column:
-    """now / then - 1 of two fractions as decimal(38, scale); NULL without either, or if ``then`` is zero."""
-    wide = lambda x, y: (x.cast(WHOLE) * y.cast(WHOLE)).cast(WHOLE)
-    num = wide(now["num"], then["den"]) - wide(then["num"], now["den"])
-    den = wide(now["den"], then["num"])
-    return F.when(now.isNotNull() & then.isNotNull() & (then["num"] != 0), quotient(num, den, scale, PRODUCT_DIGITS))
+
+def growth(now: str, then: str, scale: int = RATIO_SCALE) -> Column:
+    """now / then - 1 of two fraction columns as decimal(38, scale); NULL without either, or if ``then`` is zero."""
+    wide = lambda x, y: _wide(f"{_wide(x)} * {_wide(y)}")
+    num = _wide(f"{wide(f'`{now}`.num', f'`{then}`.den')} - {wide(f'`{then}`.num', f'`{now}`.den')}")
+    den = wide(f"`{now}`.den", f"`{then}`.num")
+    n, d = _size(num), _size(den)
+    # one digit at a time: the denominator may have 37
+    ten = _wide("s.rest * 10")
+    step = (f"named_struct('digits', {_wide(f's.digits * 10 + {_whole_quotient(ten, d)}')}, 'rest', {_wide(f'{ten} % {d}')})")
+    last = f"{_wide(f's.digits + CASE WHEN s.rest * 2 >= {d} THEN 1 ELSE 0 END')}"
+    steps = f"sequence(1, {scale})" if scale else "CAST(array() AS ARRAY<INT>)"
+    start = f"named_struct('digits', {_wide(0)}, 'rest', {_wide(f'{n} % {d}')})"
+    after = f"aggregate({steps}, {start}, (s, i) -> {step}, s -> {last})"
+    known = f"`{now}` IS NOT NULL AND `{then}` IS NOT NULL AND `{then}`.num <> 0"
+    return F.expr(f"CASE WHEN {known} THEN {_joined(_whole_quotient(n, d), after, f'({num} < 0) <> ({den} < 0)', scale)} END")

@@ -40,22 +40,23 @@ def resolve_count_ratio(df: DataFrame, mode: str, column: str = "cnt_vacancy_sit
     return "integer" if isinstance(df.schema[column].dataType, IntegralType) else "exact"
 
 
-def salary_yoy(scale: int = RATIO_SCALE) -> Column:
-    """p50 against the value 12 rows back."""
-    return settled(guarded_ratio("market_perc_50", "lag52_ext_salary_p50"), scale)
+def salary_yoy() -> Column:
+    """p50 against the value 12 rows back, as a fraction."""
+    return guarded_ratio("market_perc_50", "lag52_ext_salary_p50")
 
 
-def vacancy_yoy(mode: str, scale: int = RATIO_SCALE) -> Column:
-    """D7 for counts.  ``integer``: truncating division, as int / int in SQL;
+def vacancy_yoy(mode: str) -> Column:
+    """D7 for counts, as a fraction.  ``integer``: truncating division, as int / int in SQL;
     ``exact``: fractional ratio."""
     if mode == "integer":
-        return integer_ratio("cnt_vacancy_site", "_lag12_post_cnt").cast(f"decimal(38,{scale})")
-    return settled(guarded_ratio("cnt_vacancy_site", "_lag12_post_cnt", whole=True), scale)
+        whole = integer_ratio("cnt_vacancy_site", "_lag12_post_cnt")
+        return fraction(whole, F.lit(1), whole.isNotNull())
+    return guarded_ratio("cnt_vacancy_site", "_lag12_post_cnt", whole=True)
 
 
 def gap_yoy(scale: int = RATIO_SCALE) -> Column:
-    """Gap against the gap 12 rows back, both exact."""
-    return growth(F.col("gap_to_market_p50"), F.col("lag52_gap_to_market_p50"), scale)
+    """Gap against the gap 12 rows back, both exact (the gap columns are still fractions)."""
+    return growth("gap_to_market_p50", "lag52_gap_to_market_p50", scale)
 
 
 def salary_spread() -> Column:
@@ -88,9 +89,9 @@ def missing_inputs() -> Column:
     )
 
 
-def completeness_ratio(scale: int = RATIO_SCALE) -> Column:
-    """Share of the three core inputs that are missing."""
-    return settled(fraction(missing_inputs(), F.lit(INPUTS), F.lit(True)), scale)
+def completeness_ratio() -> Column:
+    """Share of the three core inputs that are missing, as a fraction."""
+    return fraction(missing_inputs(), F.lit(INPUTS), F.lit(True))
 
 
 def insufficient() -> Column:
@@ -103,4 +104,4 @@ def settle_fractions(df: DataFrame, scales: dict[str, int] | None = None) -> Dat
     """df with every fraction column as a decimal, rounded once to its scale."""
     scales = scales or {}
     known = {f.name: f.dataType for f in df.schema.fields}
-    return df.select(*[settled(F.col(c), scales.get(c, RATIO_SCALE)).alias(c) if t.simpleString() == FRACTION else F.col(c) for c, t in known.items()])
+    return df.select(*[settled(c, scales.get(c, RATIO_SCALE)).alias(c) if t.simpleString() == FRACTION else c for c, t in known.items()])

@@ -107,7 +107,6 @@ def series_relation(joined: DataFrame, bounded: bool = True,
 
 def final_columns(count_ratio: str, scales: dict[str, int]) -> dict[str, Column]:
     """The output formulas over the windowed relation, by output name."""
-    at = lambda name: scales.get(name, RATIO_SCALE)
     cols: dict[str, Column] = {
         "ext_salary_mean": F.col("market_perc_50"),
         "ext_salary_p25": F.col("market_perc_25"),
@@ -117,10 +116,10 @@ def final_columns(count_ratio: str, scales: dict[str, int]) -> dict[str, Column]
         "ext_vacancy_sal_range": M.salary_spread(),
         "normalized_positions": M.staffing_flag(),
         "competitor_nm": M.competitor_name(),
-        "salary_p50_yoy_diff": M.salary_yoy(at("salary_p50_yoy_diff")),
-        "vacancy_cnt_yoy_diff": M.vacancy_yoy(count_ratio, at("vacancy_cnt_yoy_diff")),
-        "gap_yoy_diff": M.gap_yoy(at("gap_yoy_diff")),
-        "nulls_ratio": M.completeness_ratio(at("nulls_ratio")),
+        "salary_p50_yoy_diff": M.salary_yoy(),
+        "vacancy_cnt_yoy_diff": M.vacancy_yoy(count_ratio),
+        "gap_yoy_diff": M.gap_yoy(scales.get("gap_yoy_diff", RATIO_SCALE)),
+        "nulls_ratio": M.completeness_ratio(),
         "data_insufficient": M.insufficient(),
     }
     cols.update({name: F.lit(None).cast(t) for name, t in PLACEHOLDERS.items()})
@@ -132,7 +131,7 @@ def finish(windowed: DataFrame, count_ratio: str, spec: Contract | None = None)
     mode = M.resolve_count_ratio(windowed, count_ratio)
     scales = {} if spec is None else ratio_scales(spec)
     cols = final_columns(mode, scales)
-    out = windowed.select(*[cols[c].alias(c) if c in cols else F.col(c) for c in MART_COLUMNS])
+    out = windowed.select(*[cols[c].alias(c) if c in cols else c for c in MART_COLUMNS])
     return M.settle_fractions(out, scales)
 
 
