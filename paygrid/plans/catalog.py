@@ -8,15 +8,18 @@ for — an insert into an existing table casts to that table's columns.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import scratch_path
-from ..sources.sinks import batch_partitions, delete_path, merge_by_key, stage, stage_at
+from ..sources.sinks import batch_partitions, delete_path, list_folders, merge_by_key, stage
 from .contracts import Contract, conform, contract
 
 PARTITION_COLUMN = "week_dt"
+#: Folder of swapped months inside a table's own; its name hides it from readers of the whole folder.
+MONTHS_FOLDER = "_months"
 
 
 def _default_sql(value) -> str:
@@ -77,26 +80,75 @@ def contract_for_schema(schema: T.StructType, kind: str = "features") -> Contrac
     return Contract(declared.name, T.StructType(fields), declared.keys, checks, defaults)
 
 
+def _location(spark: SparkSession, name: str) -> str:
+    rows = spark.sql(f"DESCRIBE FORMATTED {name}").where("col_name = 'Location'").collect()
+    return rows[0]["data_type"]
+
+
+def month_locations(spark: SparkSession, name: str) -> dict[str, str]:
+    """Month -> folder of every month of the table (one row a month: bounded by the calendar)."""
+    out = {}
+    for row in spark.sql(f"SHOW PARTITIONS {name}").collect():
+        month = row[0].split("=", 1)[1]
+        detail = spark.sql(f"DESCRIBE FORMATTED {name} PARTITION ({PARTITION_COLUMN} = DATE'{month}')").where("col_name = 'Location'")
+        out[month] = detail.first()["data_type"]
+    return out
+
+
+def swap_months(rows: DataFrame, name: str, max_records_per_file: int = 5_000_000) -> None:
+    """Replace the months that ``rows`` have: write them to a fresh folder, then move each month's location there.
+
+    A move is one change of the catalog, so a reader sees a month as it was or as it is, never a part of it, and
+    one that has begun keeps reading the old files.  The data is written once.  A run that fails before the moves
+    changes nothing; between two moves every month is whole.  Old folders stay until :func:`drop_old_months`.
+    """
+    spark = rows.sparkSession
+    fresh = f"{_location(spark, name)}/{MONTHS_FOLDER}/{uuid.uuid4().hex}"
+    (rows.hint("rebalance", PARTITION_COLUMN).write.option("maxRecordsPerFile", max_records_per_file)
+        .partitionBy(PARTITION_COLUMN).parquet(fresh))
+    months = batch_partitions(spark.read.parquet(fresh), PARTITION_COLUMN)
+    known = {row[0].split("=", 1)[1] for row in spark.sql(f"SHOW PARTITIONS {name}").collect()}
+    for month in sorted(months):
+        at = f"PARTITION ({PARTITION_COLUMN} = DATE'{month}')"
+        folder = f"'{fresh}/{PARTITION_COLUMN}={month}'"
+        if str(month) in known:
+            spark.sql(f"ALTER TABLE {name} {at} SET LOCATION {folder}")
+        else:
+            spark.sql(f"ALTER TABLE {name} ADD {at} LOCATION {folder}")
+    spark.catalog.refreshTable(name)
+
+
+def drop_old_months(spark: SparkSession, name: str) -> list[str]:
+    """Delete the folders of replaced months; call it when no reader from before the last swap is left."""
+    used = {_plain(x) for x in month_locations(spark, name).values()}
+    root = _location(spark, name)
+    gone = []
+    # months written in place, and those of earlier swaps
+    for folder in [root, *list_folders(spark, f"{root}/{MONTHS_FOLDER}")]:
+        for month in list_folders(spark, folder):
+            if month.rsplit("/", 1)[1].startswith(f"{PARTITION_COLUMN}=") and _plain(month) not in used:
+                delete_path(spark, month)
+                gone.append(month)
+    return gone
+
+
+def _plain(path: str) -> str:
+    """A path without its scheme, as catalogs and file systems write it differently."""
+    return path.split(":", 1)[-1].replace("//", "/").rstrip("/")
+
+
 def upsert_table(batch: DataFrame, name: str, spec: Contract,
                  batch_is_staged: bool = False) -> DataFrame:
-    """Merge ``batch`` into catalog table ``name`` by the contract's keys,
-    replacing only the partitions the batch touches (same staging rules as
-    :func:`paygrid.sources.sinks.upsert_partitioned`)."""
+    """Merge ``batch`` into catalog table ``name`` by the contract's keys.
+
+    Only the months that the batch touches are read; their merged rows are written to a fresh folder and swapped
+    in by :func:`swap_months`, so the months being read are never overwritten and need no staged copy.
+    """
     spark = batch.sparkSession
     staged = batch if batch_is_staged else stage(conform(batch, spec), "table-batch")
     months = batch_partitions(staged, PARTITION_COLUMN)
     if not months:
         return staged
     touched = spark.table(name).where(F.col(PARTITION_COLUMN).isin(months))
-    merged_path = scratch_path(spark, "table-merged")
-    merged = stage_at(merge_by_key(touched, staged, spec.keys), merged_path)
-    mode_key = "spark.sql.sources.partitionOverwriteMode"
-    previous = spark.conf.get(mode_key)
-    spark.conf.set(mode_key, "dynamic")   # insertInto takes the mode from the session
-    try:
-        (merged.select(*spec.columns).hint("rebalance", PARTITION_COLUMN)
-            .write.mode("overwrite").insertInto(name))
-    finally:
-        spark.conf.set(mode_key, previous)
-    delete_path(spark, merged_path)   # committed; the staged copy is no longer read
+    swap_months(merge_by_key(touched, staged, spec.keys).select(*spec.columns), name)
     return staged

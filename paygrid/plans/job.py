@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.constants import STEP_DONE, STEP_STARTED
-from ..operators.validate import enforce
+from ..operators.validate import enforce_observed, observed
 from ..session import scratch_path
 from ..sources.sinks import append_log_rows, delete_path, has_data, stage_at, upsert_partitioned
 from .catalog import contract_for_schema, ensure_tables, table_contract, upsert_table
@@ -67,13 +67,13 @@ def run(spark: SparkSession, sources, target_path: str | None = None,
         else:
             spec = contract("features", variant)
         mart = build_mart(sources, options, spec)
-        table = stage_at(conform(mart, spec, now=F.lit(as_utc(run_ts)).cast("timestamp")), batch_path)
-        enforce(table, spec)
+        watched, seen = observed(conform(mart, spec, now=F.lit(as_utc(run_ts)).cast("timestamp")), spec)
+        table = stage_at(watched, batch_path)
+        rows = enforce_observed(seen, table, spec)
         if target_table:
             batch = upsert_table(table, target_table, spec, batch_is_staged=True)
         else:
             batch = upsert_partitioned(table, target_path, spec.keys, batch_is_staged=True)
-        rows = batch.count()
         done = True
     except Exception as exc:
         if log_path and log_failures:

@@ -84,7 +84,8 @@ def joined_relation(sources, cutoff: dt.date | None) -> DataFrame:
     """Prepared base with market and vacancy data (the ``joined`` stage)."""
     base = E.prepare_base(sources.base(since=cutoff), sources.dim(), cutoff)
     market = E.prepare_market(sources.ext(since=cutoff), cutoff)
-    counts = E.count_vacancies(sources.vac(since=cutoff), cutoff)
+    stored = getattr(sources, "counts", None)   # counts kept by month, if the sources have them
+    counts = stored(since=cutoff) if stored else E.count_vacancies(sources.vac(since=cutoff), cutoff)
     return E.enrich(base, market, counts)
 
 

@@ -38,7 +38,8 @@ def read_counts(spark: SparkSession, path: str) -> DataFrame:
     """The stored counts, as ``count_vacancies`` would return them."""
     if not has_data(spark, path):
         return spark.createDataFrame([], STATE).select(MONTH, *GROUP, "vacancy_cnt")
-    return spark.read.schema(STATE).parquet(path).select(MONTH, *GROUP, "vacancy_cnt")
+    # (a month that lost all its groups holds one row that counts nothing)
+    return spark.read.schema(STATE).parquet(path).where("vacancy_cnt <> 0").select(MONTH, *GROUP, "vacancy_cnt")
 
 
 def count_changes(added: DataFrame | None, withdrawn: DataFrame | None) -> DataFrame:
@@ -91,5 +92,5 @@ class CountedSources:
         return getattr(self.sources, name)
 
     def counts(self, since=None) -> DataFrame:
-        stored = read_counts(self.spark, self.path).where(F.col("vacancy_cnt") > 0)
+        stored = read_counts(self.spark, self.path)
         return stored if since is None else stored.where(F.col(MONTH) >= F.lit(since))

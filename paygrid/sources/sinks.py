@@ -82,6 +82,14 @@ def has_data(spark: SparkSession, path: str) -> bool:
     return False
 
 
+def list_folders(spark: SparkSession, path: str) -> list[str]:
+    """Folders directly under a path; none if it does not exist."""
+    fs, p = _fs_path(spark, path)
+    if not fs.exists(p):
+        return []
+    return [str(f.getPath()) for f in fs.listStatus(p) if f.isDirectory()]
+
+
 def delete_path(spark: SparkSession, path: str) -> None:
     """Remove a staged folder (recursively) once nothing reads it any more."""
     fs, p = _fs_path(spark, path)

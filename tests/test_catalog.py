@@ -85,3 +85,69 @@ def test_checks_follow_the_variant_that_created_the_table(spark):
     assert "competitor_food_cat" in table_contract(spark, "chk_compact").checks
     assert table_contract(spark, "chk_wide").checks == {}
     assert table_contract(spark, "chk_wide").defaults["location_rk"] == ""
+
+
+def test_months_are_swapped_by_moving_their_location(spark):
+    """A reader from before a swap keeps the old rows, one from after has the new; no file of the table is overwritten."""
+    from paygrid.plans.catalog import drop_old_months, month_locations, swap_months
+    root = scratch_path(spark, "swap")
+    spark.sql(f"CREATE TABLE cat_swap (k int, v string, week_dt date) USING parquet PARTITIONED BY (week_dt) LOCATION '{root}'")
+    rows = lambda m, v, n=40: spark.range(n).selectExpr("cast(id as int) as k", f"'{v}' as v", f"date'{m}' as week_dt")
+    spark.sql("INSERT INTO cat_swap VALUES (0, 'in place', date'2001-01-01'), (0, 'other month', date'2001-03-01')")
+    swap_months(rows("2001-01-01", "first").unionByName(rows("2001-02-01", "first")), "cat_swap")
+    state = lambda df: sorted((str(r[0]), r[1], r[2]) for r in df.groupBy("week_dt", "v").count().collect())
+    march = ("2001-03-01", "other month", 1)
+    assert state(spark.table("cat_swap")) == [("2001-01-01", "first", 40), ("2001-02-01", "first", 40), march]
+    reader = spark.table("cat_swap")
+    reader._jdf.queryExecution().executedPlan()     # planned before the swap: its files are listed
+    old = month_locations(spark, "cat_swap")
+    swap_months(rows("2001-01-01", "second", 7), "cat_swap")
+    assert state(spark.table("cat_swap")) == [("2001-01-01", "second", 7), ("2001-02-01", "first", 40), march]
+    assert reader.where("v = 'first'").count() in (40, 80)   # each month whole, as it was or as it is
+    new = month_locations(spark, "cat_swap")
+    assert {m for m in new if new[m] != old[m]} == {"2001-01-01"}
+    gone = drop_old_months(spark, "cat_swap")
+    assert sorted(x.rsplit("/", 1)[1] for x in gone) == ["week_dt=2001-01-01"] * 2
+    assert state(spark.table("cat_swap")) == [("2001-01-01", "second", 7), ("2001-02-01", "first", 40), march]
+    assert drop_old_months(spark, "cat_swap") == []
+
+
+def test_a_reader_never_sees_a_part_of_a_month(spark):
+    """Counts read in another thread while a month is swapped again and again are always those of one version."""
+    import threading
+    from paygrid.plans.catalog import swap_months
+    root = scratch_path(spark, "swap2")
+    spark.sql(f"CREATE TABLE cat_swap2 (v int, week_dt date) USING parquet PARTITIONED BY (week_dt) LOCATION '{root}'")
+    version = lambda v: spark.range(0, 1000, 1, 4).selectExpr(f"{v} as v", "date'2001-01-01' as week_dt")
+    swap_months(version(0), "cat_swap2")
+    seen, stop = [], threading.Event()
+
+    def read():
+        while not stop.is_set():
+            seen.append(sorted(tuple(r) for r in spark.newSession().table("cat_swap2").groupBy("v").count().collect()))
+
+    reader = threading.Thread(target=read)
+    reader.start()
+    try:
+        for v in range(1, 5):
+            swap_months(version(v), "cat_swap2")
+    finally:
+        stop.set()
+        reader.join()
+    assert seen and all(len(x) == 1 and x[0][1] == 1000 for x in seen)
+
+
+def test_upsert_into_a_table_reads_and_writes_touched_months_only(spark):
+    from paygrid.plans.catalog import month_locations, upsert_table
+    root = scratch_path(spark, "cat-upsert")
+    ensure_tables(spark, {"features": "cat_upsert"}, "wide", location_root=root)
+    spec = contract("features", "wide")
+    batch = lambda ms, loc: spark.createDataFrame([(dt.date.fromisoformat(m), 1, loc) for m in ms], "week_dt date, position_id int, location_rk string")
+    upsert_table(batch(["2001-01-01", "2001-02-01"], "A"), "cat_upsert", spec)
+    before = month_locations(spark, "cat_upsert")
+    upsert_table(batch(["2001-02-01", "2001-03-01"], "B"), "cat_upsert", spec)
+    upsert_table(batch(["2001-02-01"], "B"), "cat_upsert", spec)
+    got = sorted((str(r[0]), r[1]) for r in spark.table("cat_upsert").select("week_dt", "location_rk").collect())
+    assert got == [("2001-01-01", "A"), ("2001-02-01", "A"), ("2001-02-01", "B"), ("2001-03-01", "B")]
+    after = month_locations(spark, "cat_upsert")
+    assert after["2001-01-01"] == before["2001-01-01"] and after["2001-02-01"] != before["2001-02-01"]

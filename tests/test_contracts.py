@@ -83,3 +83,45 @@ def test_cluster_conf_sizes_partitions():
     conf = cluster_conf(expected_shuffle_bytes=100 * 1024 ** 4, cores=8000)
     assert int(conf["spark.sql.shuffle.partitions"]) == 819200      # 100 TiB / 128 MiB
     assert cluster_conf(10, cores=8)["spark.sql.shuffle.partitions"] == "24"
+
+
+def test_rules_are_counted_while_a_batch_is_written(spark):
+    from paygrid.operators.validate import enforce_observed, observed, observed_violations
+    from paygrid.sources.sinks import stage
+    spec = contract("features", "compact")
+    rows = [(dt.date(2001, 1, 1), 1, "x", "Food"), (None, 2, "x", "Other"), (dt.date(2001, 1, 1), None, None, None), (dt.date(2001, 1, 1), 3, "y", "Else")]
+    bad = conform(spark.createDataFrame(rows, "week_dt date, position_id int, location_rk string, competitor_food_cat string"), spec)
+    watched, seen = observed(bad, spec)
+    staged = stage(watched, "observed")
+    want = {r["rule"]: (r["rows_checked"], r["violations"]) for r in violations(staged, spec, include_keys=False).collect()}
+    assert {rule: (n, v) for rule, n, v in observed_violations(seen, staged, spec)} == want
+    assert want["check:competitor_food_cat"] == (4, 2) and want["not_null:location_rk"] == (4, 1)
+    with pytest.raises(ContractViolation, match="not_null:week_dt=1"):
+        enforce_observed(seen, staged, spec)
+    good = bad.where("position_id = 1")
+    watched, seen = observed(good, spec)
+    assert enforce_observed(seen, stage(watched, "observed"), spec) == 1
+
+
+def test_the_job_checks_with_one_read_of_the_batch(spark):
+    """After the staged write only the key rule reads, and it reads the key columns."""
+    from paygrid.operators.validate import key_violations, violations as all_rules
+    from paygrid.sources.sinks import stage
+    spec = contract("features", "wide")
+    table = stage(conform(build_mart(sources(spark, [base_row(x) for x in months(2)]), MartOptions(as_of="2001-08-15"), spec), spec), "checked")
+    scans = lambda df: [l for l in df._jdf.queryExecution().executedPlan().toString().splitlines() if "FileScan" in l]
+    assert len(scans(all_rules(table, spec))) == 2
+    one = scans(key_violations(table, spec.keys))
+    assert len(one) == 1 and "ReadSchema: struct<position_id:int,location_rk:string" in one[0].replace("week_dt:date,", "")
+
+
+def test_payload_is_stored_and_read_by_path(spark):
+    from paygrid.functions.payload import payload, payload_field
+    from paygrid.sources.sinks import stage
+    df = spark.createDataFrame([(1, "a", None), (2, None, 2.5)], "k int, name string, x double")
+    stored = stage(df.select("k", payload(name="name", inner=F.struct("x", "k")).alias("v")), "payload")
+    assert isinstance(stored.schema["v"].dataType, T.VariantType)
+    got = stored.select("k", payload_field("v", "$.name", "string").alias("name"), payload_field("v", "$.inner.x", "double").alias("x"),
+                        payload_field("v", "$.inner.k", "int").alias("ik"), payload_field("v", "$.name", "int").alias("other"),
+                        payload_field("v", "$.nothing", "string").alias("none")).orderBy("k").collect()
+    assert [tuple(r) for r in got] == [(1, "a", None, 1, None, None), (2, None, 2.5, 2, None, None)]

@@ -111,8 +111,8 @@ def test_no_cross_joins_and_no_python_in_any_query(spark):
     banned = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython",
               "ArrowEvalPython", "PythonUDF", "FlatMapGroupsInPandas", "MapInPandas")
     for name, fn in QUERIES.items():
-        if name in ("run_log", "written_months"):
-            continue
+        if name in ("run_log", "written_months", "inserted_once", "upsert_into_table"):
+            continue   # they run the whole job, and read what it wrote
         text = plan_text(fn(spark, SF_SMALL))
         found = [b for b in banned if b in text]
         assert not found, (name, found)
