@@ -21,7 +21,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from paygrid.llm.arrays import NULL_ID, give_back
-from paygrid.llm.staging import written
 
 CHUNK_ENTRIES = 1_000_000
 SALTS = 32
@@ -201,6 +200,9 @@ def row_keys(docs: DataFrame) -> DataFrame | None:
 
     None if ids tell the texts apart: no null id, and no id with two texts.
     """
+    # not at the top: tasks carry this module, and workers have no other part of the library
+    from paygrid.llm.staging import written
+
     own = docs.select(_id().alias("id"), _digest().alias("digest"))
     texts = own.groupBy("id").agg(F.min("digest").alias("a"), F.max("digest").alias("b"))
     if texts.filter((F.col("a") < F.col("b")) | (F.col("id") == NULL_ID)).isEmpty():

@@ -9,10 +9,14 @@ similarity is ``percent`` hundredths or more.  The join is exact:
 2. *Shared shingles.*  A packed exchange tells each class which of its shingles
    other classes have.  A link needs ``percent`` hundredths of a set shared, so
    all other classes are done.
-3. *Candidate groups.*  Shingles are ordered, unshared ones first; of a linked
-   pair, some shingle is in both sets' prefixes (size - required + 1).  Sets that
-   share a prefix shingle and have fitting sizes are chained, not paired, so a
-   list costs its length.  Components of the chains hold every link.
+3. *Candidate groups.*  Shingles are ordered, unshared ones first and the most
+   common ones last; of a linked pair, some shingle is in both sets' prefixes
+   (size - required + 1).  Sets that share a prefix shingle and have fitting sizes
+   are chained, not paired, so a list costs its length.  Components of the chains
+   hold every link.  Any one order of all shingles is right; this one keeps shared
+   passages out of the prefixes, which would chain sets that have nothing else in
+   common.  Common shingles are counted over all sets, and a table of at most
+   ``HOT`` codes of them goes to every task.
 4. *Join inside a group.*  Lists of a shingle are ordered by set size, and a
    probe skips to the blocks of fitting sizes.  A set's answers are counted from
    its lists; a set much like one with known answers takes those and corrects
@@ -44,6 +48,12 @@ from paygrid.llm.staging import written
 BLOCK = 1_000_000
 #: A set takes the answers of one that differs from it by at most this share of its shingles.
 ALIKE = 0.3
+#: Codes of common shingles that are told to every task: those that most sets have, whole levels of counts at a time.
+HOT = 1 << 20
+#: Levels are powers of two; a shingle in fewer than 2 ** LEVEL sets is not common.
+LEVEL = 4
+#: Bits of a shingle's code that are left away when common ones are counted.
+CUT = np.uint64(24)
 CHAINS = "bucket int, kind int, body binary"
 
 
@@ -95,8 +105,74 @@ def _chain(key, lo, hi, ids, percent):
     return key, lo, hi, ids, joined, np.flatnonzero(joined)
 
 
-def candidate_edges(sets: DataFrame, percent: int, n_buckets: int) -> DataFrame:
-    """Chains (a, b) over the prefix lists of sets (id, n, skip, keys)."""
+def common_shingles(sets: DataFrame, n_buckets: int) -> np.ndarray:
+    """Sorted codes (without their last CUT bits) of the shingles that most sets have, HOT at most.
+
+    Counted over all sets: a task sends each code of its sets once, with a count, to the code's bucket, and a
+    bucket returns the codes of a level as one value.  The lowest level that is told is the least that all fit with.
+    """
+    span = np.uint64(64) - CUT
+
+    def count(batches):
+        held, size = [], 0
+
+        def flush():
+            code, n = np.unique(np.concatenate(held) >> CUT, return_counts=True)
+            held.clear()
+            edge = np.searchsorted(code, [(b << int(span)) // n_buckets for b in range(n_buckets)] + [1 << int(span)])
+            rows = [(b, X._planes(np.diff(code[i:j], prepend=np.uint64(0))) + X._planes(n[i:j].astype(np.uint32)), j - i)
+                    for b, (i, j) in enumerate(zip(edge[:-1].tolist(), edge[1:].tolist(), strict=True)) if j > i]
+            return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.binary()),
+                                               pa.array([r[2] for r in rows], pa.int64())], ["bucket", "body", "n"])
+
+        for batch in batches:
+            for raw in batch.column(batch.schema.get_field_index("keys")).to_pylist():
+                held.append(np.frombuffer(raw, np.uint64))
+                size += len(held[-1])
+                if size >= 1_000_000:
+                    yield flush()
+                    size = 0
+        if held:
+            yield flush()
+
+    def merge(table: pa.Table) -> pa.Table:
+        A.give_back()
+        codes, counts = [], []
+        for raw, n in zip(table.column("body").to_pylist(), table.column("n").to_pylist(), strict=True):
+            gaps, at = X._unplanes(raw, 0, n, np.uint64)
+            codes.append(np.cumsum(gaps, dtype=np.uint64))
+            counts.append(X._unplanes(raw, at, n, np.uint32)[0])
+        code, place = np.unique(np.concatenate(codes), return_inverse=True)
+        total = np.bincount(place, weights=np.concatenate(counts)).astype(np.int64)
+        level = np.floor(np.log2(total)).astype(np.int64)
+        found = [(k, code[level == k]) for k in range(LEVEL, int(level.max()) + 1) if (level == k).any()]
+        return pa.table([pa.array([k for k, _ in found], pa.int32()), pa.array([len(c) for _, c in found], pa.int64()),
+                         pa.array([c.tobytes() for _, c in found], pa.binary())], ["level", "n", "codes"])
+
+    common = written(sets.mapInArrow(count, "bucket int, body binary, n long").groupBy("bucket").applyInArrow(merge, "level int, n long, codes binary"), "common-shingles")
+    least, total = None, 0
+    for level, n in sorted(common.groupBy("level").agg(F.sum("n")).collect(), reverse=True):
+        total += n
+        if total > HOT:
+            break
+        least = level
+    if least is None:
+        return np.zeros(0, np.uint64)
+    told = [np.frombuffer(r[0], np.uint64) for r in common.filter(F.col("level") >= least).select("codes").collect()]
+    return np.sort(np.concatenate(told))
+
+
+def _cold_first(keys: np.ndarray, hot: np.ndarray) -> np.ndarray:
+    """keys with the common ones last; each part keeps its order."""
+    if not len(hot):
+        return keys
+    code = keys >> CUT
+    common = hot[np.minimum(np.searchsorted(hot, code), len(hot) - 1)] == code
+    return np.concatenate([keys[~common], keys[common]])
+
+
+def candidate_edges(sets: DataFrame, percent: int, n_buckets: int, hot=None) -> DataFrame:
+    """Chains (a, b) over the prefix lists of sets (id, n, skip, keys); ``hot``: a broadcast of the common shingles' codes."""
 
     def task(batches):
         held = []
@@ -128,7 +204,8 @@ def candidate_edges(sets: DataFrame, percent: int, n_buckets: int) -> DataFrame:
         for batch in batches:
             for i, n, skip, raw in zip(*(batch.column(batch.schema.get_field_index(c)).to_pylist() for c in ("id", "n", "skip", "keys")), strict=True):
                 take = n - (percent * n + 99) // 100 + 1 - skip
-                keys = np.frombuffer(raw, np.uint64)[:take]
+                keys = np.frombuffer(raw, np.uint64)
+                keys = (_cold_first(keys, hot.value) if hot is not None else keys)[:take]
                 held.append((np.full(len(keys), i, np.int64), np.full(len(keys), n, np.int64), keys))
                 count += len(keys)
                 if count >= 1_000_000:
@@ -277,7 +354,8 @@ def keyed_links(docs: DataFrame, keys: DataFrame | None, size: int = 5, percent:
     shared = X.with_hits(single, replies).filter(F.col("hits").isNotNull())
     kept = shared.mapInArrow(survivors, "id long, n long, skip long, keys binary")
     kept = written(kept.groupBy("id").agg(F.min(F.struct("n", "skip", "keys")).alias("s")).select("id", "s.*"), "shared-sets")
-    groups = connected(candidate_edges(kept, percent, n_buckets))
+    hot = docs.sparkSession.sparkContext.broadcast(common_shingles(kept, n_buckets))
+    groups = connected(candidate_edges(kept, percent, n_buckets, hot))
 
     # Groups over BLOCK are cut by size into segments of two bands: a set links only into its own and the next
     # band, so a segment's sets and the next segment's first band (its guests) hold all links of the segment's

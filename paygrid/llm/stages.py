@@ -1,6 +1,11 @@
 """The pipeline's stages: operators as steps from documents to documents.
 
 Each takes (spark, docs, sf_dir); all but the last return the columns of docs.
+
+Defined cases, for all stages: null and empty texts are kept (rejected by the quality classifier only if it
+scores them so); null and repeated ids and repeated rows are kept, but of rows with one id and text, and of
+documents that are alike, one stays: the one whose id is the component's, of rows that differ in other columns
+the first as JSON text; columns of any name are carried along; an empty table stays empty.
 """
 
 from __future__ import annotations
@@ -14,24 +19,41 @@ from paygrid.llm.staging import written
 def keep_quality(spark, docs, sf_dir):
     """Documents that the quality classifier does not reject."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    return quality.score(docs, labels).filter(F.col("quality_score") >= quality.REJECT_BELOW).drop("quality_score")
+    # the score's name may be taken
+    own = _free("quality_score_given", docs)
+    rows = docs.withColumnRenamed("quality_score", own) if "quality_score" in docs.columns else docs
+    kept = quality.score(rows, labels).filter(F.col("quality_score") >= quality.REJECT_BELOW).drop("quality_score")
+    return kept.select(*[F.col(own).alias(c) if c == "quality_score" else c for c in docs.columns])
+
+
+def _free(name, docs):
+    """The name, or a longer one that no column has."""
+    while name in docs.columns:
+        name += "_"
+    return name
 
 
 def one_of_alike(spark, docs, sf_dir):
     """One row of each component of the Jaccard join: one whose id is the component's; texts without words are all kept."""
     keys = exchange.row_keys(docs)
     found = written(jaccard_join.keyed_links(docs, keys).select(F.col("id").alias("__row"), "keep", "n_shingles"), "alike")
-    kept = exchange.with_row_key(docs, keys).join(found.filter("__row <> keep").select("__row").distinct(), "__row", "left_anti")
+    # the table's columns travel in one, so that no name of theirs meets a helper's
+    rows = docs.select(F.struct(*docs.columns).alias("whole"), "doc_id", "text")
+    kept = exchange.with_row_key(rows, keys).select("__row", "whole")
+    kept = kept.join(found.filter("__row <> keep").select("__row").distinct(), "__row", "left_anti")
     # rows given twice have one key
     twice = found.filter("__row = keep AND n_shingles > 0").groupBy("__row").count().filter("count > 1").select("__row")
     if not twice.isEmpty():
-        kept = kept.join(twice, "__row", "left_anti").unionByName(kept.join(twice, "__row", "left_semi").dropDuplicates(["__row"]))
-    return kept.select(*docs.columns)
+        first = kept.join(twice, "__row", "left_semi").groupBy("__row").agg(F.min_by("whole", F.to_json("whole")).alias("whole"))
+        kept = kept.join(twice, "__row", "left_anti").unionByName(first)
+    return kept.select("whole.*")
 
 
 def remove_benchmark(spark, docs, sf_dir):
     """Texts without the words that occur in benchmark phrases; a text that had nothing else is empty."""
     rows = decontaminate.scan(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), remove=True)
+    if "n_chars" not in docs.columns:
+        return rows
     return rows.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
 
 

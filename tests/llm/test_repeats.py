@@ -5,6 +5,7 @@ import random
 import re
 from collections import Counter
 
+import numpy as np
 import pytest
 
 from paygrid.llm import jaccard_join, stages, substring_dedup, suffix_dedup
@@ -86,9 +87,11 @@ def brute_links(rows):
     return [(i, len(sets[i]), root[i], links[i]) for i in range(n)]
 
 
-@pytest.mark.parametrize("block", [1_000_000, 300])
-def test_jaccard_join(table, block, monkeypatch):
+@pytest.mark.parametrize("block,level,hot", [(1_000_000, 4, 1 << 20), (300, 1, 40), (300, 0, 1 << 20)])
+def test_jaccard_join(table, block, level, hot, monkeypatch):
     monkeypatch.setattr(jaccard_join, "BLOCK", block)
+    monkeypatch.setattr(jaccard_join, "LEVEL", level)
+    monkeypatch.setattr(jaccard_join, "HOT", hot)
     rnd = random.Random(3)
     rows = [t for t in texts(4, 30) if t is None or len(t) < 3000]
     for t in rows[:12]:
@@ -161,3 +164,40 @@ def test_stage_cuts_benchmark_by_row(spark, corpus):
     want = [(i, t and t.replace(leak, "")) for i, t in rows]
     assert got.columns == docs.columns
     assert Counter((r.doc_id, r.text, r.n_chars) for r in got.collect()) == Counter((i, t, None if t is None else len(t)) for i, t in want)
+
+
+def test_common_shingles_are_those_of_most_sets(spark, monkeypatch):
+    monkeypatch.setattr(jaccard_join, "LEVEL", 1)
+    rng = random.Random(2)
+    every = [rng.randrange(2 ** 64) for _ in range(30)]
+    rows = [(i, sorted(every[:5] + rng.sample(every[5:15], 6) + ([every[20 + i]] if i < 10 else []))) for i in range(32)]
+    sets = spark.createDataFrame([(i, len(k), 0, np.array(k, np.uint64).tobytes()) for i, k in rows], "id long, n long, skip long, keys binary")
+    count = Counter(x for _, k in rows for x in k)
+    code = lambda least: sorted({x >> 24 for x, n in count.items() if n >= 2 ** least})
+    assert jaccard_join.common_shingles(sets, 7).tolist() == code(1)
+    monkeypatch.setattr(jaccard_join, "HOT", len(code(5)))
+    assert jaccard_join.common_shingles(sets, 7).tolist() == code(5)   # whole levels only
+    monkeypatch.setattr(jaccard_join, "HOT", 1)
+    assert jaccard_join.common_shingles(sets, 7).tolist() == []
+    keys = np.array(rows[0][1], np.uint64)
+    hot = np.array(code(5), np.uint64)
+    assert sorted(jaccard_join._cold_first(keys, hot).tolist()) == keys.tolist()
+    assert [x >> 24 in set(code(5)) for x in jaccard_join._cold_first(keys, hot).tolist()] == [False] * (len(keys) - 5) + [True] * 5
+
+
+def test_stages_carry_columns_of_any_name(spark, tmp_path):
+    group = lambda w: " ".join(f"{w}{i}" for i in range(40))
+    leak = "Alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu"
+    rows = [(1, group("a"), "x", 9, "r", 0.5, "w"), (2, group("a"), "y", 8, "s", 0.1, "w"), (3, f"{leak}. end", "z", 7, "t", 0.2, "w"),
+            (4, group("b"), "z", 2, "u", 0.3, "w"), (4, group("b"), "b", 1, "u", 0.3, "w")]
+    rows = [(*r, "en", "s") for r in rows]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, __row string, __id int, __digest string, quality_score double, whole string, lang string, source string")
+    alike = stages.one_of_alike(spark, docs, None)
+    assert alike.columns == docs.columns
+    assert sorted(tuple(r) for r in alike.collect()) == [rows[0], rows[2], rows[4]]   # of the last two the first as JSON
+    spark.createDataFrame([(1, leak)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    got = stages.remove_benchmark(spark, docs, str(tmp_path))
+    assert got.columns == docs.columns and {r.doc_id: r.text for r in got.collect()}[3] == ". end"
+    spark.createDataFrame([(i, i % 2, 0) for i in range(1, 5)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    kept = stages.keep_quality(spark, docs, str(tmp_path))
+    assert kept.columns == docs.columns and {tuple(r) for r in kept.collect()} <= set(rows)
