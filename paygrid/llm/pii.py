@@ -195,8 +195,6 @@ class Contexts:
         places, w = [], word
         while len(places) < WORDS and 0 <= w < len(self.starts) and self.line[w] == self.line[word]:
             a, b = (self.starts[word], self.ends[w]) if side == 0 else (self.starts[w], self.ends[word])
-            if b - a > 160:
-                break
             places.append((int(a), int(b)))
             w += 1 if side == 0 else -1
         if not places:

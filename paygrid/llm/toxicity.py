@@ -4,9 +4,12 @@ Texts are folded: lower case, homoglyphs to Latin letters, digits and symbols
 inside words to the letters they stand for.  The lexicon is learned from a
 bounded sample of labelled rows (``TRAIN_ROWS`` rows, ``TRAIN_BYTES`` of whole
 texts): words, and beginnings of families of words, whose rate in toxic texts is
-well above that in others and that are seen in enough toxic texts and contexts.  A phrase of an entry and a neighbour that is mostly seen in other
-texts is an exception and counts nothing.  A text's evidence, also normalised by
-its length, goes through a logistic regression to a score from 0 to 1.
+well above that in others and that are seen in enough toxic texts and contexts;
+while learning, a word counts at most ``REPEATS`` times in a text, so that one
+text's refrain is not a habit of many.  A phrase of an entry and a neighbour (the
+next whole word, however long or far away) that is mostly seen in other texts is
+an exception and counts nothing.  A text's evidence, also normalised by its length,
+goes through a logistic regression to a score from 0 to 1.
 
 Scoring is one pass without a shuffle.  Defined cases: null, empty and long texts
 are scored (no words: no evidence); without labels of both kinds the lexicon is
@@ -171,8 +174,17 @@ class Lexicon:
 
     @staticmethod
     def _excepted(text: str, start: int, end: int, bad: set) -> bool:
-        before, after = _WORD.findall(text[max(0, start - 80):start]), _WORD.search(text, end, end + 80)
-        return bool(before and "<" + before[-1] in bad) or bool(after and ">" + after[0] in bad)
+        """Whether the next whole word before or after, however long or far away, makes this one harmless."""
+        after = _WORD.search(text, end)
+        if after and ">" + after[0] in bad:
+            return True
+        last = start
+        while last and not _WORD.match(text, last - 1):
+            last -= 1
+        first = last
+        while first and _WORD.match(text, first - 1):
+            first -= 1
+        return first < last and "<" + text[first:last] in bad
 
 
 def train(docs: DataFrame, labels: DataFrame) -> dict:

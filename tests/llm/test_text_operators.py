@@ -7,6 +7,7 @@ import re
 import zlib
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 
 from paygrid.llm import bpe, decontaminate, fingerprints, pii, quality, sharding, toxicity
@@ -196,6 +197,40 @@ def test_toxicity_folds_and_excepts(table):
     assert [r.score for r in toxicity.score(table([(1, None), (2, "x")]), model).collect()] == [0.1, 0.1]
 
 
+@pytest.mark.parametrize("neighbour", ["mild", "m" * 300])
+@pytest.mark.parametrize("gap", [" ", " " * 200 + "... "])
+def test_toxicity_neighbours_of_any_length_and_distance(neighbour, gap):
+    lexicon = toxicity.Lexicon({"bad": 2.0}, {"bad": {"<" + neighbour, ">" + neighbour}})
+    assert lexicon.features(f"{neighbour}{gap}bad") == (0.0, 0.0, 0.0)
+    assert lexicon.features(f"bad{gap}{neighbour} x")[2] == 0 and lexicon.features(f"x{neighbour}{gap}bad")[2] == 1
+    assert lexicon.features(f"bad{gap}{neighbour}x")[2] == 1 and lexicon.features("bad")[2] == 1
+
+
+def test_toxicity_automaton_finds_what_a_naive_scan_finds():
+    rnd = random.Random(12)
+    weights = {"ab": 1.0, "abba": 1.5, "ba*": 2.0, "bab": 2.5, "a*": 0.5}
+    exceptions = {"ab": {"<bb", ">aab"}}
+    lexicon = toxicity.Lexicon(weights, exceptions)
+    for _ in range(300):
+        text = "".join(rnd.choice("ab  -") for _ in range(rnd.randrange(40)))
+        words = text.replace("-", " ").split()
+        total, kinds = 0.0, set()
+        for i, w in enumerate(words):
+            near = {"<" + words[i - 1]} if i else set()
+            near |= {">" + words[i + 1]} if i + 1 < len(words) else set()
+            for entry, weight in weights.items():
+                if w == entry and not near & exceptions.get(entry, set()) or entry[-1] == "*" and w.startswith(entry[:-1]):
+                    total += weight
+                    kinds.add(entry)
+        want = (np.log1p(total), np.log1p(1000 * total / (len(text) + 500)), float(len(kinds)))
+        assert lexicon.features(text) == pytest.approx(want if text else (0, 0, 0)), text
+
+
+def test_quality_counts_all_letters():
+    text = "1aaaaaa" * 30      # every seventh character is a digit
+    assert quality.page_features(text, "en", "s")[8] == pytest.approx(6 / 7 * 4)
+
+
 def test_quality(spark):
     rows = quality.op6_quality_classifier(spark, SF).collect()
     labels = {r.doc_id: r.quality for r in spark.read.parquet(f"{SF}/labels.parquet").collect()}
