@@ -13,7 +13,7 @@ STAGES = [
     ("byte-level BPE", S.tokens),
 ]
 
-#: Trained scores and learned patterns are not expressible in SQL; tests compare with a brute-force version.
+#: Trained scores and learned patterns are not expressible in SQL; tests run all stages on rows with known results.
 ORACLE_SQL = None
 
 
