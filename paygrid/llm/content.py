@@ -52,6 +52,8 @@ TABLE = frozenset("table caption thead tbody tfoot tr td th html body".split())
 CELLS = frozenset(("td", "th", "caption"))
 #: Cues that are weighed, but do not make words boilerplate by themselves.
 LISTS = frozenset(("a", "li"))
+#: Inline elements that a slash in their start tag does not end.
+OPEN = frozenset("a b i em strong span".split())
 INLINE = frozenset(("a", "b", "br", "i", "em", "span", "img"))
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 #: Elements that mark a page's main text.
@@ -79,6 +81,8 @@ FENCES = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"
 PRIOR = {"boiler": (1.0, 20.0), "list": (4.0, 5.0), "plain": (4.0, 1.0)}
 #: A tag costs this at least.
 TAG_COST = 0.1
+#: A word under a boilerplate name costs this at least, whatever is learned.
+BOILER_COST = 0.5
 #: Words whose cues are below this are not content, in the region or not.
 OUT = 0.0
 LIMIT = 5.0
@@ -91,22 +95,44 @@ CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 COUNTS = "kind string, name string, inside long, outside long"
 
 
+class Element:
+    """An open element: what it and those around it say, and the runs it holds (first, and last when it has ended)."""
+
+    __slots__ = ("tag", "parent", "cues", "main", "heading", "first", "last")
+
+    def __init__(self, tag: str, parent: Element | None, cues: frozenset, first: int):
+        around = parent.cues if parent else frozenset()
+        self.tag, self.parent, self.first, self.last = tag, parent, first, None
+        within = parent is not None and parent.main
+        self.main = within or tag in MAIN
+        # a form around the whole page says nothing about its main text
+        self.cues = (around - {"form"} if self.main and not within else around) | cues
+        self.heading = tag in HEADINGS or (parent is not None and parent.heading)
+
+    def holds(self, run: int) -> bool:
+        return self.first <= run and (self.last is None or run < self.last)
+
+
 class Run(NamedTuple):
-    """A piece of text: its decoded words, block, cues, and the open elements around it (numbers, outermost first)."""
+    """A piece of text: its decoded words, its number, its block, and the innermost element around it."""
 
     text: str
     words: int
+    number: int
     block: int
-    cues: frozenset
-    path: tuple
-    main: bool
-    heading: bool
+    element: Element
 
+    @property
+    def cues(self) -> frozenset:
+        return self.element.cues
 
-class Element(NamedTuple):
-    number: int
-    tag: str
-    cues: frozenset
+    @property
+    def main(self) -> bool:
+        return self.element.main
+
+    @property
+    def heading(self) -> bool:
+        return self.element.heading
 
 
 def _cues(tag: str, attributes: str) -> frozenset:
@@ -128,36 +154,49 @@ def _cues(tag: str, attributes: str) -> frozenset:
 
 def tokens(page: str):
     """('tag', name, whether it is in a main text) and Run items of a page, in order; the text of SILENT elements is left out."""
-    stack: list[Element] = []
-    number = block = 0
+    stack = [Element("", None, frozenset(), 0)]
+    opened: Counter = Counter()
+    runs = block = 0
     at, n, loose = 0, len(page), False
-    silent = 0
 
     def close(to: int):
-        nonlocal silent
-        silent -= sum(e.tag in SILENT for e in stack[to:])
+        for e in stack[to:]:
+            e.last = runs
+            opened[e.tag] -= 1
         del stack[to:]
 
+    def start(tag, cues):
+        stack.append(Element(tag, stack[-1], cues, runs))
+        opened[tag] += 1
+
+    def silent():
+        return any(opened[t] for t in SILENT)
+
+    def end(tags, fence):
+        """Close the innermost open element of the tags, unless a fence stands before it."""
+        if any(opened[t] > 0 for t in tags):
+            for i in range(len(stack) - 1, 0, -1):
+                if stack[i].tag in tags:
+                    close(i)
+                    return
+                if stack[i].tag in fence:
+                    return
+
     def run(text):
+        nonlocal runs
         text = references.unescape(text) if "&" in text else text
-        tags = [e.tag for e in stack]
-        main = next((i for i, t in enumerate(tags) if t in MAIN), len(tags))
-        # a form around the whole page says nothing about its main text
-        cues = frozenset().union(*(e.cues - {"form"} if i < main < len(tags) else e.cues for i, e in enumerate(stack)))
-        return Run(text, len(text.split()), block, cues, tuple(e.number for e in stack), main < len(tags), any(t in HEADINGS for t in tags))
-
-    def inside():
-        return any(e.tag in MAIN for e in stack)
+        runs += 1
+        return Run(text, len(text.split()), runs - 1, block, stack[-1])
 
     while at < n:
         lt = page.find("<", at)
         # a less-than sign that opens nothing is text
         while 0 <= lt < n - 1 and not (page[lt + 1].isascii() and page[lt + 1].isalpha()) and page[lt + 1] not in "/!?":
             lt = page.find("<", lt + 1)
-        end = n if lt < 0 or lt == n - 1 else lt
-        if end > at and not silent:
-            yield run(page[at:end])
-        if end == n:
+        stop = n if lt < 0 or lt == n - 1 else lt
+        if stop > at and not silent():
+            yield run(page[at:stop])
+        if stop == n:
             return
         at = lt
         if page.startswith("<!--", at):
@@ -167,61 +206,49 @@ def tokens(page: str):
         m = None if loose else TAG.match(page, at)
         if m is None and not loose and page[at + 1] not in "!?":
             # an open quotation: from here on a tag ends at the next bracket, so a page is read in linear time
-            loose = LOOSE_TAG.match(page, at) is not None
+            loose = True
         if m is None:
+            stop = page.find(">", at)
+            if stop < 0:
+                return    # a tag that never ends
             m = LOOSE_TAG.match(page, at)
         if m is None:
-            stop = page.find(">", at)
-            at = n if stop < 0 else stop + 1
+            at = stop + 1
             continue
         at = m.end()
         tag = m[2].lower()
         if m[1]:
             # an inline end tag ends nothing outside its block, and what is in a cell ends nothing outside it
             fence = BLOCK if tag not in BLOCK and tag not in SILENT else FENCES.get(tag, CELLS if tag not in TABLE else ())
-            yield "tag", tag, inside()
-            for i in range(len(stack) - 1, -1, -1):
-                if stack[i].tag == tag:
-                    close(i)
-                    break
-                if stack[i].tag in fence:
-                    break
+            yield "tag", tag, stack[-1].main
+            end((tag,), fence)
             if tag in BLOCK:
                 block += 1
             continue
-        for ended, by in (("p", ENDS_P), (tag, ENDS_OWN)):
-            if tag not in by:
-                continue
-            ends = {"p"} if ended == "p" and by is ENDS_P else by[tag]
-            for i in range(len(stack) - 1, -1, -1):
-                if stack[i].tag in ends:
-                    close(i)
-                    break
-                if stack[i].tag in FENCES.get(ended, ()):
-                    break
+        if tag in ENDS_P:
+            end(("p",), FENCES["p"])
+        if tag in ENDS_OWN:
+            end(ENDS_OWN[tag], FENCES.get(tag, ()))
         if tag in BLOCK:
             block += 1
-            if silent and (head := next((i for i, e in enumerate(stack) if e.tag == "head"), None)) is not None:
-                close(head)    # the page's body starts
-        yield "tag", tag, inside() or tag in MAIN
-        if tag == "br" and not silent:
+            if opened["head"] > 0:
+                end(("head",), ())    # the page's body starts
+        yield "tag", tag, stack[-1].main or tag in MAIN
+        if tag == "br" and not silent():
             yield run("\n")
-        if tag in VOID or (m[3].endswith("/") and tag not in BLOCK and tag not in RAW and tag not in SILENT and tag not in ("a", "b", "i", "em", "strong", "span")):
+        if tag in VOID or (m[3].endswith("/") and tag not in BLOCK and tag not in RAW and tag not in SILENT and tag not in OPEN):
             continue
         if tag in RAW:
             stop = re.compile(f"</{re.escape(tag)}(?=[\\s/>])", re.I).search(page, at)
             inner = page[at:stop.start() if stop else n]
-            if tag in ("textarea", "xmp") and not silent and inner:
-                stack.append(Element(number, tag, _cues(tag, m[3])))
+            if tag in ("textarea", "xmp") and not silent() and inner:
+                start(tag, _cues(tag, m[3]))
                 yield run(inner)
-                stack.pop()
-                number += 1
+                close(len(stack) - 1)
             at = n if stop is None else (page.find(">", stop.end()) + 1 or n)
-            yield "tag", tag, inside()
+            yield "tag", tag, stack[-1].main
             continue
-        number += 1
-        stack.append(Element(number, tag, _cues(tag, m[3])))
-        silent += tag in SILENT
+        start(tag, _cues(tag, m[3]))
 
 
 def _telling(cues: frozenset) -> frozenset:
@@ -277,7 +304,9 @@ def weights(found: dict[tuple[str, str], tuple[int, int]]) -> dict[tuple[str, st
         p, q = PRIOR[_kind(cue)]
         # counts are taken at most as strong as a hundred words, so that one site's habit does not outweigh a name
         scale = min(1.0, 100 / max(1, i + o))
-        out["word", cue] = max(-LIMIT, min(LIMIT, math.log((i * scale + p) / (o * scale + q))))
+        weight = math.log((i * scale + p) / (o * scale + q))
+        # comments and adverts are no main text even where pages put them inside the element that marks it
+        out["word", cue] = max(-LIMIT, min(-BOILER_COST if _kind(cue) == "boiler" else LIMIT, weight))
     out["word", ""] = max(0.5, out["word", ""]) if sum(base) else math.log(4)
     for (kind, name), (i, o) in found.items():
         if kind == "tag":
@@ -314,16 +343,15 @@ def main_text(page: str | None, table: dict) -> str:
     region = [x for x, w in zip(items[start:end], words[start:end], strict=True) if w > OUT and x.words]
     if not region:
         return ""
-    head, tail = region[0].path, region[-1].path
-    depth = 0
-    while depth < min(len(head), len(tail)) and head[depth] == tail[depth]:
-        depth += 1
-    if region[0].block == region[-1].block and depth:
-        depth -= 1    # one block: its parent
-    within = head[:depth]
+    first, last = region[0], region[-1]
+    box = first.element
+    while not box.holds(last.number):
+        box = box.parent
+    if first.block == last.block and box.parent is not None:
+        box = box.parent    # one block: what is around it
     blocks: dict[int, list[str]] = {}
     for r in items:
-        if isinstance(r, Run) and r.path[:depth] == within and (not r.words or _taken(r, table)):
+        if isinstance(r, Run) and box.holds(r.number) and (not r.words or _taken(r, table)):
             blocks.setdefault(r.block, []).append(r.text)
     lines = (" ".join("".join(parts).split()) for parts in blocks.values())
     return "\n".join(x for x in lines if x)

@@ -58,6 +58,11 @@ def test_planted_pages(name, table):
     assert C.main_text(PLANTED[name], table) == WANT
 
 
+def test_comments_inside_labelled_articles_are_not_learned_as_content():
+    table = weights([PLANTED["comments inside"]] * 50)
+    assert table["word", ".comments"] < 0 and C.main_text(PLANTED["comments inside"], table) == WANT
+
+
 @pytest.mark.parametrize("page,want", [
     (None, ""), ("", ""), ("   ", ""), ("<p></p><div><br></div>", ""), ("<nav>Only a menu here</nav>", ""), ("just text, no markup", "just text, no markup"),
     ("<!-- never closed <article><p>some text</p>", ""), ("<p>a < b and c <d", "a < b and c"), ("<p>some words &lt;b&gt; &unknown; here</p>", "some words <b> &unknown; here"),
