@@ -23,6 +23,9 @@ from pyspark.sql import types as T
 from paygrid.llm.arrays import NULL_ID, give_back
 
 CHUNK_ENTRIES = 1_000_000
+#: A sieve has so many bits a key, up to so many in all (8 MB, which every task is told).
+SIEVE_EACH = 32
+SIEVE_BITS = 1 << 26
 SALTS = 32
 REQUEST = "bucket int, pack binary"
 REPLY = "id long, base int, lows binary"
@@ -228,6 +231,19 @@ def with_row_key(docs: DataFrame, keys: DataFrame | None) -> DataFrame:
     return docs.withColumn("__id", _id()).withColumn("__digest", _digest()).join(keys, ["__id", "__digest"]).drop("__id", "__digest")
 
 
+def key_columns(keys: DataFrame | None) -> list:
+    """Columns of a document that tell its row key, without a join: its id, and its text's digest if keys are given."""
+    return [_id().alias("__id")] if keys is None else [_id().alias("__id"), _digest().alias("__digest")]
+
+
+def by_key(rows: DataFrame, keys: DataFrame | None) -> DataFrame:
+    """rows with ``key_columns`` in place of the row key ``__row``."""
+    if keys is None:
+        return rows.withColumnRenamed("__row", "__id")
+    keys = keys.select(F.col("id").alias("__id"), F.col("digest").alias("__digest"), F.col("row").alias("__row"))
+    return rows.join(keys, "__row").drop("__row")
+
+
 def keyed(docs: DataFrame, keys: DataFrame | None = None) -> DataFrame:
     """(id, text): what travels of a document; id is its row key, and ``doc`` its doc_id where that is another."""
     rows = with_row_key(docs.select("doc_id", "text"), keys)
@@ -272,6 +288,23 @@ def copies(docs: DataFrame) -> DataFrame:
     return own.join(first, ["digest", "salt"]).filter("id > first").select("id").distinct().withColumn("copy", F.lit(True))
 
 
+def sifted(rows: DataFrame, keys: DataFrame, on: list[str]) -> tuple[DataFrame, DataFrame]:
+    """(rows that are not among keys, the others); on: columns of both, never null.
+
+    A bitmap of the keys' hashes tells the first kind, which need not travel to a join.  The others are to be joined
+    still: some meet only the hash of a key, more of them where keys are more than the bitmap's bits.
+    """
+    bits = min(SIEVE_BITS, 1 << max(15, (SIEVE_EACH * keys.count()).bit_length()))
+    slot = F.pmod(F.xxhash64(*on), F.lit(bits))
+    marks = keys.select(slot.alias("__slot")).groupBy(F.bitmap_bucket_number("__slot").alias("__part"))
+    marks = marks.agg(F.bitmap_construct_agg(F.bitmap_bit_position("__slot")).alias("__marks"))
+    place = F.bitmap_bit_position(slot)
+    byte = F.conv(F.hex(F.substring("__marks", (F.floor(place / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    met = F.coalesce(F.getbit(byte, (place % 8).cast("int")) == 1, F.lit(False))
+    rows = rows.withColumn("__part", F.bitmap_bucket_number(slot)).join(F.broadcast(marks), "__part", "left").withColumn("__met", met)
+    return tuple(rows.filter(F.col("__met") == kind).drop("__part", "__marks", "__met") for kind in (False, True))
+
+
 def with_hits(docs: DataFrame, replies: DataFrame) -> DataFrame:
     """docs (id, text) with ``hits``: an array of (base, lows), null without any."""
     per = replies.groupBy("id").agg(F.collect_list(F.struct("base", "lows")).alias("hits"))

@@ -8,7 +8,10 @@ similarity is ``percent`` hundredths or more.  The join is exact:
    copies cost no pairs.
 2. *Shared shingles.*  A packed exchange tells each class which of its shingles
    other classes have.  A link needs ``percent`` hundredths of a set shared, so
-   all other classes are done.
+   all other classes are done.  Most are done by a part of the codes already: every
+   row asks for its shingles of codes in that part first, and a class with more
+   unshared ones there than a link allows asks no further (a class with copies
+   does).  Two linked sets both stay, so what the others ask afterwards is whole.
 3. *Candidate groups.*  Shingles are ordered, unshared ones first and the most
    common ones last; of a linked pair, some shingle is in both sets' prefixes
    (size - required + 1).  Sets that share a prefix shingle and have fitting sizes
@@ -42,8 +45,10 @@ from pyspark.sql import functions as F
 from paygrid.llm import arrays as A
 from paygrid.llm import exchange as X
 from paygrid.llm.components import connected
-from paygrid.llm.staging import written
+from paygrid.llm.staging import written, written_in_buckets
 
+#: A shingle is asked for first if the last byte of its code is below this: more codes cost more, fewer tell less.
+FIRST = 90
 #: Shingles of a block of a candidate group.
 BLOCK = 1_000_000
 #: A set takes the answers of one that differs from it by at most this share of its shingles.
@@ -76,6 +81,11 @@ def _sets(roll, codes, batch, offs, data, size):
     return keys, np.searchsorted(row, np.arange(len(n) + 1))
 
 
+def _in_first(keys: np.ndarray) -> np.ndarray:
+    """Flags of the codes that are asked for first."""
+    return (keys & np.uint64(0xFF)) < np.uint64(FIRST)
+
+
 def _stars(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(node, least node reachable) of the edges; numpy label propagation with jumps."""
     nodes, at = np.unique(np.concatenate([a, b]), return_inverse=True)
@@ -315,21 +325,25 @@ def keyed_links(docs: DataFrame, keys: DataFrame | None, size: int = 5, percent:
         roll = A.Rolling()
         for batch, offs, data in A.text_slices(batches):
             keys, first = _sets(roll, codes, batch, offs, data, size)
+            part = np.concatenate([[0], np.cumsum(_in_first(keys))])[first]
             total = np.concatenate([[0], np.cumsum(keys)]).astype(np.uint64)
             mixed = np.concatenate([[0], np.cumsum(A.mix(keys * np.uint64(A.INVERSE)))]).astype(np.uint64)
             yield pa.RecordBatch.from_arrays([
-                batch.column(batch.schema.get_field_index("id")), X.doc_ids(batch), pa.array(np.diff(first), pa.int64()),
+                batch.column(batch.schema.get_field_index("id")), X.doc_ids(batch), pa.array(np.diff(first), pa.int64()), pa.array(np.diff(part), pa.int64()),
                 pa.array((total[first[1:]] - total[first[:-1]]).view(np.int64)), pa.array((mixed[first[1:]] - mixed[first[:-1]]).view(np.int64)),
-            ], ["id", "doc", "n", "h1", "h2"])
-
-    def ask(batches):
-        roll, out = A.Rolling(), X.Requests(n_buckets, False)
-        for batch, offs, data in A.text_slices(batches):
-            keys, first = _sets(roll, codes, batch, offs, data, size)
-            counts = np.diff(first)
-            row = np.repeat(np.arange(len(counts)), counts)
-            yield from out.add(A.ids(batch, "id"), row, np.arange(len(keys)) - first[row], keys)
-        yield from out.flush()
+            ], ["id", "doc", "n", "part", "h1", "h2"])
+
+    def asking(among):
+        def ask(batches):
+            roll, out = A.Rolling(), X.Requests(n_buckets, False)
+            for batch, offs, data in A.text_slices(batches):
+                keys, first = _sets(roll, codes, batch, offs, data, size)
+                counts = np.diff(first)
+                row = np.repeat(np.arange(len(counts)), counts)
+                at = np.flatnonzero(among(keys))
+                yield from out.add(A.ids(batch, "id"), row[at], at - first[row[at]], keys[at])
+            yield from out.flush()
+        return ask
 
     def survivors(batches):
         roll = A.Rolling()
@@ -345,15 +359,23 @@ def keyed_links(docs: DataFrame, keys: DataFrame | None, size: int = 5, percent:
                 pa.array([k.tobytes() for k in kept], pa.binary()),
             ], ["id", "n", "skip", "keys"])
 
-    sets = written(own.mapInArrow(digests, "id long, doc long, n long, h1 long, h2 long"), "set-digests")
+    sets = written(own.mapInArrow(digests, "id long, doc long, n long, part long, h1 long, h2 long"), "set-digests")
     named = F.when(F.col("doc").isNotNull(), F.col("id"))
     classes = sets.filter("n > 0").groupBy("n", "h1", "h2").agg(
-        F.min("id").alias("rep"), F.min("doc").alias("least"), F.min(named).alias("named"), F.count("*").alias("weight"))
-    single = X.compact(own.select("id", "text")).join(classes.select(F.col("rep").alias("id")), "id", "left_semi")
-    replies = X.answers(single.mapInArrow(ask, X.REQUEST), False)
-    shared = X.with_hits(single, replies).filter(F.col("hits").isNotNull())
-    kept = shared.mapInArrow(survivors, "id long, n long, skip long, keys binary")
-    kept = written(kept.groupBy("id").agg(F.min(F.struct("n", "skip", "keys")).alias("s")).select("id", "s.*"), "shared-sets")
+        F.min("id").alias("rep"), F.min("doc").alias("least"), F.min(named).alias("named"), F.count("*").alias("weight"), F.min("part").alias("part"))
+    # a place may be told of twice; a count too high only lets a class ask further
+    told = X.answers(own.mapInArrow(asking(_in_first), X.REQUEST), False).groupBy("id").agg(F.sum(F.octet_length("lows") / 2).alias("told"))
+    unshared = F.col("part") - F.coalesce("told", F.lit(0))
+    further = classes.join(told.withColumnRenamed("id", "rep"), "rep", "left").filter(
+        (F.col("weight") > 1) | (100 * unshared <= (100 - percent) * F.col("n")))
+    further = written(further.select(F.col("rep").alias("id")), "ask-further")
+    _, rest = X.sifted(own.select("id", "text"), further, ["id"])
+    single = X.compact(rest).join(further, "id", "left_semi")
+    replies = X.answers(single.mapInArrow(asking(lambda keys: np.ones(len(keys), bool)), X.REQUEST), False)
+    # rows given twice are one; they lie by id already, as the join left them
+    shared = X.with_hits(single, replies).filter(F.col("hits").isNotNull()).dropDuplicates(["id"])
+    # in buckets by id, so that the sets need not travel to be told their groups
+    kept = written_in_buckets(shared.mapInArrow(survivors, "id long, n long, skip long, keys binary"), "shared_sets", "id")
     hot = docs.sparkSession.sparkContext.broadcast(common_shingles(kept, n_buckets))
     groups = connected(candidate_edges(kept, percent, n_buckets, hot))
 

@@ -37,16 +37,22 @@ def one_of_alike(spark, docs, sf_dir):
     """One row of each component of the Jaccard join: one whose id is the component's; texts without words are all kept."""
     keys = exchange.row_keys(docs)
     found = written(jaccard_join.keyed_links(docs, keys).select(F.col("id").alias("__row"), "keep", "n_shingles"), "alike")
-    # the table's columns travel in one, so that no name of theirs meets a helper's
-    rows = docs.select(F.struct(*docs.columns).alias("whole"), "doc_id", "text")
-    kept = exchange.with_row_key(rows, keys).select("__row", "whole")
-    kept = kept.join(found.filter("__row <> keep").select("__row").distinct(), "__row", "left_anti")
+    gone = found.filter("__row <> keep").select("__row").distinct()
     # rows given twice have one key
     twice = found.filter("__row = keep AND n_shingles > 0").groupBy("__row").count().filter("count > 1").select("__row")
+    marked = written(gone.withColumn("first", F.lit(False)).union(twice.withColumn("first", F.lit(True))), "alike-rows")
+    # the table's columns travel in one, so that no name of theirs meets a helper's
+    rows = docs.select(F.struct(*docs.columns).alias("whole"), *exchange.key_columns(keys))
+    on = [c for c in rows.columns if c != "whole"]
+    marked = exchange.by_key(marked, keys)
+    # all rows but the few that are marked stay where they are
+    clear, rest = exchange.sifted(rows, marked, on)
+    kept = rest.join(marked.filter("NOT first"), on, "left_anti")
+    twice = marked.filter("first")
     if not twice.isEmpty():
-        first = kept.join(twice, "__row", "left_semi").groupBy("__row").agg(F.min_by("whole", F.to_json("whole")).alias("whole"))
-        kept = kept.join(twice, "__row", "left_anti").unionByName(first)
-    return kept.select("whole.*")
+        first = kept.join(twice, on, "left_semi").groupBy(*on).agg(F.min_by("whole", F.to_json("whole")).alias("whole"))
+        kept = kept.join(twice, on, "left_anti").unionByName(first)
+    return clear.unionByName(kept).select("whole.*")
 
 
 def remove_benchmark(spark, docs, sf_dir):
