@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 
 from paygrid.llm import arrays as A
 from paygrid.llm import exchange as X
+from paygrid.llm.staging import written
 
 SCHEMA = "doc_id long, n_words long, n_removed long, kept_text string, removed array<struct<start:int,end:int>>"
 
@@ -74,8 +75,9 @@ def remove_repeats(docs: DataFrame, window: int = 20) -> DataFrame:
     block = window // 2
     n_buckets = X.buckets(docs)
     codes = A.byte_codes()
-    own = X.keyed(docs, X.row_keys(docs))
-    copies = X.copies(own)
+    rows = X.keyed(docs, X.row_keys(docs))
+    copies = X.copies(rows)
+    own = X.compact(rows)
     single = own.join(copies, "id", "left_anti")
 
     def keyed_words(roll, batch, offs, data):
@@ -114,7 +116,8 @@ def remove_repeats(docs: DataFrame, window: int = 20) -> DataFrame:
                 runs(gone, first),
             ], ["doc_id", "n_words", "n_removed", "kept_text", "removed"])
 
-    anchors = X.answers(single.mapInArrow(probe, X.REQUEST), False, lambda p: p % block == 0)
+    # written, so that the probes' shuffle is gone before the windows need the disk
+    anchors = written(X.answers(single.mapInArrow(probe, X.REQUEST), False, lambda p: p % block == 0), "block-anchors")
     near = X.with_hits(single, anchors).filter(F.col("hits").isNotNull())
     repeats = X.answers(near.mapInArrow(extend, X.REQUEST), True)
     return X.with_hits(own, repeats).join(copies, "id", "left").mapInArrow(finish, SCHEMA)

@@ -8,11 +8,18 @@ from collections import Counter
 import numpy as np
 import pytest
 
-from paygrid.llm import jaccard_join, stages, substring_dedup, suffix_dedup
+from paygrid.llm import exchange, jaccard_join, stages, substring_dedup, suffix_dedup
 
 WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 
 
+class Seen(list):
+    """What a spy saw; it stays behind when tasks carry the module that the spy is in."""
+
+    def __reduce__(self):
+        return list, ()
+
+
 def texts(seed, n=60):
     rnd = random.Random(seed)
     word = lambda: rnd.choice(["ab", "añ", "c", "dd", "e", "ff"])
@@ -48,6 +55,18 @@ def test_substring_dedup(table):
         assert {x for s in got[i].removed for x in range(s.start, s.end)} == gone[i]
 
 
+def test_substring_dedup_moves_frames_and_leaves_no_probes(table, monkeypatch):
+    calls = Seen()
+    join = exchange.with_hits
+    monkeypatch.setattr(exchange, "with_hits", lambda docs, replies: (calls.append((docs, replies)), join(docs, replies))[1])
+    passage = " ".join(f"p{i}" for i in range(30))
+    rows = [(1, f"a {passage} ü b"), (2, f"c {passage} d"), (3, None), (4, "")]
+    got = {r.doc_id: (r.n_words, r.n_removed, r.kept_text) for r in substring_dedup.remove_repeats(table(rows)).collect()}
+    assert got == {1: (33, 0, f"a {passage} ü b"), 2: (32, 30, "c d"), 3: (0, 0, ""), 4: (0, 0, "")}
+    assert [docs.schema["text"].dataType.simpleString() for docs, _ in calls] == ["binary", "binary"]
+    assert calls[0][1].inputFiles()   # the probes' answers are files: their shuffle is gone
+
+
 def test_suffix_dedup(table):
     rows = texts(2)
     raw = [(t or "").encode() for t in rows]
@@ -107,6 +126,57 @@ def test_jaccard_join(table, block, level, hot, monkeypatch):
     assert got == brute_links(rows)
 
 
+@pytest.mark.parametrize("first", [0, 90, 256])
+def test_jaccard_join_asks_further_only_where_a_link_may_be(table, first, monkeypatch):
+    monkeypatch.setattr(jaccard_join, "FIRST", first)
+    rnd = random.Random(12)
+    fresh = lambda n: [f"w{rnd.random()}" for _ in range(n)]
+    shared = fresh(12)
+    rows = [" ".join(fresh(60) + shared + fresh(60)) for _ in range(150)]   # a passage in common, but no links
+    for _ in range(8):
+        own = fresh(100)
+        rows += [" ".join(own), " ".join([*own[:50], "other", *own[51:]]), " ".join(own[8:])]
+    rows += [rows[0], rows[-1].upper(), "one two", "one two three", "ONE two", "", None]
+    sent = Seen()
+    pack = jaccard_join.X.compact
+    monkeypatch.setattr(jaccard_join.X, "compact", lambda docs: (sent.append(docs), pack(docs))[1])
+    assert sorted(tuple(r) for r in jaccard_join.links(table(list(enumerate(rows)))).collect()) == brute_links(rows)
+    if first == 90:
+        assert 24 <= sent[0].count() <= 50   # of 181 rows: texts of the others do not travel
+    else:
+        assert sent[0].count() >= 24
+
+
+def test_sieve_tells_rows_that_are_not_among_keys(spark, monkeypatch):
+    rows = spark.range(5000).selectExpr("id * 7919 - 9000000 AS a", "cast(id AS string) AS b", "id")
+    keys = rows.filter("id % 50 = 3").select("a", "b")
+    for bits in (exchange.SIEVE_BITS, 64):
+        monkeypatch.setattr(exchange, "SIEVE_BITS", bits)
+        for on in (["a"], ["a", "b"]):
+            clear, rest = exchange.sifted(rows, keys, on)
+            assert clear.columns == rest.columns and set(rows.columns) == set(clear.columns)
+            clear, rest = ({r.id for r in x.select("id").collect()} for x in (clear, rest))
+            assert len(clear) + len(rest) == 5000 and not clear & rest
+            assert set(range(3, 5000, 50)) <= rest
+            assert len(rest) < 400 or bits == 64
+    clear, rest = exchange.sifted(rows, keys.filter("false"), ["a"])
+    assert (clear.count(), rest.count()) == (5000, 0)
+
+
+def test_stage_moves_only_rows_that_are_alike(spark, table, monkeypatch):
+    group = lambda w, n=40: " ".join(f"{w}{i}" for i in range(n))
+    rows = [(i, group(f"t{i}x")) for i in range(100)]
+    for more in ([(200, group("t5x")), (201, group("t7x") + " x"), (9, group("t9x"))], [(None, group("t5x")), (6, "another"), (9, group("t9x"))]):
+        moved = Seen()
+        part = exchange.sifted
+        with monkeypatch.context() as m:
+            m.setattr(exchange, "sifted", lambda *a: (moved.append(part(*a)), moved[-1])[1])
+            got = Counter((r.doc_id, r.text) for r in stages.one_of_alike(spark, table(rows + more), None).collect())
+        # 200 and 201 go; a null id is 5's copy; 9 was given twice; 6 with another text stays
+        assert got == Counter(rows) + Counter([r for r in more if r == (6, "another")])
+        assert moved[-1][0].count() >= 95
+
+
 def test_jaccard_join_empty(table):
     assert jaccard_join.links(table([])).collect() == []
 
