@@ -45,14 +45,15 @@ def one_of_alike(spark, docs, sf_dir):
     rows = docs.select(F.struct(*docs.columns).alias("whole"), *exchange.key_columns(keys))
     on = [c for c in rows.columns if c != "whole"]
     marked = exchange.by_key(marked, keys)
-    # all rows but the few that are marked stay where they are
+    # all rows but the few that are marked need no join
     clear, rest = exchange.sifted(rows, marked, on)
     kept = rest.join(marked.filter("NOT first"), on, "left_anti")
     twice = marked.filter("first")
     if not twice.isEmpty():
         first = kept.join(twice, on, "left_semi").groupBy(*on).agg(F.min_by("whole", F.to_json("whole")).alias("whole"))
         kept = kept.join(twice, on, "left_anti").unionByName(first)
-    return clear.unionByName(kept).select("whole.*")
+    # dealt out evenly: what is left of each file would make later stages' tasks as large as the files were
+    return clear.unionByName(kept).select("whole.*").repartition(int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
 def remove_benchmark(spark, docs, sf_dir):
